@@ -258,3 +258,7 @@ def active_months(spark, d):
 SELECT year, max(month) AS month FROM mbr WHERE year = (SELECT max(year) FROM mbr) GROUP BY year""")
 def latest_period(spark, d):
     return reports.latest_period(_mbr(spark, d))
+
+
+# Remaining query groups register themselves on import.
+from tierflow.plans import change_queries  # noqa: E402,F401

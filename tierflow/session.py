@@ -84,3 +84,14 @@ def local_fs_path(path: str) -> str:
 def ensure_dir(path: str) -> None:
     if is_local_path(path):
         os.makedirs(local_fs_path(path), exist_ok=True)
+
+
+def materialize(df):
+    """Cut lineage: a reliable checkpoint into ``spark.checkpoint.dir``.
+
+    Used between chained batch steps so plans do not grow with the number
+    of steps; the files live in the shared folder, so a lost executor
+    does not lose them (unlike a local checkpoint).
+    """
+    scratch_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -43,6 +43,8 @@ class Entity:
     source: str = "feed"                  # 'feed' or 'table' (menu re-reads all of stage)
     dim_overrides: dict[str, str] = field(default_factory=dict)  # dim column -> cast type
     stamp_copy_ts: bool = False           # merge sets _copy_data_ts to the batch time (D5)
+    # Order that picks the last arrival of a key within one batch (J4, D6).
+    order_cols: list[str] = field(default_factory=lambda: ["_stg_file_load_ts", "_stg_file_name"])
 
 
 def _audit():

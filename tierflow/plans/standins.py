@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierflow.functions import conform
+from tierflow.plans import entities
 
 DAY_TS = {1: "2024-01-01 00:00:00", 2: "2024-01-02 00:00:00", 3: "2024-01-03 00:00:00"}
 
@@ -115,3 +116,42 @@ def location_stage(customer: DataFrame, day: int = 1) -> DataFrame:
     if day == 2:
         out = out.filter((k % 7 == 0) | (k % 11 == 0))
     return out
+
+
+# ------------------------------------------------------------------ customer as an entity
+
+def customer_text(customer: DataFrame, day: int) -> DataFrame:
+    """A customer batch as staged text (what a CSV file of the batch holds)."""
+    return customer_day(customer, day).select(*[F.col(c).cast("string").alias(c)
+                                                for c in CUSTOMER_VALUES + ["_load_batch"]])
+
+
+def _conform_customer_standin(stage: DataFrame) -> DataFrame:
+    return stage.select(
+        conform.to_integer("c_custkey").alias("c_custkey"),
+        F.col("c_name"),
+        conform.to_integer("c_nationkey").cast("int").alias("c_nationkey"),
+        conform.to_decimal("c_acctbal", 12, 2, strict=True).alias("c_acctbal"),
+        F.col("c_mktsegment"),
+        conform.to_integer("_load_batch").alias("_load_batch"),
+        *[F.col(c) for c in entities.AUDIT_COLS],
+    )
+
+
+CUSTOMER_STANDIN = entities.Entity(
+    name="customer_standin",
+    stage_cols=CUSTOMER_VALUES + ["_load_batch"],
+    conform=_conform_customer_standin,
+    keys=CUSTOMER_KEYS,
+    surrogate="customer_sk",
+    clean_cols=CUSTOMER_VALUES + ["_load_batch", *entities.AUDIT_COLS],
+    update_cols=CUSTOMER_VALUES[1:] + ["_load_batch", *entities.AUDIT_COLS],
+    track=None,
+    dim_name="customer_standin_dim",
+    dim_hash="customer_hk",
+    dim_values=CUSTOMER_VALUES,
+    dim_match=CUSTOMER_VALUES,
+    dim_hash_cols=CUSTOMER_VALUES,
+    not_null=["c_custkey", "c_name"],
+    order_cols=["_load_batch"],
+)

@@ -205,7 +205,7 @@ _PERF = """
 SELECT restaurant_name,
        CAST(sum(total_revenue) AS DECIMAL(38,4)) AS annual_revenue,
        CAST(sum(total_orders) AS BIGINT) AS annual_orders,
-       round(avg(avg_revenue_per_order), 6) AS avg_revenue_per_order,
+       avg(avg_revenue_per_order) AS avg_revenue_per_order,
        count(DISTINCT month) AS active_months
 FROM mbr WHERE year = {year}
 GROUP BY restaurant_name

@@ -25,13 +25,13 @@ HEADLINE = [
     "kpi_monthly",
     "kpi_monthly_by_supplier",
     "yoy_delta",
-    "quarterly_totals",
     "supplier_performance_top15",
     "top_suppliers_month",
-    "upsert_unconditional",
+    "upsert_orders_1pct",
+    "upsert_orders_10pct",
     "change_feed",
-    "scd2_sound",
     "net_changes",
+    "scd2_sound",
     "conform_location",
     "quality_duplicates",
     "csv_roundtrip",

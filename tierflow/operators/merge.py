@@ -16,7 +16,8 @@ Join strategies:
              past a broadcast copy of the delta and never shuffled; new keys
              are found by a semi join of the target's key column against
              the broadcast delta keys.
-  auto       broadcast when ``source_rows`` <= ``broadcast_max_rows``.
+  auto       broadcast when the delta's row count (``source_rows`` or a
+             count) and its estimated bytes are under the bounds, else shuffle.
 """
 
 from __future__ import annotations
@@ -37,6 +38,21 @@ KIND = "_kind"
 FEED_COLS = (ACTION, IS_UPDATE)
 
 BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_BYTES = 256 * 1024 * 1024
+
+# Rough per-value width used to bound a broadcast delta's size.
+_WIDTH = {"string": 64, "binary": 64, "decimal": 16, "timestamp": 8, "timestamp_ntz": 8,
+          "bigint": 8, "double": 8, "int": 4, "float": 4, "date": 4, "boolean": 1,
+          "smallint": 2, "tinyint": 1}
+
+
+def estimated_row_bytes(df: DataFrame) -> int:
+    """Upper-ish estimate of one row's in-memory width from the schema."""
+    total = 16
+    for f in df.schema.fields:
+        name = f.dataType.simpleString().split("(")[0]
+        total += _WIDTH.get(name, 64)
+    return total
 
 
 class DuplicateKeyError(ValueError):
@@ -150,8 +166,11 @@ def merge_rows(
         sk_base = max_key(target, surrogate)
 
     if strategy == "auto":
+        # Broadcast only a delta whose size is proven small: its row count
+        # (counted, or known from the load ledger) times the schema width.
         n = source.count() if source_rows is None else source_rows
-        strategy = "broadcast" if n <= broadcast_max_rows else "shuffle"
+        small = n <= broadcast_max_rows and n * estimated_row_bytes(source) <= BROADCAST_MAX_BYTES
+        strategy = "broadcast" if small else "shuffle"
 
     t = _prefixed(target, T, "__t")
     s = _prefixed(source, S, "__s")

@@ -618,3 +618,53 @@ def scd2_partial_match(spark, d):
     dim = materialize(scd2.apply(dim, f1, as_of=st.DAY_TS[1], **kw))
     dim = scd2.apply(dim, r2.feed, as_of=st.DAY_TS[2], **kw)
     return _ntz(dim.drop(_LOC.dim_hash), [start, end])
+
+
+# ===================================================================== upsert at table scale
+
+_ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+
+
+def _orders_delta(orders: DataFrame, every: int) -> DataFrame:
+    """Delta of ~2/every of orders: status updates of keys % every = 0,
+    new orders (negated keys) for keys % every = 1."""
+    k = F.col("o_orderkey")
+    upd = orders.filter(k % every == 0).withColumn("o_orderstatus", F.lit("U"))
+    new = orders.filter(k % every == 1).withColumn("o_orderkey", -k - 1)
+    return upd.unionByName(new)
+
+
+def _orders_upsert_sql(every: int) -> str:
+    return f"""
+SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % {every} = 0 THEN 'U' ELSE o_orderstatus END AS o_orderstatus,
+       o_totalprice, o_orderdate, o_orderpriority FROM orders
+UNION ALL
+SELECT -o_orderkey - 1, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+FROM orders WHERE o_orderkey % {every} = 1"""
+
+
+@register("upsert_orders_1pct", _orders_upsert_sql(100))
+def upsert_orders_1pct(spark, d):
+    """Whole orders table as target, 1% updates + 1% inserts; strategy chosen by size."""
+    o = read_table(spark, d, "orders")
+    return merge.upsert(o, _orders_delta(o, 100), ["o_orderkey"], strategy="auto").table
+
+
+@register("upsert_orders_10pct", _orders_upsert_sql(10))
+def upsert_orders_10pct(spark, d):
+    """Whole orders table as target, 10% updates + 10% inserts, shuffle (sort-merge) join."""
+    o = read_table(spark, d, "orders")
+    return merge.upsert(o, _orders_delta(o, 10), ["o_orderkey"], strategy="shuffle").table
+
+
+@register("upsert_orders_10pct_feed", f"""
+SELECT o_orderkey, o_custkey, 'U' AS o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
+       'INSERT' AS _change_action, true AS _change_is_update FROM orders WHERE o_orderkey % 10 = 0
+UNION ALL
+SELECT *, 'DELETE', true FROM orders WHERE o_orderkey % 10 = 0
+UNION ALL
+SELECT -o_orderkey - 1, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, 'INSERT', false
+FROM orders WHERE o_orderkey % 10 = 1""")
+def upsert_orders_10pct_feed(spark, d):
+    o = read_table(spark, d, "orders")
+    return merge.upsert(o, _orders_delta(o, 10), ["o_orderkey"], strategy="shuffle").feed

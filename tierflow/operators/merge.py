@@ -111,6 +111,19 @@ def check_unique(df: DataFrame, keys) -> None:
         raise DuplicateKeyError(f"duplicate source key in merge: {dup[0].asDict()}")
 
 
+def check_matched_unique(target: DataFrame, source: DataFrame, keys) -> None:
+    """Raise when a repeated source key matches a target row.
+
+    The source warehouse's default: a target row joined by several source
+    rows makes the update ambiguous and the statement fails; unmatched
+    repeated keys are all inserted.
+    """
+    dup = duplicate_keys(source, keys).join(target.select(*keys), list(keys), "left_semi")
+    hit = dup.limit(1).collect()
+    if hit:
+        raise DuplicateKeyError(f"repeated source key matches a target row: {hit[0].asDict()}")
+
+
 @dataclass
 class MergeResult:
     table: DataFrame
@@ -265,9 +278,10 @@ def split_rows(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 def upsert(target: DataFrame, source: DataFrame, keys, **kw) -> MergeResult:
     """MERGE source into target on ``keys``; see ``merge_rows`` for options.
 
-    ``on_duplicate``: 'error' raises when a source key repeats (the source
-    warehouse rejects such updates); 'latest' keeps the last version by
-    ``order_cols``; 'allow' passes them through.
+    ``on_duplicate``: 'error' raises when a source key repeats; 'matched'
+    raises only when a repeated key matches a target row (the source
+    warehouse's rule); 'latest' keeps the last version by ``order_cols``;
+    'allow' passes them through.
     """
     on_duplicate = kw.pop("on_duplicate", "allow")
     order_cols = kw.pop("order_cols", None)
@@ -275,6 +289,8 @@ def upsert(target: DataFrame, source: DataFrame, keys, **kw) -> MergeResult:
         source = dedupe_latest(source, keys, order_cols or [])
     elif on_duplicate == "error":
         check_unique(source, keys)
+    elif on_duplicate == "matched":
+        check_matched_unique(target, source, keys)
     rows = merge_rows(target, source, keys, **kw)
     table, feed = split_rows(rows)
     return MergeResult(table=table, feed=feed, rows=rows)

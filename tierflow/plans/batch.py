@@ -156,6 +156,7 @@ def copy_into(wh: Warehouse, e: Entity, path: str, *, as_of=None, bind_by: str =
     new_paths = [r["path"] for r in new.select("path").collect()]
     if not new_paths:
         return LoadResult(None, 0, 0)
+    reader_opts.setdefault("multi_line", e.multi_line)
     rows = ingest.read_staged(wh.spark, new_paths, file_cols or e.stage_cols, target_cols=e.stage_cols,
                               bind_by=bind_by, as_of=as_of, **reader_opts)
     rows = rows.drop("_corrupt_record") if "_corrupt_record" in rows.columns else rows
@@ -190,6 +191,8 @@ def run_clean(wh: Warehouse, e: Entity, *, as_of=None, mode: str = "sound", stra
     target = wh.clean(e)
     if target is None:
         target = _empty_clean(e, src)
+    if mode == "reference":
+        merge.check_matched_unique(target, src, e.keys)
     rows = merge.merge_rows(
         target, src, e.keys,
         update_cols=e.update_cols,

@@ -43,6 +43,7 @@ class Entity:
     source: str = "feed"                  # 'feed' or 'table' (menu re-reads all of stage)
     dim_overrides: dict[str, str] = field(default_factory=dict)  # dim column -> cast type
     stamp_copy_ts: bool = False           # merge sets _copy_data_ts to the batch time (D5)
+    multi_line: bool = False              # quoted fields may hold newlines (CSV multiLine)
     # Order that picks the last arrival of a key within one batch (J4, D6).
     order_cols: list[str] = field(default_factory=lambda: ["_stg_file_load_ts", "_stg_file_name"])
 
@@ -140,6 +141,7 @@ CUSTOMER = Entity(
     not_null=["customer_id", "name"],
     max_len={"name": 100, "mobile": 15, "email": 100, "login_by_using": 50, "gender": 10},
     tags={"mobile": "PII", "email": "EMAIL", "gender": "PII", "dob": "PII"},
+    multi_line=True,
 )
 
 

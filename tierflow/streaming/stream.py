@@ -19,7 +19,8 @@ from tierflow.sources import ingest
 def entity_stream(spark: SparkSession, e: Entity, landing: str, *, as_of=None,
                   max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming DataFrame of staged text rows with audit columns."""
-    reader = ingest.csv_reader(spark, e.stage_cols, streaming=True).option("recursiveFileLookup", "true")
+    reader = ingest.csv_reader(spark, e.stage_cols, streaming=True, multi_line=e.multi_line) \
+        .option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return ingest.with_audit(reader.load(landing), as_of)

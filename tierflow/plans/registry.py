@@ -260,6 +260,22 @@ def latest_period(spark, d):
     return reports.latest_period(_mbr(spark, d))
 
 
+
+@register("top_suppliers_sql_params", _MBR_CTE + _TOP_MONTH.format(where="year = 1999 AND month = 3"))
+def top_suppliers_sql_params(spark, d):
+    return reports.top_restaurants_sql(spark, _mbr(spark, d), 1999, 3)
+
+
+@register("top_suppliers_labeled", _MBR_CTE + """
+SELECT restaurant_name AS "Restaurant Name", total_revenue AS "Total Revenue (₹)",
+       total_orders AS "Total Orders", avg_revenue_per_order AS "Avg Revenue per Order (₹)",
+       avg_revenue_per_item AS "Avg Revenue per Item (₹)", max_order_value AS "Max Order Value (₹)"
+FROM mbr WHERE (year, month) = (SELECT max((year, month)) FROM mbr)
+ORDER BY total_revenue DESC NULLS FIRST, restaurant_id LIMIT 10""")
+def top_suppliers_labeled(spark, d):
+    top = reports.top_restaurants(_mbr(spark, d)).drop("restaurant_id")
+    return reports.relabel(top, reports.TOP_LABELS)
+
 # Remaining query groups register themselves on import.
 from tierflow.plans import change_queries  # noqa: E402,F401
 from tierflow.plans import ingest_queries  # noqa: E402,F401

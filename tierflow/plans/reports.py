@@ -206,3 +206,23 @@ def top_restaurants(
 def active_months(mbr_mart: DataFrame, year: int | None = None) -> DataFrame:
     """Distinct months with restaurant data in a year, ascending."""
     return _for_year(mbr_mart, year).select("month").distinct().orderBy(F.asc_nulls_last("month"))
+
+
+TOP_LABELS = ["Restaurant Name", "Total Revenue (₹)", "Total Orders", "Avg Revenue per Order (₹)",
+              "Avg Revenue per Item (₹)", "Max Order Value (₹)"]
+
+
+def top_restaurants_sql(spark, mbr_mart: DataFrame, year: int, month: int, n: int = 10) -> DataFrame:
+    """The top-n query as Spark SQL with bound parameters instead of string formatting."""
+    mbr_mart.createOrReplaceTempView("tf_monthly_by_restaurant")
+    return spark.sql(
+        """
+        SELECT restaurant_id, restaurant_name, total_revenue, total_orders, avg_revenue_per_order,
+               avg_revenue_per_item, max_order_value
+        FROM tf_monthly_by_restaurant
+        WHERE year = :year AND month = :month
+        ORDER BY total_revenue DESC NULLS FIRST, restaurant_id
+        LIMIT :n
+        """,
+        args={"year": year, "month": month, "n": n},
+    )

@@ -13,7 +13,8 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierflow.plans import batch, standins as st
+from tierflow.plans import batch, marts, reports, standins as st
+from tierflow.plans import registry as _reg
 from tierflow.plans.change_queries import _DAYS_SQL
 from tierflow.plans.entities import Entity
 from tierflow.plans.registry import register
@@ -188,3 +189,27 @@ def stream_dim_current(spark, d):
     stream.run_entity(spark, wh, e, landing, f"{root}/checkpoint", as_of=AS_OF)
     dim = wh.dim(e, "sound")
     return dim.filter(F.col("is_current")).select(*st.CUSTOMER_VALUES)
+
+
+
+# ------------------------------------------------------------------ published marts
+
+def _published(spark, d) -> str:
+    root = unique_scratch(spark, "marts")
+    marts.publish(read_table(spark, d, "lineitem"), read_table(spark, d, "orders"),
+                  read_table(spark, d, "supplier"), root)
+    return root
+
+
+@register("kpi_yearly_published", _reg.ORACLE["kpi_yearly"])
+def kpi_yearly_published(spark, d):
+    """The yearly mart written partitioned by year and read back."""
+    out = marts.read_published(spark, _published(spark, d), "yearly")
+    return out.select("year", *marts.MEASURES).orderBy("year")
+
+
+@register("quarterly_totals_published", _reg.ORACLE["quarterly_totals"])
+def quarterly_totals_published(spark, d):
+    """Quarterly report over the published monthly mart (reads only year=1998)."""
+    monthly = marts.read_published(spark, _published(spark, d), "monthly")
+    return reports.quarterly(monthly, year=1998)

@@ -113,3 +113,48 @@ def monthly_by_restaurant(
         "restaurant_name",
         *MEASURES,
     )
+
+
+MART_NAMES = ("yearly", "monthly", "monthly_by_restaurant")
+
+
+def publish(
+    lineitem: DataFrame,
+    orders: DataFrame,
+    supplier: DataFrame,
+    root: str,
+    years: list[int] | None = None,
+) -> None:
+    """Write the three marts under ``root``, partitioned by ``year``.
+
+    Readers filtering on ``year`` then prune partitions instead of
+    recomputing. With ``years`` only those years are recomputed (orders are
+    filtered on their date range, which reaches the parquet scan) and only
+    their partitions are replaced (dynamic partition overwrite); other
+    years stay as they are.
+    """
+    spark = orders.sparkSession
+    if years:
+        lo, hi = min(years), max(years)
+        in_range = (F.col("o_orderdate") >= F.lit(f"{lo}-01-01").cast("timestamp_ntz")) & (
+            F.col("o_orderdate") < F.lit(f"{hi + 1}-01-01").cast("timestamp_ntz"))
+        orders = orders.filter(in_range & F.year("o_orderdate").isin(list(years)))
+    frames = {
+        "yearly": yearly_kpis(lineitem, orders),
+        "monthly": monthly_kpis(lineitem, orders),
+        "monthly_by_restaurant": monthly_by_restaurant(lineitem, orders, supplier),
+    }
+    previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        for name, df in frames.items():
+            df.write.mode("overwrite").partitionBy("year").parquet(f"{root.rstrip('/')}/{name}")
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
+
+
+def read_published(spark, root: str, name: str) -> DataFrame:
+    """A published mart; ``year`` comes back as a partition column."""
+    df = spark.read.parquet(f"{root.rstrip('/')}/{name}")
+    cols = [c for c in df.columns if c != "year"]
+    return df.select(F.col("year").cast("int").alias("year"), *cols)

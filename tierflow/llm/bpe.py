@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierflow.llm.common import gather_ranges, mix64, table, text_blocks
+from tierflow.llm.common import arrow_map, gather_ranges, mix64, table, text_blocks
 
 BLOCK_CHARS = 1_000_000
 CACHE_ENTRIES = 400_000
@@ -370,7 +370,7 @@ def encode(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: s
                 names=[id_col, "n_tokens", "ids"])
 
     kind, name = _id_type(docs, id_col)
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {name}, n_tokens long, ids array<int>")
+    return arrow_map(docs.select(id_col, text_col), run, f"`{id_col}` {name}, n_tokens long, ids array<int>")
 
 
 def decode(encoded: DataFrame, vocab_path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -386,7 +386,7 @@ def decode(encoded: DataFrame, vocab_path: str, id_col: str = "doc_id", ids_col:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=[id_col, "text"])
 
     kind, name = _id_type(encoded, id_col)
-    return encoded.select(id_col, ids_col).mapInArrow(run, f"`{id_col}` {name}, text string")
+    return arrow_map(encoded.select(id_col, ids_col), run, f"`{id_col}` {name}, text string")
 
 
 def round_trip(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -424,8 +424,8 @@ def round_trip(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_co
                 names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256", "decoded_bytes"])
 
     kind, name = _id_type(docs, id_col)
-    return docs.select(id_col, text_col).mapInArrow(
-        run, f"`{id_col}` {name}, n_tokens long, ids_sha256 string, decoded_sha256 string, decoded_bytes long")
+    return arrow_map(
+        docs.select(id_col, text_col), run, f"`{id_col}` {name}, n_tokens long, ids_sha256 string, decoded_sha256 string, decoded_bytes long")
 
 
 def _id_type(df: DataFrame, id_col: str):

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,6 +30,33 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def ship(spark: SparkSession) -> None:
+    """Make this package importable in Python workers, unless their path has it.
+
+    Functions sent to workers refer to its modules by name, so that caches of a
+    worker (a vocabulary, say) live longer than one task.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    sc = spark.sparkContext
+    listed = os.environ.get("PYTHONPATH", "").split(os.pathsep)
+    if root in map(os.path.abspath, filter(None, listed)) or getattr(sc, "_tierflow_shipped", False):
+        return
+    target = os.path.join(tempfile.mkdtemp(prefix="tierflow-"), "tierflow_package.zip")
+    with zipfile.ZipFile(target, "w") as out:
+        for folder, _, names in os.walk(os.path.join(root, "tierflow")):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    out.write(full, os.path.relpath(full, root))
+    sc.addPyFile(target)
+    sc._tierflow_shipped = True
+
+
+def arrow_map(df: DataFrame, run, schema) -> DataFrame:
+    ship(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def held_out(doc_id) -> F.Column:
     """True for the rows that no label may be learned from."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
@@ -66,3 +96,31 @@ def gather_ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     total = int(lengths.sum())
     before = np.cumsum(lengths) - lengths
     return np.repeat(starts - before, lengths) + np.arange(total, dtype=np.int64)
+
+
+def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Code points of all texts, each followed by a line feed, with start and length of each text."""
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    points = np.frombuffer(("\n".join(texts) + "\n").encode("utf-32-le", "surrogatepass"), np.uint32)
+    return points, np.cumsum(sizes + 1) - sizes - 1, sizes
+
+
+def labelled_sample(labels: DataFrame, column: str, most_per_class: int) -> DataFrame:
+    """(doc_id, label, weight) of labelled training rows, at most so many of each class.
+
+    Rows in the held-out fold never enter. The sample is the rows with the
+    smallest hash of the id, so it is the same at every run; ``weight`` restores
+    the share of each class. A document with several labels counts once, by its
+    smallest label.
+    """
+    rows = (labels.select("doc_id", F.col(column).cast("int").alias("label"))
+            .filter(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & ~held_out(F.col("doc_id")))
+            .groupBy("doc_id").agg(F.min("label").alias("label")))
+    total = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    parts = []
+    for label in (0, 1):
+        n = total.get(label, 0)
+        weight = max(1.0, n / most_per_class)
+        parts.append(rows.filter(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_per_class)
+                     .withColumn("weight", F.lit(weight)))
+    return parts[0].unionByName(parts[1])

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tierflow.llm import bpe
+from tierflow.llm import bpe, toxicity
 
 QUERIES = {
     "op3_byte_bpe": bpe.op3_byte_bpe,
+    "op5_toxicity": toxicity.op5_toxicity,
 }
 
 ORACLE: dict[str, str] = {}

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tierflow.llm import bpe, toxicity
+from tierflow.llm import bpe, quality, toxicity
 
 QUERIES = {
     "op3_byte_bpe": bpe.op3_byte_bpe,
     "op5_toxicity": toxicity.op5_toxicity,
+    "op10_quality": quality.op10_quality,
 }
 
 ORACLE: dict[str, str] = {}

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tierflow.llm import bpe, quality, toxicity
+from tierflow.llm import bpe, neardup, quality, toxicity
 
 QUERIES = {
     "op3_byte_bpe": bpe.op3_byte_bpe,
     "op5_toxicity": toxicity.op5_toxicity,
+    "op9_near_duplicates": neardup.op9_near_duplicates,
     "op10_quality": quality.op10_quality,
 }
 

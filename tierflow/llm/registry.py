@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from tierflow.llm import bpe, neardup, quality, toxicity
+from tierflow.llm import bpe, decontaminate, neardup, quality, toxicity
 
 QUERIES = {
+    "op2_decontamination": decontaminate.op2_decontamination,
     "op3_byte_bpe": bpe.op3_byte_bpe,
     "op5_toxicity": toxicity.op5_toxicity,
     "op9_near_duplicates": neardup.op9_near_duplicates,
     "op10_quality": quality.op10_quality,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_decontamination": decontaminate.ORACLE,
+}

@@ -11,7 +11,10 @@ neighbours in order, instead of at buckets of a fixed depth, adapts to that.
 Two rounds of candidates:
 
 1. each document with its next ``NEAREST`` neighbours in each order that pass
-   a filter on set sizes and on a bit sketch of the labels;
+   a filter on set sizes, on a bit sketch of the labels and on parities: with
+   one bit for each of ``PARITIES`` cells, whether the set has an odd number of
+   hashes there, two sets differ in at least as many elements as bits, so too
+   many different bits rule a link out without error;
 2. after components are known: neighbours within a wider window that lie in
    different components. In a dense group nearly all members are joined by
    then, so the work is that of the few which are not, and never all pairs.
@@ -42,7 +45,9 @@ from tierflow.llm.common import arrow_map, mix64, staged, table, text_blocks
 TREES = 20
 DEPTH = 10
 LABELS = TREES * DEPTH
-SKETCH_BYTES = LABELS // 8
+LABEL_BYTES = LABELS // 8
+PARITIES = 512
+SKETCH_BYTES = LABEL_BYTES + PARITIES // 8
 BLOCK_CHARS = 400_000
 NEAREST = 2
 WINDOW = 64
@@ -147,7 +152,8 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
                 mixed = least * np.uint32(0x9E3779B1)
                 mixed ^= mixed >> np.uint32(15)
                 short = (mixed >> np.uint32(16)).astype(">u2")
-                bits = np.packbits((mixed >> np.uint32(7)).astype(np.uint8) & 1, axis=1)
+                odd = np.stack([np.bincount((sets[i] >> np.uint64(55)).astype(np.int64), minlength=PARITIES) & 1 for i in full])
+                bits = np.packbits(np.concatenate([(mixed >> np.uint32(7)) & np.uint32(1), odd], axis=1).astype(np.uint8), axis=1)
                 for row, i in enumerate(full):
                     digest[i] = hashlib.blake2b(sets[i].tobytes(), digest_size=16).digest()
                     labels[i], sketch[i] = short[row].tobytes(), bits[row].tobytes()
@@ -233,8 +239,10 @@ def pairs(rows, taken, fresh, window, nearest):
         at, to = at[ok], to[ok]
         if not len(at):
             continue
-        differ = np.bitwise_count(sketch[at] ^ sketch[to]).sum(1)
-        ok = 1 - 2 * differ / LABELS >= LEAST_ESTIMATE
+        differ = np.bitwise_count(sketch[at] ^ sketch[to])
+        ok = 1 - 2 * differ[:, :LABEL_BYTES].sum(1) / LABELS >= LEAST_ESTIMATE
+        # 100 * both >= 80 * either means that at most a ninth of all elements differ.
+        ok &= 9 * differ[:, LABEL_BYTES:].sum(1, dtype=np.int64) <= n[at] + n[to]
         at, to = at[ok], to[ok]
         taken[at] += 1
         left.append(ids[at])

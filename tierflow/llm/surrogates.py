@@ -375,18 +375,19 @@ def replaced(docs: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
     later = staged(attempts(entities, key), "surrogates-later")
     # What a document needs to know beyond the key: the attempts of its own entities.
     own = found.join(later, ["kind", "value"]).groupBy("doc_id").agg(
-        F.collect_set(F.struct("kind", "value", "attempt")).alias("_later"))
-    own = staged(own.withColumnRenamed("doc_id", "_doc"), "surrogates-own")
+        F.collect_set(F.struct("kind", "value", "attempt")).alias("__surrogates_later"))
+    own = staged(own.withColumnRenamed("doc_id", "__surrogates_doc"), "surrogates-own")
     if own.count() <= BROADCAST_ROWS:
         own = F.broadcast(own)
-    rows = docs.join(own, F.col("doc_id").cast("long").eqNullSafe(F.col("_doc")), "left").drop("_doc")
-    place = docs.columns.index("text")
-    schema = docs.drop("n_entities").schema.add("n_entities", "int")
+    rows = docs.join(own, F.col("doc_id").cast("long").eqNullSafe(F.col("__surrogates_doc")), "left").drop("__surrogates_doc")
+    names = docs.columns
+    place = names.index("text")
+    schema = docs.drop("n_entities").schema.add("n_entities", "integer")
 
     def run(batches):
         for b in batches:
             texts, counts = [], []
-            for text, later in zip(b.column(place).to_pylist(), b.column("_later").to_pylist()):
+            for text, later in zip(b.column(place).to_pylist(), b.column("__surrogates_later").to_pylist()):
                 spans = find(text) if text else []
                 tries = {(x["kind"], x["value"]): x["attempt"] for x in later or ()}
                 out, at = [], 0
@@ -395,7 +396,7 @@ def replaced(docs: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
                     at = z
                 texts.append("".join(out) + text[at:] if spans else text)
                 counts.append(len(spans))
-            columns = {n: b.column(n) for n in docs.columns} | {"text": pa.array(texts, pa.string()), "n_entities": pa.array(counts, pa.int32())}
+            columns = {n: b.column(n) for n in names} | {"text": pa.array(texts, pa.string()), "n_entities": pa.array(counts, pa.int32())}
             yield pa.RecordBatch.from_arrays([columns[f.name] for f in schema.fields], names=schema.names)
 
     return arrow_map(rows, run, schema)

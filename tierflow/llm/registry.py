@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tierflow.llm import bpe, decontaminate, lengths, neardup, quality, surrogates, toxicity
+from tierflow.llm import ann, bpe, decontaminate, lengths, neardup, quality, surrogates, toxicity
 
 QUERIES = {
     "op1_surrogates": surrogates.op1_surrogates,
     "op2_decontamination": decontaminate.op2_decontamination,
     "op3_byte_bpe": bpe.op3_byte_bpe,
+    "op4_nearest_neighbours": ann.op4_nearest_neighbours,
     "op5_toxicity": toxicity.op5_toxicity,
     "op7_token_lengths": lengths.op7_token_lengths,
     "op9_near_duplicates": neardup.op9_near_duplicates,

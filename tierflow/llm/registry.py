@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tierflow.llm import ann, bpe, decontaminate, lengths, neardup, quality, surrogates, toxicity
+from tierflow.llm import ann, bpe, chat, decontaminate, lengths, neardup, quality, surrogates, toxicity, warc
 
 QUERIES = {
     "op1_surrogates": surrogates.op1_surrogates,
@@ -10,7 +10,9 @@ QUERIES = {
     "op3_byte_bpe": bpe.op3_byte_bpe,
     "op4_nearest_neighbours": ann.op4_nearest_neighbours,
     "op5_toxicity": toxicity.op5_toxicity,
+    "op6_warc": warc.op6_warc,
     "op7_token_lengths": lengths.op7_token_lengths,
+    "op8_chat_windows": chat.op8_chat_windows,
     "op9_near_duplicates": neardup.op9_near_duplicates,
     "op10_quality": quality.op10_quality,
 }

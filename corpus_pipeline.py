@@ -1,28 +1,79 @@
-"""Corpus preparation in stages, each one operator of ``tierflow.llm``."""
+"""Corpus preparation in five stages, each one operator of ``tierflow.llm``.
+
+Each stage is a function of (spark, docs, sf_dir); its result is written as
+Parquet and read again as the docs of the next one. All but the last return the
+columns they got.
+
+1. toxicity (operator 5): documents scored as toxic go.
+2. near_duplicates (operator 9): one document of each group stays.
+3. decontamination (operator 2): documents that hold a test item go.
+4. pii (operator 1): personal data and secrets are replaced by surrogates.
+5. bpe (operator 3): texts are encoded; the result is one row of digests each.
+
+Null and empty texts, repeated rows, null ids and empty tables are treated as
+the operators say; a document with a null id passes through.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tierflow.llm import bpe
+from tierflow.llm import bpe, decontaminate, neardup, surrogates, toxicity
 from tierflow.llm.common import staged, table
 
+BROADCAST_ROWS = 1_000_000
+
+
+def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The documents whose id is not in ``ids`` (8 MB at most are broadcast, more are shuffled)."""
+    ids = staged(ids.distinct(), "pipeline-ids").withColumnRenamed("doc_id", "__gone")
+    gone = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
+    return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+
+
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return toxicity.without_toxic(docs, table(spark, sf_dir, "labels"))
+
+
+def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    groups = staged(neardup.groups(docs), "pipeline-groups")
+    kept = without(docs, groups.filter("not kept").select("doc_id"))
+    repeated = groups.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    repeated = staged(repeated, "pipeline-repeated")
+    if repeated.isEmpty():
+        return kept
+    # Rows that repeat an id are copies as well: one of them stays.
+    return without(kept, repeated).unionByName(kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.without_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    out = surrogates.replaced(docs).select(docs.columns)
+    return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
+
 
-def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Encode what is left; the last stage returns the round-trip digests."""
+def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.round_trip(docs, bpe.default_vocabulary())
 
 
 STAGES = [
-    ("bpe", encode_stage),
+    ("toxicity", toxicity_stage),
+    ("near_duplicates", near_duplicates_stage),
+    ("decontamination", decontamination_stage),
+    ("pii", pii_stage),
+    ("bpe", bpe_stage),
 ]
 
-# Classifiers, signatures and token ids are not expressible in SQL.
+# A fitted classifier, MinHash groups and token ids are not expressible in SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result is written and read again."""
+    """All stages over ``documents``; the last result is the pipeline's."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")

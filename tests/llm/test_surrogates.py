@@ -1,0 +1,64 @@
+import pytest
+
+from tierflow.llm import surrogates as s
+
+TEXT = ("Mail Hein.19@mail5.example.com or hein.19@mail5.example.com, +1 (743) 555-3824 / +1-743-555-3824, card 4111 1111 1111 1111, "
+        'ip 192.168.3.4 and 97.51.17.173, 123-45-6789, token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff" DE89 3704 0044 0532 0130 00. '
+        "Mr. John Smith met Frau Anna Müller. Smith left John. г-жа Ольга Петрова ушла.")
+
+
+def test_formats_gender_script_and_coreference(spark, docs_of):
+    got = {r.doc_id: r.text for r in s.replaced(docs_of([TEXT, TEXT.replace("Hein", "hein"), None, "", "Version 3, 2.0 on 1998-06-12."])).collect()}
+    new = got[0]
+    assert (got[2], got[3], got[4]) == (None, "", "Version 3, 2.0 on 1998-06-12.")
+    before, after = s.find(TEXT), s.find(new)
+    assert [x[2] for x in before] == [x[2] for x in after]
+    assert not {x[3] for x in before} & {x[3] for x in after}
+    # Equal before, equal after; different before, different after.
+    pairs = list(zip([x[2:] for x in before], [x[3] for x in after]))
+    assert len(set(pairs)) == len({p[0] for p in pairs}) == len({(p[0][0].split("-")[0], p[1]) for p in pairs})
+    for (a, b, kind, old), (c, d, _, value) in zip(before, after):
+        if kind == "card":
+            assert int(value[-1]) == s.luhn(value[:-1]) and [i for i, ch in enumerate(new[c:d]) if ch == " "] == [4, 9, 14]
+        if kind == "ip" and old.startswith("192.168."):
+            assert value.startswith("192.168.")
+        if kind.startswith(("given", "surname")):
+            assert s.script_of(value) == s.script_of(old) and new[c].isupper()
+        if kind.startswith("given"):
+            assert s.KNOWN[value][0] == s.KNOWN[old][0]
+        if kind == "iban":
+            assert int("".join(str(int(x, 36)) for x in value[4:] + value[:4])) % 97 == 1
+    assert got[1].count(after[0][3]) == 2
+
+
+def test_cycle_is_one_to_one_and_never_stays():
+    m = s.Surrogates("k")
+    for size in (2, 10, 97, 256):
+        image = [m.following(x, size, "t") for x in range(size)]
+        assert sorted(image) == list(range(size)) and all(x != y for x, y in enumerate(image))
+
+
+def test_collisions_draw_again(spark, monkeypatch):
+    # One-letter mailboxes: few surrogates, which are real values as well.
+    texts = [f"{c}@h.org and {d}{c}@h.org" for c in "abcdefghijklmnopqrstuvwxyz" for d in "xyz"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = s.replaced(docs).collect()
+    real = {x[3] for t in texts for x in s.find(t)}
+    mapping = {}
+    for r in rows:
+        for old, new in zip(s.find(texts[r.doc_id]), s.find(r.text)):
+            assert mapping.setdefault(old[3], new[3]) == new[3]
+    assert len(set(mapping.values())) == len(mapping) == len(real) and not real & set(mapping.values())
+
+
+def test_extra_columns_repeated_rows_and_empty_table(spark):
+    df = spark.createDataFrame([(1, "a@b.org", "k", 5), (1, "a@b.org", "k", 5), (None, "a@b.org", "k", 6)], "doc_id long, text string, kind string, value int")
+    got = s.replaced(df).collect()
+    assert len({r.text for r in got}) == 1 and sorted(r.value for r in got) == [5, 5, 6] and {r.n_entities for r in got} == {1}
+    assert s.replaced(df.limit(0)).count() == 0
+
+
+def test_very_long_text(spark):
+    df = spark.createDataFrame([(1, "word " * 200_000 + "a@b.org")], "doc_id long, text string")
+    text = s.replaced(df).first().text
+    assert text.startswith("word " * 200_000) and "a@b.org" not in text

@@ -13,9 +13,10 @@ shortened, which is what keeps a model from paying for positives among the
 unlabelled. Each step needs only sums over the rows (gradient, Hessian, risk),
 which Spark adds up over all rows; the driver sees sums of a fixed size.
 
-p is estimated from the data: a first fit ranks the rows, and p is the least
-ratio of the two tails of the score, share of all rows above t / share of
-positives above t, over thresholds t that leave enough positives above.
+p is estimated from the data: a first fit ranks the rows, and p is the ratio of
+the two tails of the score, share of all rows above t / share of positives
+above t, at the threshold t where the upper confidence bound of that ratio is
+least (so a short tail, whose ratio may be low by chance, is not preferred).
 
 Features describe the form of a text (how often one class of character follows
 another, repeated lines and words, lengths), so they are alike in all
@@ -44,7 +45,8 @@ THRESHOLD = 0.3
 PENALTY = 1e-3
 STEPS = 8
 BINS = 400
-LEAST_TAIL = 0.2
+#: Chance that a tail's share is further off than the bound that chooses the threshold.
+DOUBT = 0.1
 
 # Classes of characters; index 0 is everything that no other class holds.
 CLASSES = ("lower", "upper", "digit", "blank", "\n", ".,;:", "!?", "|", "%&$#*@^~", "\"'()[]{}<>", "-_/\\=+")
@@ -222,7 +224,7 @@ class Model:
 
 
 def tail_prior(rows: DataFrame, model: Model) -> float:
-    """Least ratio of the tails of the score: an estimate of the share of positives."""
+    """Ratio of the tails of the score where its bound is least: an estimate of the share of positives."""
 
     def run(batch):
         score = 1 / (1 + np.exp(-np.clip(model.logit(unpack(batch.column(0))), -500, 500)))
@@ -231,9 +233,13 @@ def tail_prior(rows: DataFrame, model: Model) -> float:
         return np.concatenate([np.bincount(at[pos], minlength=BINS), np.bincount(at, minlength=BINS)]).astype(float)
 
     got = summed(rows, run, 2 * BINS)
+    n_pos, n_all = got[:BINS].sum(), got[BINS:].sum()
     pos, every = (np.cumsum(x[::-1])[::-1] / max(1.0, x.sum()) for x in (got[:BINS], got[BINS:]))
-    enough = pos >= LEAST_TAIL
-    return float(np.clip((every[enough] / pos[enough]).min(), 0.01, 0.99))
+    some = pos > 0
+    pos, every = pos[some], every[some]
+    margin = np.sqrt(np.log(4 / DOUBT) / 2) * (n_pos ** -0.5 + n_all ** -0.5)
+    at = int(np.argmin((every + margin) / pos))
+    return float(np.clip(every[at] / pos[at], 0.01, 0.99))
 
 
 def fit(rows: DataFrame) -> Model:

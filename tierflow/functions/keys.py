@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 NULL_MARK = "\\N"     # the CSV null marker; cannot occur as data in a load
@@ -44,15 +44,20 @@ def max_key(df: DataFrame, col: str) -> int:
     return int(row["m"]) if row and row["m"] is not None else 0
 
 
-def surrogate_key(base: int) -> Column:
-    """Unique, increasing keys above ``base`` without a global sort.
-
-    ``monotonically_increasing_id`` packs the partition index and the row
-    position, so no single task ever numbers all rows; keys have gaps, and
-    only uniqueness is promised (as for the source's autoincrement).
-    """
-    return F.lit(base + 1) + F.monotonically_increasing_id()
+KEY_BUCKETS = 1024
 
 
 def assign_surrogate(df: DataFrame, col: str, base: int = 0) -> DataFrame:
-    return df.withColumn(col, surrogate_key(base))
+    """Unique keys above ``base``: rows are numbered within hash buckets.
+
+    Row n of bucket b gets ``base + n * KEY_BUCKETS + b + 1``, so the keys used up
+    follow the number of rows (about one each), not the number of partitions,
+    and no task numbers more than a bucket. The bucket is a hash of the whole
+    row, so a business key that repeats does not fill one bucket.
+    """
+    cols = df.columns
+    bucket = F.pmod(F.xxhash64(*cols), F.lit(KEY_BUCKETS))
+    rank = F.row_number().over(Window.partitionBy("__bucket").orderBy(*[F.col(c) for c in cols]))
+    return (df.withColumn("__bucket", bucket)
+            .withColumn(col, F.lit(base) + (rank - 1).cast("bigint") * KEY_BUCKETS + F.col("__bucket") + 1)
+            .select(*[c for c in cols if c != col], col))

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierflow.operators.merge import ACTION, IS_UPDATE
+from tierflow.operators.merge import ACTION, IS_UPDATE, has_null, spread
 
 BATCH = "_batch_id"
 
@@ -40,9 +40,12 @@ def diff_snapshots(old: DataFrame, new: DataFrame, keys, compare=None) -> DataFr
     keys = list(keys)
     cols = old.columns
     compare = [c for c in cols if c not in keys] if compare is None else list(compare)
-    o = old.select(*[F.col(c).alias("__o_" + c) for c in cols], F.lit(True).alias("__o"))
-    n = new.select(*[F.col(c).alias("__n_" + c) for c in cols], F.lit(True).alias("__n"))
-    cond = reduce(lambda a, b: a & b, [o["__o_" + k] == n["__n_" + k] for k in keys])
+    # Rows with a NULL key never match; their hash spreads them over the partitions.
+    o = old.select(*[F.col(c).alias("__o_" + c) for c in cols], F.lit(True).alias("__o"),
+                   (-F.abs(spread(old, keys))).alias("__os"))
+    n = new.select(*[F.col(c).alias("__n_" + c) for c in cols], F.lit(True).alias("__n"),
+                   F.abs(spread(new, keys)).alias("__ns"))
+    cond = reduce(lambda a, b: a & b, [o["__o_" + k] == n["__n_" + k] for k in keys]) & (o["__os"] == n["__ns"])
     j = o.join(n, cond, "full_outer")
     before = [F.col("__o_" + c).alias(c) for c in cols]
     after = [F.col("__n_" + c).alias(c) for c in cols]
@@ -63,6 +66,7 @@ def net_changes(feed: DataFrame, keys, compare=None, batch_col: str = BATCH) ->
     tells whether the key existed before the window; the last image tells
     whether it exists after. Existing both times -> update pair (dropped
     when equal on ``compare``); only before -> DELETE; only after -> INSERT.
+    Changes of rows with a NULL key cannot be told apart and are kept as they are.
     """
     keys = list(keys)
     data = [c for c in feed.columns if c not in (ACTION, IS_UPDATE, batch_col)]
@@ -73,7 +77,8 @@ def net_changes(feed: DataFrame, keys, compare=None, batch_col: str = BATCH) ->
         F.col(batch_col).alias("__b"), seq.alias("__q"), F.col(ACTION).alias("__a"),
         *[F.col(c) for c in others],
     )
-    g = feed.groupBy(*keys).agg(F.min(packed).alias("__f"), F.max(packed).alias("__l"))
+    loose = feed.filter(has_null(keys)).select(*data, ACTION, IS_UPDATE)
+    g = feed.filter(~has_null(keys)).groupBy(*keys).agg(F.min(packed).alias("__f"), F.max(packed).alias("__l"))
     existed = F.col("__f.__a") == "DELETE"
     exists = F.col("__l.__a") == "INSERT"
     before = [F.col(k) for k in keys] + [F.col(f"__f.{c}").alias(c) for c in others]
@@ -87,7 +92,7 @@ def net_changes(feed: DataFrame, keys, compare=None, batch_col: str = BATCH) ->
         .when(exists, F.array(_image(after, "INSERT", False)))
     )
     out = g.select(F.explode(items).alias("__x")).select("__x.*")
-    return out.select(*data, ACTION, IS_UPDATE)
+    return out.select(*data, ACTION, IS_UPDATE).unionByName(loose)
 
 
 def appended_since(df: DataFrame, last_consumed: int, batch_col: str = BATCH) -> DataFrame:

@@ -11,13 +11,16 @@ Feed convention (one row per image):
           + INSERT, is_update=true    (after image)
 
 Join strategies:
-  shuffle    full outer join on the key (sort-merge); scales with any delta.
-  broadcast  for a delta of proven small size: the target is streamed
-             past a broadcast copy of the delta and never shuffled; new keys
-             are found by a semi join of the target's key column against
-             the broadcast delta keys.
-  auto       broadcast when the delta's row count (``source_rows`` or a
-             count) and its estimated bytes are under the bounds, else shuffle.
+  shuffle    full outer join on the key (sort-merge); reads and shuffles the
+             target once, whatever the delta.
+  auto       target left join delta, plus the delta's keys that the target does
+             not hold. No hint and no guess of sizes: Spark broadcasts the
+             delta if its statistics (of the written delta, or at run time) are
+             under its threshold, and then the target is never shuffled.
+  broadcast  like auto (kept as a name for callers that expect a small delta).
+
+Rows with a NULL key never match; a hash of the whole row goes into the join
+key with them, so they spread over all partitions.
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierflow.functions.keys import max_key, surrogate_key
+from tierflow.functions.keys import assign_surrogate, max_key
 
 T = "__t_"
 S = "__s_"
@@ -37,24 +40,6 @@ IS_UPDATE = "_change_is_update"
 KIND = "_kind"
 FEED_COLS = (ACTION, IS_UPDATE)
 
-BROADCAST_MAX_ROWS = 2_000_000
-BROADCAST_MAX_BYTES = 256 * 1024 * 1024
-
-# Rough per-value width used to bound a broadcast delta's size.
-_WIDTH = {"string": 64, "binary": 64, "decimal": 16, "timestamp": 8, "timestamp_ntz": 8,
-          "bigint": 8, "double": 8, "int": 4, "float": 4, "date": 4, "boolean": 1,
-          "smallint": 2, "tinyint": 1}
-
-
-def estimated_row_bytes(df: DataFrame) -> int:
-    """Upper-ish estimate of one row's in-memory width from the schema."""
-    total = 16
-    for f in df.schema.fields:
-        name = f.dataType.simpleString().split("(")[0]
-        total += _WIDTH.get(name, 64)
-    return total
-
-
 class DuplicateKeyError(ValueError):
     pass
 
@@ -89,14 +74,27 @@ def dedupe_latest(df: DataFrame, keys, order_cols) -> DataFrame:
 
     Implemented as ``max(struct(order..., row...))`` per key, so partial
     aggregation collapses a hot key before the shuffle; ties on the order
-    columns resolve on the remaining columns, deterministically.
+    columns resolve on the remaining columns, deterministically. Rows with a
+    NULL in the key have no identity to be the latest of: all are kept.
     """
     keys = list(keys)
+    loose = df.filter(has_null(keys))
+    df = df.filter(~has_null(keys))
     others = [c for c in df.columns if c not in keys]
     order = [F.col(c).alias(f"__o{i}") for i, c in enumerate(order_cols)]
     packed = F.struct(*order, *[F.col(c) for c in others]).alias("__m")
     best = df.groupBy(*keys).agg(F.max(packed).alias("__m"))
-    return best.select(*keys, *[F.col(f"__m.{c}").alias(c) for c in others]).select(*df.columns)
+    return best.select(*keys, *[F.col(f"__m.{c}").alias(c) for c in others]).select(*df.columns).unionByName(loose)
+
+
+def has_null(keys) -> Column:
+    """True for rows whose key holds a NULL."""
+    return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+
+
+def spread(df: DataFrame, keys) -> Column:
+    """0 for rows with a whole key, else a hash of the row: an extra join key."""
+    return F.when(has_null(keys), F.xxhash64(*df.columns)).otherwise(F.lit(0).cast("bigint"))
 
 
 def duplicate_keys(df: DataFrame, keys) -> DataFrame:
@@ -150,7 +148,6 @@ def merge_rows(
     sk_base: int | None = None,
     strategy: str = "shuffle",
     source_rows: int | None = None,
-    broadcast_max_rows: int = BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """Joined, exploded upsert: table rows (``_kind='row'``) and feed rows (``'feed'``).
 
@@ -165,6 +162,7 @@ def merge_rows(
     null_safe      NULL-safe comparison of ``track`` (False = source ``!=``)
     set_on_update / set_on_insert   column -> expression overriding values
     surrogate      target column filled with a new unique key on insert
+    source_rows    accepted for callers that know it; the plan does not depend on it
     """
     keys = list(keys)
     tcols = target.columns
@@ -178,32 +176,20 @@ def merge_rows(
     if surrogate and sk_base is None:
         sk_base = max_key(target, surrogate)
 
-    if strategy == "auto":
-        # Broadcast only a delta whose size is proven small: its row count
-        # (counted, or known from the load ledger) times the schema width.
-        n = source.count() if source_rows is None else source_rows
-        small = n <= broadcast_max_rows and n * estimated_row_bytes(source) <= BROADCAST_MAX_BYTES
-        strategy = "broadcast" if small else "shuffle"
-
-    t = _prefixed(target, T, "__t")
-    s = _prefixed(source, S, "__s")
-    cond = reduce(lambda a, b: a & b, [t[T + k] == s[S + k] for k in keys])
-
-    if strategy == "broadcast":
-        # The delta is small and proven so (row count): broadcast it; the
-        # target streams past it and is never shuffled.
-        matched_side = t.join(F.broadcast(s), cond, "left")
-        s_keys = source.select(*[F.col(k).alias(S + k) for k in keys]).dropDuplicates()
+    if surrogate:
+        source = assign_surrogate(source, "__sk", sk_base)
+    # Targets of a NULL key and sources of one must not meet: their hashes differ in sign.
+    t = _prefixed(target.withColumn("__n", -F.abs(spread(target, keys))), T, "__t")
+    s = _prefixed(source.withColumn("__n", F.abs(spread(source, keys))), S, "__s")
+    cond = reduce(lambda a, b: a & b, [t[T + k] == s[S + k] for k in [*keys, "__n"]])
+
+    if strategy in ("auto", "broadcast"):
+        matched = t.join(s, cond, "left")
+        keys_of = source.select(*[F.col(k).alias(S + k) for k in keys]).dropDuplicates()
         hit = target.select(*[F.col(k).alias(T + k) for k in keys]).join(
-            F.broadcast(s_keys), [F.col(T + k) == F.col(S + k) for k in keys], "left_semi"
-        )
-        new = s.join(
-            F.broadcast(hit), reduce(lambda a, b: a & b, [s[S + k] == hit[T + k] for k in keys]), "left_anti"
-        )
-        for c in tcols:
-            new = new.withColumn(T + c, F.lit(None).cast(ttypes[c]))
-        new = new.withColumn("__t", F.lit(None).cast("boolean"))
-        joined = matched_side.unionByName(new)
+            keys_of, [F.col(T + k) == F.col(S + k) for k in keys], "left_semi").dropDuplicates()
+        new = s.join(hit, reduce(lambda a, b: a & b, [s[S + k] == hit[T + k] for k in keys]), "left_anti")
+        joined = matched.unionByName(new, allowMissingColumns=True)
     elif strategy == "shuffle":
         joined = t.join(s, cond, "full_outer")
     else:
@@ -218,8 +204,6 @@ def merge_rows(
         .otherwise(F.lit("keep"))
     )
     joined = joined.withColumn("__op", op)
-    if surrogate:
-        joined = joined.withColumn("__sk", F.when(F.col("__op") == "insert", surrogate_key(sk_base)))
 
     before, after = [], []
     for c in tcols:
@@ -231,7 +215,7 @@ def merge_rows(
         else:
             upd = old
         if surrogate and c == surrogate:
-            ins = F.col("__sk")
+            ins = F.col(S + "__sk")
         elif c in set_on_insert:
             ins = set_on_insert[c]
         elif c in insert_cols:

@@ -17,10 +17,11 @@ sound      Feed is netted per key first (no-op pairs vanish); only
            ``on_delete='expire'``. The hash key digests eff_start as well, so
            a reverted version gets a new key.
 
-Closed rows never change in sound mode, so ``sound_parts`` returns only
-the rows closed by this batch and the next current set; history can be
-appended while only the current set (bounded by the number of entities,
-not by history) is rewritten.
+Closed rows never change in sound mode, so ``sound_rows`` gives only the
+rows closed by this batch and the next current set, told apart by ``_part``,
+from one join of the current set and the net changes: one write stores both.
+Changes of rows with a NULL key are left out in sound mode: without a key there
+is no entity whose versions could be kept.
 """
 
 from __future__ import annotations
@@ -32,9 +33,10 @@ from pyspark.sql import functions as F
 
 from tierflow.functions.keys import hash_key
 from tierflow.operators.cdc import BATCH, net_changes
-from tierflow.operators.merge import ACTION, IS_UPDATE
+from tierflow.operators.merge import ACTION, IS_UPDATE, has_null
 
 START, END, CURRENT = "eff_start", "eff_end", "is_current"
+PART = "_part"
 
 
 def _ts(as_of) -> Column:
@@ -60,11 +62,10 @@ def empty_dim(feed: DataFrame, value_cols, hash_col: str, start=START, end=END,
     ).limit(0)
 
 
-def _new_versions(rows: DataFrame, value_cols, hash_cols, hash_col, as_of, sound, start, end, current):
-    digest_cols = list(hash_cols) + ([start] if sound else [])
+def _new_versions(rows: DataFrame, value_cols, hash_cols, hash_col, as_of, start, end, current):
     out = rows.select(*value_cols).withColumn(start, _ts(as_of))
     return out.select(
-        hash_key(digest_cols, sound=sound).alias(hash_col),
+        hash_key(list(hash_cols), sound=False).alias(hash_col),
         *value_cols,
         F.col(start),
         F.lit(None).cast("timestamp").alias(end),
@@ -93,43 +94,46 @@ def apply_reference(dim, feed, *, value_cols, match_cols, hash_cols, hash_col, a
     ins = feed.filter(F.col(ACTION) == "INSERT")
     existing = dim.select(*[F.col(c).alias("__e_" + c) for c in match_cols])
     unmatched = ins.join(existing, _and([F.col(c) == F.col("__e_" + c) for c in match_cols]), "left_anti")
-    new = _new_versions(unmatched, value_cols, hash_cols, hash_col, as_of, False, start, end, current)
+    new = _new_versions(unmatched, value_cols, hash_cols, hash_col, as_of, start, end, current)
     return expired.unionByName(new)
 
 
-def sound_parts(current_rows, feed, *, keys, value_cols, track, hash_cols, hash_col, as_of,
-                on_delete="ignore", start=START, end=END, current=CURRENT):
-    """(rows closed by this batch, next current rows) for sound mode."""
+def sound_rows(current_rows, feed, *, keys, value_cols, track, hash_cols, hash_col, as_of,
+               on_delete="ignore", start=START, end=END, current=CURRENT) -> DataFrame:
+    """Rows closed by this batch (``_part='closed'``) and the next current rows (``'current'``)."""
     keys = list(keys)
     if BATCH not in feed.columns:
         feed = feed.withColumn(BATCH, F.lit(0).cast("bigint"))
+    feed = feed.filter(~has_null(keys))
     net = net_changes(feed.select(*value_cols, ACTION, IS_UPDATE, BATCH), keys, compare=track)
-    ins = net.filter(F.col(ACTION) == "INSERT")
-    chg = ins.select(*[F.col(c).alias("__n_" + c) for c in value_cols], F.lit("ins").alias("__k"))
-    if on_delete == "expire":
-        dels = net.filter((F.col(ACTION) == "DELETE") & ~F.col(IS_UPDATE))
-        chg = chg.unionByName(
-            dels.select(*[F.col(c).alias("__n_" + c) for c in value_cols], F.lit("del").alias("__k"))
-        )
-    j = current_rows.join(chg, _and([F.col(k) == F.col("__n_" + k) for k in keys]), "left")
-    same = _and([F.col(c).eqNullSafe(F.col("__n_" + c)) for c in track])
-    closes = F.col("__k").isNotNull() & ~((F.col("__k") == "ins") & same)
+    gone = (F.col(ACTION) == "DELETE") & ~F.col(IS_UPDATE)
+    net = net.filter((F.col(ACTION) == "INSERT") | gone) if on_delete == "expire" else net.filter(F.col(ACTION) == "INSERT")
+    chg = net.select(*[F.col(c).alias("__n_" + c) for c in value_cols], F.col(ACTION).alias("__k"))
     cols = dim_columns(hash_col, value_cols, start, end, current)
-    closed_now = j.filter(closes).select(
-        *[F.col(c) for c in cols if c not in (end, current)],
-        _ts(as_of).alias(end),
-        F.lit(False).alias(current),
-    )
-    kept = j.filter(~closes).select(*cols)
-    still = current_rows.select(*[F.col(c).alias("__c_" + c) for c in keys + list(track)])
-    fresh = ins.join(
-        still,
-        _and([F.col(k) == F.col("__c_" + k) for k in keys]
-             + [F.col(c).eqNullSafe(F.col("__c_" + c)) for c in track]),
-        "left_anti",
+    old = current_rows.select(*cols, F.lit(True).alias("__c"))
+    j = old.join(chg, _and([F.col(k) == F.col("__n_" + k) for k in keys]), "full_outer")
+    types = {f.name: f.dataType for f in current_rows.schema.fields}
+    same = _and([F.col(c).eqNullSafe(F.col("__n_" + c)) for c in track])
+    was, added = F.col("__c").isNotNull(), F.col("__k").eqNullSafe(F.lit("INSERT"))
+    keep = was & (F.col("__k").isNull() | (added & same))
+    # The hash key digests the values and the start of the version that opens.
+    opened = {c: F.col("__n_" + c) for c in value_cols} | {start: _ts(as_of)}
+    digest = [opened[c] for c in [*hash_cols, start]]
+
+    def row(values, part):
+        return F.struct(*[values[c].cast(types[c]).alias(c) for c in cols], F.lit(part).alias(PART))
+
+    old_values = {c: F.col(c) for c in cols}
+    new_values = opened | {hash_col: hash_key(digest, sound=True), end: F.lit(None), current: F.lit(True)}
+    closed = row(old_values | {end: _ts(as_of), current: F.lit(False)}, "closed")
+    new = row(new_values, "current")
+    items = (
+        F.when(keep, F.array(row(old_values, "current")))
+        .when(was & added, F.array(closed, new))
+        .when(was, F.array(closed))
+        .when(added, F.array(new))
     )
-    new = _new_versions(fresh, value_cols, hash_cols, hash_col, as_of, True, start, end, current)
-    return closed_now, kept.unionByName(new)
+    return j.select(F.explode(items).alias("__x")).select("__x.*")
 
 
 def apply(dim, feed, *, keys, value_cols, hash_cols, hash_col, as_of, mode="sound",
@@ -156,11 +160,11 @@ def apply(dim, feed, *, keys, value_cols, hash_cols, hash_col, as_of, mode="soun
     track = [c for c in value_cols if c not in keys] if track is None else list(track)
     cur = dim.filter(F.col(current))
     closed = dim.filter(~F.col(current))
-    closed_now, next_current = sound_parts(
+    rows = sound_rows(
         cur, feed, keys=keys, value_cols=value_cols, track=track, hash_cols=hash_cols,
         hash_col=hash_col, as_of=as_of, on_delete=on_delete, start=start, end=end, current=current,
     )
-    return closed.unionByName(closed_now).unionByName(next_current)
+    return closed.unionByName(rows.drop(PART))
 
 
 def current_rows(dim: DataFrame, current: str = CURRENT) -> DataFrame:

@@ -2,18 +2,23 @@
 
 Storage layout under one root (a shared folder on a cluster):
 
-  stage/<entity>/_batch_id=<n>/       append-only text rows + audit columns
-  clean/<entity>/v=<n>/_kind=row/     clean table snapshot, version n
-  clean/<entity>/v=<n>/_kind=feed/    change feed that produced version n
-  consumption/<dim>/v=<n>/            reference mode: whole dimension
-  consumption/<dim>/current/v=<n>/    sound mode: current versions only
-  consumption/<dim>/history/          sound mode: closed versions, appended
-  common/load_ledger, common/offsets  ledger (see sources/ledger.py)
-
-Each step writes its output in one Spark job and commits its offset only
-afterwards; a step that is repeated after a failure reads the same inputs
-and writes a new version, so results are the same (at-least-once
-delivery, exactly-once effect).
+  stage/<entity>/_batch_id=<n>/              append-only text rows + audit columns
+  clean/<entity>/v=<n>/_kind=row|feed/       clean table and the change feed that made it
+  consumption/<dim>/reference/v=<n>/         reference mode: whole dimension
+  consumption/<dim>/sound/v=<n>/_part=...    sound mode: current versions, and those closed by n
+  quarantine/<entity>/_batch_id=<n>/         rows that failed a rule
+  quarantine/<entity>_load/_batch_id=<n>/    rows that could not be parsed
+  common/load_ledger                         files loaded (see sources/ledger.py)
+
+Each step writes its output in one Spark job. What a step has consumed is part
+of the commit marker of the version it wrote (sources/tables.py), so data and
+offset appear together: a step that fails anywhere is repeated from the same
+inputs into the same version number, and a step without new input does nothing.
+Dimensions net all feeds they have not seen before applying them once.
+
+Old versions of the clean table and of ``reference`` dimensions are not read
+again once their feed was consumed and may be deleted by age; versions of a
+``sound`` dimension hold its history and are kept.
 """
 
 from __future__ import annotations
@@ -23,11 +28,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampNTZType
 
 from tierflow.functions import privacy, quality
 from tierflow.operators import merge, scd2
-from tierflow.operators.cdc import BATCH
+from tierflow.operators.cdc import BATCH, net_changes
 from tierflow.plans.entities import AUDIT_COLS, Entity
 from tierflow.sources import ingest
 from tierflow.sources.ledger import Ledger
@@ -50,46 +55,49 @@ class Warehouse:
     def clean_table(self, e: Entity) -> SnapshotTable:
         return SnapshotTable(self.spark, f"{self.root}/clean/{e.name}", partition_by=["_kind"])
 
-    def dim_table(self, e: Entity, part: str | None = None) -> SnapshotTable:
-        base = f"{self.root}/consumption/{e.dim_name}"
-        return SnapshotTable(self.spark, f"{base}/{part}" if part else base)
-
-    def history_path(self, e: Entity) -> str:
-        return f"{self.root}/consumption/{e.dim_name}/history"
+    def dim_table(self, e: Entity, mode: str = "sound") -> SnapshotTable:
+        partition_by = [scd2.PART] if mode == "sound" else None
+        return SnapshotTable(self.spark, f"{self.root}/consumption/{e.dim_name}/{mode}", partition_by)
 
     # ------------------------------------------------------------ reads
-    def stage(self, e: Entity, after: int = 0) -> DataFrame:
+    def stage(self, e: Entity, after: int = 0) -> DataFrame | None:
         """Committed stage rows of batches after ``after`` (append-only stream read)."""
-        ids = [r["batch_id"] for r in self.ledger.committed_batches(e.name)
-               .filter(F.col("batch_id") > after).collect()]
-        if not ids or not path_exists(self.spark, self.stage_path(e)):
+        if not path_exists(self.spark, self.stage_path(e)):
             return None
-        return self.spark.read.parquet(self.stage_path(e)).filter(F.col(BATCH).isin(ids))
+        batches = self.ledger.committed_batches(e.name).select(F.col("batch_id").alias("__committed"))
+        rows = self.spark.read.schema(stage_schema(e)).parquet(self.stage_path(e)).filter(F.col(BATCH) > after)
+        return rows.join(batches, F.col(BATCH) == F.col("__committed"), "left_semi")
 
     def clean(self, e: Entity, version: int | None = None) -> DataFrame | None:
         t = self.clean_table(e)
         if not t.exists():
             return None
-        cols = [e.surrogate, *e.clean_cols]
-        return self.spark.read.parquet(f"{t.path(version)}/_kind=row").select(*cols)
+        return t.read(version).filter(F.col(merge.KIND) == "row").select(e.surrogate, *e.clean_cols)
 
     def clean_feed(self, e: Entity, version: int) -> DataFrame:
-        t = self.clean_table(e)
-        return self.spark.read.parquet(f"{t.path(version)}/_kind=feed")
+        return self.clean_feeds(e, version, version)
+
+    def clean_feeds(self, e: Entity, first: int, last: int) -> DataFrame:
+        """Feeds of the versions first..last; ``_batch_id`` is the version."""
+        rows = self.clean_table(e).read_versions(first, last).filter(F.col(merge.KIND) == "feed")
+        return rows.withColumn(BATCH, F.col("v").cast("bigint")).drop("v", merge.KIND)
 
     def dim(self, e: Entity, mode: str = "sound") -> DataFrame | None:
-        if mode == "reference":
-            t = self.dim_table(e)
-            return t.read() if t.exists() else None
-        cur = self.dim_table(e, "current")
-        if not cur.exists():
+        t = self.dim_table(e, mode)
+        head = t.version()
+        if not head:
             return None
-        current = cur.read()
-        if path_exists(self.spark, self.history_path(e)):
-            schema = StructType([*current.schema.fields, StructField(BATCH, LongType())])
-            hist = self.spark.read.schema(schema).parquet(self.history_path(e)).select(*current.columns)
-            return hist.unionByName(current)
-        return current
+        if mode == "reference":
+            return t.read(head)
+        rows = t.read_versions(1, head)
+        return rows.filter((F.col(scd2.PART) == "closed") | (F.col("v") == head)).drop("v", scd2.PART)
+
+
+def stage_schema(e: Entity) -> StructType:
+    """Schema of the stage table: text columns, audit columns, batch id."""
+    times = {"_stg_file_load_ts", "_copy_data_ts"}
+    fields = [StructField(c, TimestampNTZType() if c in times else StringType()) for c in [*e.stage_cols, *AUDIT_COLS]]
+    return StructType([*fields, StructField(BATCH, LongType())])
 
 
 @dataclass
@@ -120,7 +128,7 @@ def append_stage(wh: Warehouse, e: Entity, rows: DataFrame, listing: DataFrame |
     batch_id = _next_batch_id(wh, e)
     rows.withColumn(BATCH, F.lit(batch_id).cast("bigint")) \
         .write.mode("append").partitionBy(BATCH).parquet(wh.stage_path(e))
-    written = wh.spark.read.parquet(wh.stage_path(e)).filter(F.col(BATCH) == batch_id)
+    written = wh.spark.read.schema(stage_schema(e)).parquet(wh.stage_path(e)).filter(F.col(BATCH) == batch_id)
     counts = written.groupBy(F.col("_stg_file_md5").alias("file_key")).agg(
         F.count(F.lit(1)).alias("rows_loaded"), F.first("_stg_file_name").alias("file_name"))
     if listing is not None:
@@ -143,24 +151,37 @@ def append_stage(wh: Warehouse, e: Entity, rows: DataFrame, listing: DataFrame |
     return LoadResult(batch_id, int(summary["files"] or 0), int(summary["rows"] or 0))
 
 
+MAX_FILES = 10_000
+
+
 def copy_into(wh: Warehouse, e: Entity, path: str, *, as_of=None, bind_by: str = "position",
-              file_cols=None, **reader_opts) -> LoadResult:
+              file_cols=None, max_files: int = MAX_FILES, **reader_opts) -> LoadResult:
     """Load the files under ``path`` not loaded before into the stage table.
 
-    The skip test is an anti join of the file listing against the ledger;
-    only the new files' paths (not their rows) come to the driver, to be
-    handed to the reader.
+    The skip test is an anti join of the file listing against the ledger. Paths
+    of new files come to the driver, to be handed to the reader, at most
+    ``max_files`` at a time; a larger load makes several batches. With
+    ``on_error='continue'`` rows that cannot be parsed go to
+    ``quarantine/<entity>_load`` with file and text, and are not loaded.
     """
     listing = ingest.list_files(wh.spark, path)
-    new = listing.join(wh.ledger.loaded_keys(e.name), "file_key", "left_anti")
-    new_paths = [r["path"] for r in new.select("path").collect()]
-    if not new_paths:
-        return LoadResult(None, 0, 0)
     reader_opts.setdefault("multi_line", e.multi_line)
-    rows = ingest.read_staged(wh.spark, new_paths, file_cols or e.stage_cols, target_cols=e.stage_cols,
-                              bind_by=bind_by, as_of=as_of, **reader_opts)
-    rows = rows.drop("_corrupt_record") if "_corrupt_record" in rows.columns else rows
-    return append_stage(wh, e, rows, new, as_of)
+    batch_id, files, loaded = None, 0, 0
+    while True:
+        new = listing.join(wh.ledger.loaded_keys(e.name), "file_key", "left_anti")
+        new_paths = [r["path"] for r in new.select("path").orderBy("path").limit(max_files).collect()]
+        if not new_paths:
+            return LoadResult(batch_id, files, loaded)
+        rows = ingest.read_staged(wh.spark, new_paths, file_cols or e.stage_cols, target_cols=e.stage_cols,
+                                  bind_by=bind_by, as_of=as_of, **reader_opts)
+        if ingest.CORRUPT in rows.columns:
+            bad = rows.filter(F.col(ingest.CORRUPT).isNotNull())
+            bad.write.mode("overwrite").parquet(f"{wh.root}/quarantine/{e.name}_load/{BATCH}={_next_batch_id(wh, e)}")
+            rows = rows.filter(F.col(ingest.CORRUPT).isNull()).drop(ingest.CORRUPT)
+        done = append_stage(wh, e, rows, new.filter(F.col("path").isin(new_paths)), as_of)
+        batch_id, files, loaded = done.batch_id, files + done.files, loaded + done.rows
+        if len(new_paths) < max_files:
+            return LoadResult(batch_id, files, loaded)
 
 
 def _empty_clean(e: Entity, src: DataFrame) -> DataFrame:
@@ -170,24 +191,26 @@ def _empty_clean(e: Entity, src: DataFrame) -> DataFrame:
 def run_clean(wh: Warehouse, e: Entity, *, as_of=None, mode: str = "sound", strategy: str = "auto",
               checks: str = "abort") -> int | None:
     """Merge staged batches not yet consumed into the clean table; returns the new version."""
-    last = wh.ledger.offset("clean", e.name)
-    new_rows = wh.stage(e, after=last)
-    if new_rows is None:
+    table = wh.clean_table(e)
+    last = table.consumed()
+    # The batch to consume up to comes from the ledger: a batch may have no rows.
+    max_batch = wh.ledger.committed_batches(e.name).agg(F.max("batch_id").alias("m")).first()["m"]
+    if max_batch is None or max_batch <= last:
+        return None
+    stage = wh.stage(e, after=0 if e.source == "table" else last)
+    if stage is None:
         return None
-    max_batch = int(new_rows.agg(F.max(BATCH)).first()[0])
-    stage = wh.stage(e, after=0) if e.source == "table" else new_rows
     src = e.conform(stage.drop(BATCH))
     rules = quality.rules_for(e.not_null, e.max_len)
     if checks == "abort":
         src = quality.enforce(src, rules)
     elif checks == "quarantine":
         src, bad = quality.split_valid(src, rules)
-        bad.withColumn(BATCH, F.lit(max_batch)).write.mode("append") \
-            .parquet(f"{wh.root}/quarantine/{e.name}")
+        bad.write.mode("overwrite").parquet(f"{wh.root}/quarantine/{e.name}/{BATCH}={max_batch}")
     if mode == "sound":
         src = merge.dedupe_latest(src, e.keys, e.order_cols)
     at = as_of or _now()
-    stamp = {"_copy_data_ts": F.lit(at).cast("timestamp_ntz")} if e.stamp_copy_ts else {}
+    stamp = {"_copy_data_ts": F.lit(at).cast("timestamp_ntz")}
     target = wh.clean(e)
     if target is None:
         target = _empty_clean(e, src)
@@ -199,53 +222,44 @@ def run_clean(wh: Warehouse, e: Entity, *, as_of=None, mode: str = "sound", stra
         insert_cols=[c for c in e.clean_cols if c in src.columns],
         track=e.track,
         null_safe=(mode == "sound"),
-        set_on_update=dict(e.set_on_update, **stamp),
-        set_on_insert=dict(e.set_on_insert, **stamp),
+        set_on_update=dict(e.set_on_update, **(stamp if e.stamp_copy_ts else {})),
+        set_on_insert=dict(e.set_on_insert, **(stamp if e.stamp_copy_ts or e.insert_copy_ts else {})),
         surrogate=e.surrogate,
         strategy=strategy,
     )
     rows = privacy.tag(rows.withColumn(BATCH, F.lit(max_batch).cast("bigint")), e.tags)
-    version = wh.clean_table(e).write(rows)
-    wh.ledger.commit("clean", e.name, max_batch)
-    return version
+    return table.write(rows, consumed=max_batch)
 
 
-def _dim_feed(wh: Warehouse, e: Entity, version: int) -> DataFrame:
-    feed = wh.clean_feed(e, version)
-    cols = []
-    for c in e.dim_values:
-        cast = e.dim_overrides.get(c)
-        cols.append(F.col(c).cast(cast).alias(c) if cast else F.col(c))
-    return feed.select(*cols, merge.ACTION, merge.IS_UPDATE, F.lit(version).cast("bigint").alias(BATCH))
+def _dim_feed(wh: Warehouse, e: Entity, first: int, last: int) -> DataFrame:
+    """One net change set of the clean versions first..last, in the dimension's columns."""
+    cols = [F.col(c).cast(e.dim_overrides[c]).alias(c) if c in e.dim_overrides else F.col(c) for c in e.dim_values]
+    feed = wh.clean_feeds(e, first, last).select(*cols, merge.ACTION, merge.IS_UPDATE, BATCH)
+    return net_changes(feed, e.keys) if last > first else feed.drop(BATCH)
 
 
 def run_dim(wh: Warehouse, e: Entity, *, as_of=None, mode: str = "sound", on_delete: str = "ignore") -> int:
     """Apply clean-table feeds not yet consumed to the dimension; returns the last clean version applied."""
-    consumer = f"dim:{mode}"
-    last = wh.ledger.offset(consumer, e.name)
-    head = wh.clean_table(e).version()
+    table = wh.dim_table(e, mode)
+    last, head = table.consumed(), wh.clean_table(e).version()
+    if last >= head:
+        return head
     start, end, cur = e.dim_time
     at = as_of or _now()
-    for v in range(last + 1, head + 1):
-        feed = _dim_feed(wh, e, v)
-        dim = wh.dim(e, mode)
-        if dim is None:
-            dim = scd2.empty_dim(feed, e.dim_values, e.dim_hash, start, end, cur)
-        if mode == "reference":
-            out = scd2.apply(dim, feed, keys=e.keys, value_cols=e.dim_values, hash_cols=e.dim_hash_cols,
-                             hash_col=e.dim_hash, as_of=at, mode="reference", match_cols=e.dim_match,
-                             start=start, end=end, current=cur)
-            wh.dim_table(e).write(privacy.tag(out, e.tags))
-        else:
-            track = [c for c in e.dim_values if c not in e.keys]
-            closed_now, next_current = scd2.sound_parts(
-                scd2.current_rows(dim, cur), feed, keys=e.keys, value_cols=e.dim_values, track=track,
-                hash_cols=e.dim_hash_cols, hash_col=e.dim_hash, as_of=at, on_delete=on_delete,
-                start=start, end=end, current=cur)
-            closed_now.withColumn(BATCH, F.lit(v).cast("bigint")).write.mode("append") \
-                .partitionBy(BATCH).parquet(wh.history_path(e))
-            wh.dim_table(e, "current").write(privacy.tag(next_current, e.tags))
-        wh.ledger.commit(consumer, e.name, v)
+    feed = _dim_feed(wh, e, last + 1, head)
+    dim = wh.dim(e, mode)
+    if dim is None:
+        dim = scd2.empty_dim(feed, e.dim_values, e.dim_hash, start, end, cur)
+    if mode == "reference":
+        out = scd2.apply(dim, feed, keys=e.keys, value_cols=e.dim_values, hash_cols=e.dim_hash_cols,
+                         hash_col=e.dim_hash, as_of=at, mode="reference", match_cols=e.dim_match,
+                         start=start, end=end, current=cur)
+    else:
+        track = [c for c in e.dim_values if c not in e.keys]
+        out = scd2.sound_rows(scd2.current_rows(dim, cur), feed, keys=e.keys, value_cols=e.dim_values, track=track,
+                              hash_cols=e.dim_hash_cols, hash_col=e.dim_hash, as_of=at, on_delete=on_delete,
+                              start=start, end=end, current=cur)
+    table.write(privacy.tag(out, e.tags), consumed=head)
     return head
 
 

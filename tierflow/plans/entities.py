@@ -43,6 +43,7 @@ class Entity:
     source: str = "feed"                  # 'feed' or 'table' (menu re-reads all of stage)
     dim_overrides: dict[str, str] = field(default_factory=dict)  # dim column -> cast type
     stamp_copy_ts: bool = False           # merge sets _copy_data_ts to the batch time (D5)
+    insert_copy_ts: bool = False          # only its inserts do: a column default (B14)
     multi_line: bool = False              # quoted fields may hold newlines (CSV multiLine)
     # Order that picks the last arrival of a key within one batch (J4, D6).
     order_cols: list[str] = field(default_factory=lambda: ["_stg_file_load_ts", "_stg_file_name"])
@@ -227,7 +228,7 @@ RESTAURANT = Entity(
     keys=["restaurant_id"],
     surrogate="restaurant_sk",
     clean_cols=[*_REST_VALUES, "created_dt", "modified_dt", *AUDIT_COLS],
-    # _copy_data_ts is set on insert (column default) and never updated.
+    # _copy_data_ts is set on insert (column default: the merge's time) and never updated.
     update_cols=[*_REST_VALUES[1:], "created_dt", "modified_dt",
                  "_stg_file_name", "_stg_file_load_ts", "_stg_file_md5"],
     track=None,
@@ -240,6 +241,7 @@ RESTAURANT = Entity(
     max_len={"name": 100, "restaurant_phone": 15, "operating_hours": 100, "active_flag": 10,
              "open_status": 10, "locality": 100},
     tags={"restaurant_phone": "SENSITIVE"},
+    insert_copy_ts=True,
 )
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -49,15 +48,17 @@ def build_session(
 def scratch_dir(spark: SparkSession, *parts: str) -> str:
     """A folder under the shared checkpoint location named by the cluster.
 
-    The location comes from ``spark.checkpoint.dir``. Only when it is unset
-    (local runs and tests) is a fresh folder created and registered, so the
-    same code never writes to a machine-local folder on a cluster.
+    The location comes from ``spark.checkpoint.dir``. Where it is unset a
+    fresh folder is made for a local master only; on a cluster that is an
+    error, since executors do not share the driver's disk.
     """
     sc = spark.sparkContext
     base = sc.getConf().get("spark.checkpoint.dir", None)
     if not base:
         base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="tierflow-")
         spark.conf.set("spark.checkpoint.dir", base)
     if sc.getCheckpointDir() is None:
@@ -73,19 +74,6 @@ def unique_scratch(spark: SparkSession, name: str) -> str:
     return scratch_dir(spark, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def local_fs_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def ensure_dir(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(local_fs_path(path), exist_ok=True)
-
-
 def materialize(df):
     """Cut lineage: a reliable checkpoint into ``spark.checkpoint.dir``.
 

@@ -32,6 +32,7 @@ CSV_OPTIONS = {
     "encoding": "UTF-8",
 }
 
+CORRUPT = "_corrupt_record"
 AUDIT = ["_stg_file_name", "_stg_file_load_ts", "_stg_file_md5", "_copy_data_ts"]
 
 
@@ -55,8 +56,8 @@ def csv_reader(spark: SparkSession, cols, *, on_error: str = "abort", ragged: st
     if on_error == "continue" or ragged == "pad":
         opts["mode"] = "PERMISSIVE"
         if on_error == "continue":
-            schema = schema.add("_corrupt_record", T.StringType(), True)
-            opts["columnNameOfCorruptRecord"] = "_corrupt_record"
+            schema = schema.add(CORRUPT, T.StringType(), True)
+            opts["columnNameOfCorruptRecord"] = CORRUPT
     else:
         opts["mode"] = "FAILFAST"
     if multi_line:
@@ -104,7 +105,7 @@ def bind(df: DataFrame, target_cols, how: str = "position") -> DataFrame:
               source's ``copy into T (cols) from (select $1, $2 ...)``)
     name:     columns are matched by header name
     """
-    data = [c for c in df.columns if c not in AUDIT and c != "_corrupt_record"]
+    data = [c for c in df.columns if c not in AUDIT and c != CORRUPT]
     rest = [c for c in df.columns if c not in data]
     if how == "position":
         if len(data) != len(target_cols):
@@ -125,9 +126,10 @@ def read_staged(spark: SparkSession, path, file_cols, *, target_cols=None, bind_
     paths = [path] if isinstance(path, str) else list(path)
     raw = csv_reader(spark, file_cols, **reader_opts).load(paths)
     if bind_by == "name":
-        # Header names decide: read the header as the schema's names.
+        # Header names decide, and they must be the same in all files of one load:
+        # a file with another header fails the job instead of filling wrong columns.
         hdr = spark.read.options(**CSV_OPTIONS).option("inferSchema", "false").csv(paths).columns
-        raw = csv_reader(spark, hdr, **reader_opts).load(paths)
+        raw = csv_reader(spark, hdr, **reader_opts).option("enforceSchema", "false").load(paths)
     audited = with_audit(raw, as_of)
     return bind(audited, list(target_cols or file_cols), bind_by)
 

@@ -1,19 +1,23 @@
 """Reading the driver's tables and keeping versioned table snapshots.
 
 A snapshot table is a folder with one sub-folder per version
-(``v=00000001`` ...). A version counts only once Spark's ``_SUCCESS``
-marker is present, so a failed or half-written job never becomes the
-current version, and a job that reads version n can safely write n+1
-(Spark cannot overwrite a path it is reading from).
+(``v=00000001`` ...). A version counts only once its commit marker is there:
+one small JSON file, put in place by a rename after the data, that also says
+which input the version consumed. Data and consumer offset are therefore one
+atomic step; a job that fails before it leaves a folder that the next attempt
+overwrites. A job that reads version n can safely write n+1 (Spark cannot
+overwrite a path it is reading from).
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
-TPCH_TABLES = (
-    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
-)
+COMMITTED = "_COMMITTED"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,19 +32,20 @@ def _fs(spark: SparkSession, path: str):
     return hpath.getFileSystem(conf), hpath, jvm
 
 
-def committed_versions(spark: SparkSession, root: str) -> list[int]:
-    """Version numbers under ``root`` that finished writing."""
+def head_version(spark: SparkSession, root: str) -> int:
+    """The latest committed version under ``root`` (0 if none).
+
+    One listing of the folder; markers are looked for from the top, so no more
+    than the attempts that failed since the last commit are probed.
+    """
     fs, hroot, jvm = _fs(spark, root)
     if not fs.exists(hroot):
-        return []
-    found = []
-    for status in fs.listStatus(hroot):
-        name = status.getPath().getName()
-        if status.isDirectory() and name.startswith("v="):
-            marker = jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-            if fs.exists(marker):
-                found.append(int(name[2:]))
-    return sorted(found)
+        return 0
+    names = (status.getPath().getName() for status in fs.listStatus(hroot))
+    for v in sorted((int(n[2:]) for n in names if n.startswith("v=")), reverse=True):
+        if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{root}/v={v:08d}/{COMMITTED}")):
+            return v
+    return 0
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -48,6 +53,27 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
+def _write_marker(spark: SparkSession, folder: str, content: dict) -> None:
+    fs, path, jvm = _fs(spark, f"{folder}/{COMMITTED}")
+    draft = jvm.org.apache.hadoop.fs.Path(f"{folder}/_draft{COMMITTED}")
+    out = fs.create(draft, True)
+    try:
+        out.write(bytearray(json.dumps(content), "utf-8"))
+    finally:
+        out.close()
+    fs.rename(draft, path)
+
+
+def _read_marker(spark: SparkSession, folder: str) -> dict:
+    fs, path, jvm = _fs(spark, f"{folder}/{COMMITTED}")
+    source = fs.open(path)
+    try:
+        size = fs.getFileStatus(path).getLen()
+        return json.loads(bytes(source.readNBytes(size)).decode("utf-8"))
+    finally:
+        source.close()
+
+
 class SnapshotTable:
     """A table stored as immutable parquet versions under one root folder."""
 
@@ -57,8 +83,7 @@ class SnapshotTable:
         self.partition_by = partition_by or []
 
     def version(self) -> int:
-        versions = committed_versions(self.spark, self.root)
-        return versions[-1] if versions else 0
+        return head_version(self.spark, self.root)
 
     def exists(self) -> bool:
         return self.version() > 0
@@ -67,14 +92,34 @@ class SnapshotTable:
         v = self.version() if version is None else version
         return f"{self.root}/v={v:08d}"
 
+    def consumed(self) -> int:
+        """What the latest version had consumed of its input (0 if there is none)."""
+        v = self.version()
+        return int(_read_marker(self.spark, self.path(v))["consumed"]) if v else 0
+
     def read(self, version: int | None = None) -> DataFrame:
-        return self.spark.read.parquet(self.path(version))
+        v = self.version() if version is None else version
+        return self.read_versions(v, v).drop("v")
+
+    def read_versions(self, first: int, last: int) -> DataFrame:
+        """Rows of the versions first..last, with their number ``v``.
+
+        The schema is the written one, so a version (or a partition of it)
+        without rows reads as an empty frame.
+        """
+        schema = StructType.fromJson(json.loads(_read_marker(self.spark, self.path(last))["schema"]))
+        paths = [self.path(last)] if first == last else [self.root]
+        rows = (self.spark.read.schema(schema.add(StructField("v", IntegerType())))
+                .option("basePath", self.root).parquet(*paths))
+        return rows.filter(F.col("v").between(first, last))
 
-    def write(self, df: DataFrame) -> int:
+    def write(self, df: DataFrame, consumed: int = 0) -> int:
         """Write ``df`` as the next version and return its number."""
         nxt = self.version() + 1
         writer = df.write.mode("overwrite")
         if self.partition_by:
             writer = writer.partitionBy(*self.partition_by)
         writer.parquet(self.path(nxt))
+        nullable = StructType([StructField(f.name, f.dataType, True, f.metadata) for f in df.schema.fields])
+        _write_marker(self.spark, self.path(nxt), {"consumed": int(consumed), "schema": nullable.json()})
         return nxt

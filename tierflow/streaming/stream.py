@@ -8,6 +8,7 @@ already in the load ledger: a replayed micro-batch adds nothing twice.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,11 +30,15 @@ def entity_stream(spark: SparkSession, e: Entity, landing: str, *, as_of=None,
 def process_micro_batch(wh: batch.Warehouse, e: Entity, *, as_of=None, mode: str = "sound",
                         strategy: str = "auto", checks: str = "abort"):
     def run(df: DataFrame, epoch_id: int) -> None:
-        fresh = df.join(wh.ledger.loaded_keys(e.name),
-                        df["_stg_file_md5"] == F.col("file_key"), "left_anti")
-        if fresh.isEmpty():
-            return
-        batch.append_stage(wh, e, fresh, None, as_of)
+        # Files, not rows, are looked up in the ledger; the micro-batch is parsed once.
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            files = df.select("_stg_file_md5").distinct()
+            fresh = files.join(wh.ledger.loaded_keys(e.name), files["_stg_file_md5"] == F.col("file_key"), "left_anti")
+            if not fresh.isEmpty():
+                batch.append_stage(wh, e, df.join(fresh, "_stg_file_md5", "left_semi"), None, as_of)
+        finally:
+            df.unpersist()
         batch.run_clean(wh, e, as_of=as_of, mode=mode, strategy=strategy, checks=checks)
         batch.run_dim(wh, e, as_of=as_of, mode=mode)
     return run

@@ -13,8 +13,10 @@ and its copies still fill the ranks in order of their ids.
 
 The window is a share of the rows (``WINDOW``): embeddings without clusters
 (as the given ones nearly are) have neighbours all over any order, and recall
-follows the share that is looked at. A group of work is one block of one curve
-with one slice of the queries that reach it, so groups stay bounded.
+follows the share that is looked at. A window is ``REACH`` blocks to either
+side; blocks grow with it up to ``MOST_BLOCK_ROWS`` rows, beyond which there are
+more of them. A group of work is one block of one curve with one slice of the
+queries that reach it, so groups stay bounded.
 
 Inner product is the measure. Vectors that are null, zero, or hold null or
 non-finite components take no part, neither do rows without an id; repeated
@@ -38,7 +40,10 @@ CURVES = 12
 DIRECTIONS = 8
 BITS = 7
 WINDOW = 0.12
-BLOCK_ROWS = 1024
+REACH = 4
+MOST_BLOCK_ROWS = 1 << 15
+#: Kept beyond k + 1 when lists are merged: scores of block products may differ in the last bit.
+SPARE = 12
 QUERY_SLICE = 1024
 
 
@@ -139,9 +144,10 @@ def nearest(vectors: DataFrame, query_filter, id_col: str = "vec_id", vector_col
     queries = queries.withColumn("vector", F.transform("vector", lambda x: F.when(x == 0, F.lit(0.0)).otherwise(x)))
     asked = staged(queries.join(entries.select("entry", "vector"), "vector").select("query_id", "entry").distinct(), "ann-queries")
     places = staged(numbered(entries, curves, seed), "ann-places")
-    blocks = max(1, -(-total // BLOCK_ROWS))
-    reach = min(blocks, int(np.ceil(window * total / 2 / BLOCK_ROWS)))
-    block = F.floor(F.col("place") / BLOCK_ROWS).cast("int")
+    rows = min(MOST_BLOCK_ROWS, max(k + 1, int(np.ceil(window * total / 2 / REACH))))
+    blocks = -(-total // rows)
+    reach = int(np.ceil(window * total / 2 / rows))
+    block = F.floor(F.col("place") / rows).cast("int")
     n_slices = max(1, -(-asked.count() * (2 * reach + 1) // blocks // QUERY_SLICE))
     vector_of = entries.select("entry", "vector")
     members = places.join(vector_of, "entry").select("curve", block.alias("block"), "entry", "vector", F.lit(False).alias("asks"))
@@ -157,16 +163,20 @@ def nearest(vectors: DataFrame, query_filter, id_col: str = "vec_id", vector_col
     def best(group: pd.DataFrame) -> pd.DataFrame:
         asks = group["asks"].to_numpy(bool)
         if not asks.any() or asks.all():
-            return pd.DataFrame({"entry": [], "near": []}).astype("int64")
+            return pd.DataFrame({"entry": np.empty(0, np.int64), "near": [], "score": []})
         ids = group["entry"].to_numpy(np.int64)
         q, c = np.stack(group["vector"][asks].to_list()), np.stack(group["vector"][~asks].to_list())
-        take = min(k + 1, len(c))
+        take = min(k + 1 + SPARE, len(c))
         score = q @ c.T
         top = np.argpartition(-score, take - 1, axis=1)[:, :take]
-        return pd.DataFrame({"entry": np.repeat(ids[asks], take), "near": ids[~asks][top].ravel()})
-
-    found = (work.groupBy("curve", "block", "slice").applyInPandas(best, "entry long, near long")
-             .select("entry", "near").distinct())
+        return pd.DataFrame({"entry": ids[asks], "near": list(ids[~asks][top]), "score": list(np.take_along_axis(score, top, 1))})
+
+    # Merge the lists of all windows and curves.
+    listed = (work.groupBy("curve", "block", "slice").applyInPandas(best, "entry long, near array<long>, score array<double>")
+              .select("entry", F.explode(F.arrays_zip("near", "score")).alias("x")).select("entry", "x.near", "x.score")
+              .groupBy("entry", "near").agg(F.max("score").alias("score")))
+    closest = Window.partitionBy("entry").orderBy(F.desc("score"), "near")
+    found = listed.withColumn("r", F.row_number().over(closest)).filter(F.col("r") <= k + 1 + SPARE).select("entry", "near")
 
     # Rerank: the measure itself, once for each pair of entries, then ids in order.
     pair = (found.join(vector_of.withColumnRenamed("vector", "q"), "entry")

@@ -13,6 +13,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -53,7 +54,7 @@ def main():
     spark = build_session(
         f"local[{cpus}]",
         shuffle_partitions=int(cpus) * 2,
-        conf={"spark.driver.memory": "16g"},
+        conf={"spark.driver.memory": "16g", "spark.checkpoint.dir": tempfile.mkdtemp(prefix="tierflow-bench-")},
     )
     names = [n for n in HEADLINE if n in registry.QUERIES]
     for n in names:  # warm-up: JIT, file listing, broadcast of small dims

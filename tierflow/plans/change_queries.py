@@ -242,7 +242,8 @@ def quality_duplicates(spark, d):
     return quality.duplicates(read_table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
-_COUNTED = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+_COUNTED = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+            "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
 @register("row_counts", " UNION ALL ".join(
@@ -294,13 +295,19 @@ def hash_key_sha1(spark, d):
 
 
 @register("surrogate_unique", """
-SELECT count(*) AS n_rows, count(*) AS n_distinct_keys, CAST(1 AS BIGINT) AS min_key_floor FROM customer""")
+SELECT count(*) AS n_rows, count(*) AS n_distinct_keys, true AS old_kept, true AS new_above FROM customer""")
 def surrogate_unique(spark, d):
-    keyed = K.assign_surrogate(read_table(spark, d, "customer"), "customer_sk", base=0)
-    return keyed.agg(
+    """Keys given by an upsert of many partitions: unique, old ones kept, new ones above the old maximum."""
+    c = read_table(spark, d, "customer").select("c_custkey", "c_name")
+    old = K.assign_surrogate(c.filter(F.col("c_custkey") % 3 == 0), "customer_sk", base=500)
+    out = merge.upsert(old, c.repartition(7), ["c_custkey"], surrogate="customer_sk").table
+    before = old.select("c_custkey", F.col("customer_sk").alias("old_sk"))
+    top = K.max_key(old, "customer_sk")
+    return out.join(before, "c_custkey", "left").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.countDistinct("customer_sk").alias("n_distinct_keys"),
-        F.least(F.min("customer_sk"), F.lit(1)).cast("bigint").alias("min_key_floor"),
+        F.bool_and(F.col("old_sk").isNull() | (F.col("old_sk") == F.col("customer_sk"))).alias("old_kept"),
+        F.bool_and(F.col("old_sk").isNotNull() | (F.col("customer_sk") > F.lit(top))).alias("new_above"),
     )
 
 
@@ -543,7 +550,7 @@ def scd2_reference(spark, d):
 
 
 def _delete_dim(spark, d, on_delete: str) -> DataFrame:
-    d1, _, _ = _days(spark, d)
+    d1 = st.customer_base(read_table(spark, d, "customer")).withColumn("_load_batch", F.lit(1).cast("bigint"))
     kept = d1.filter(F.col("c_custkey") % 13 != 0)
     feed = cdc.diff_snapshots(d1, kept, st.CUSTOMER_KEYS)
     f1 = _up(d1.limit(0), d1).feed
@@ -555,16 +562,16 @@ def _delete_dim(spark, d, on_delete: str) -> DataFrame:
                                as_of=st.DAY_TS[2], **kw))
 
 
-@register("scd2_ignore_delete", f"""WITH {_DAYS_SQL}
-SELECT {_VALS}, {_T[1]} AS eff_start, CAST(NULL AS TIMESTAMP) AS eff_end, true AS is_current FROM day1""")
+@register("scd2_ignore_delete", f"""WITH {_CUST_BASE_SQL}
+SELECT {_VALS}, {_T[1]} AS eff_start, CAST(NULL AS TIMESTAMP) AS eff_end, true AS is_current FROM base""")
 def scd2_ignore_delete(spark, d):
     return _delete_dim(spark, d, "ignore")
 
 
-@register("scd2_expire_delete", f"""WITH {_DAYS_SQL}
+@register("scd2_expire_delete", f"""WITH {_CUST_BASE_SQL}
 SELECT {_VALS}, {_T[1]} AS eff_start,
        CASE WHEN c_custkey % 13 = 0 THEN {_T[2]} END AS eff_end,
-       c_custkey % 13 <> 0 AS is_current FROM day1""")
+       c_custkey % 13 <> 0 AS is_current FROM base""")
 def scd2_expire_delete(spark, d):
     return _delete_dim(spark, d, "expire")
 

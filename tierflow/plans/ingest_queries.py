@@ -127,11 +127,24 @@ def copy_history(spark, d):
     return hist.groupBy("table_name", "status").agg(F.sum("rows_loaded").cast("bigint").alias("rows_loaded"))
 
 
-@register("list_files")
+@register("list_files", """
+SELECT true AS same_files, true AS same_bytes, true AS keys_unique, CAST(count(*) AS BIGINT) AS scanned_rows FROM customer""")
 def list_files(spark, d):
-    """Staged file listing (path, length, modification time, key); sizes vary by writer."""
+    """The listing of the landed files against what a scan of them reports."""
     _, landing = _landed(spark, d, "list-files")
-    return ingest.list_files(spark, landing).filter(F.col("path").endswith(".csv"))
+    listed = ingest.list_files(spark, landing).filter(F.col("path").endswith(".csv"))
+    raw = ingest.csv_reader(spark, _TEXT_COLS).load(landing)
+    scanned = raw.select(ingest.scanned_path().alias("path"), F.col("_metadata.file_size").alias("size"), ingest.file_key().alias("key"))
+    files = scanned.groupBy("path").agg(F.max("size").alias("size"), F.max("key").alias("key"), F.count(F.lit(1)).alias("n"))
+    tail = lambda c: F.element_at(F.split(c, "/"), -1)
+    both = listed.select(tail(F.col("path")).alias("name"), "length", "file_key").join(
+        files.select(tail(F.col("path")).alias("name"), "size", "key", "n"), "name", "left")
+    # A file without rows is listed but reports nothing to a scan.
+    return both.agg(
+        (F.count("n") == F.lit(files.count())).alias("same_files"),
+        F.bool_and(F.col("n").isNull() | (F.col("length") == F.col("size"))).alias("same_bytes"),
+        (F.countDistinct("file_key") == F.count(F.lit(1))).alias("keys_unique"),
+        F.sum("n").alias("scanned_rows"))
 
 
 # ------------------------------------------------------------------ runner and stream

@@ -12,11 +12,13 @@ formulas here follow their column names:
 Restaurants are stood in by suppliers: an order spanning two suppliers
 counts once for each, with only that supplier's lines in its total.
 
-Plan shape (checked with ``explain``): line items are aggregated per
-order before any shuffle (partial aggregation collapses even an order
-holding a third of all lines), the per-order rows are joined to
-``orders`` on the key they are already partitioned by, and the final
-per-period aggregation shuffles only partial sums, one row per period
+Plan shape (checked with ``explain``): for the yearly and monthly marts line
+items are aggregated per order before any shuffle (partial aggregation
+collapses even an order holding a third of all lines) and the per-order rows
+are joined to ``orders`` on the key they are already partitioned by. The
+restaurant mart joins its few line columns to ``orders`` first and aggregates
+by (order, supplier) on that partitioning, so the facts are shuffled once. The
+final per-period aggregation shuffles only partial sums, one row per period
 per task.
 """
 
@@ -44,17 +46,16 @@ def line_revenue() -> Column:
 
 
 def _order_totals(lineitem: DataFrame, orders: DataFrame, by_supplier: bool) -> DataFrame:
-    keys = ["l_orderkey", "l_suppkey"] if by_supplier else ["l_orderkey"]
-    per_order = lineitem.groupBy(*keys).agg(
-        F.sum(line_revenue()).alias("order_revenue"),
-        F.count(F.lit(1)).alias("n_items"),
-    )
     dated = orders.select(
         F.col("o_orderkey").alias("l_orderkey"),
         F.year("o_orderdate").cast("int").alias("year"),
         F.month("o_orderdate").cast("int").alias("month"),
     )
-    return per_order.join(dated, "l_orderkey")
+    totals = [F.sum(line_revenue()).alias("order_revenue"), F.count(F.lit(1)).alias("n_items")]
+    if not by_supplier:
+        return lineitem.groupBy("l_orderkey").agg(*totals).join(dated, "l_orderkey")
+    lines = lineitem.select("l_orderkey", "l_suppkey", "l_extendedprice", "l_discount").join(dated, "l_orderkey")
+    return lines.groupBy("l_orderkey", "l_suppkey", "year", "month").agg(*totals)
 
 
 def _measures(grouped) -> DataFrame:
@@ -115,6 +116,24 @@ def monthly_by_restaurant(
     )
 
 
+def orders_in(orders: DataFrame, first: int, month: int | None = None, last: int | None = None) -> DataFrame:
+    """Orders of the years first..last (default: one), or of one month, by a range of dates."""
+    if month is None:
+        lo, hi = f"{first}-01-01", f"{(last or first) + 1}-01-01"
+    else:
+        lo, hi = f"{first}-{month:02d}-01", f"{first + month // 12}-{month % 12 + 1:02d}-01"
+    date = F.col("o_orderdate")
+    kind = orders.schema["o_orderdate"].dataType.simpleString()
+    return orders.filter((date >= F.lit(lo).cast(kind)) & (date < F.lit(hi).cast(kind)))
+
+
+def latest_period(lineitem: DataFrame, orders: DataFrame) -> tuple[int, int]:
+    """Year and month of the last order that has a line: one date comes to the driver."""
+    sold = orders.join(lineitem.select(F.col("l_orderkey").alias("o_orderkey")), "o_orderkey", "left_semi")
+    last = sold.agg(F.max("o_orderdate").alias("d")).select(F.year("d").alias("y"), F.month("d").alias("m")).first()
+    return last["y"], last["m"]
+
+
 MART_NAMES = ("yearly", "monthly", "monthly_by_restaurant")
 
 
@@ -131,26 +150,21 @@ def publish(
     recomputing. With ``years`` only those years are recomputed (orders are
     filtered on their date range, which reaches the parquet scan) and only
     their partitions are replaced (dynamic partition overwrite); other
-    years stay as they are.
+    years stay as they are. Without ``years`` all partitions are replaced, so a
+    year that no longer occurs disappears.
     """
-    spark = orders.sparkSession
     if years:
-        lo, hi = min(years), max(years)
-        in_range = (F.col("o_orderdate") >= F.lit(f"{lo}-01-01").cast("timestamp_ntz")) & (
-            F.col("o_orderdate") < F.lit(f"{hi + 1}-01-01").cast("timestamp_ntz"))
-        orders = orders.filter(in_range & F.year("o_orderdate").isin(list(years)))
+        orders = orders_in(orders, min(years), last=max(years)).filter(F.year("o_orderdate").isin(list(years)))
+        # Lines of other orders go before they are aggregated.
+        lineitem = lineitem.join(orders.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
     frames = {
         "yearly": yearly_kpis(lineitem, orders),
         "monthly": monthly_kpis(lineitem, orders),
         "monthly_by_restaurant": monthly_by_restaurant(lineitem, orders, supplier),
     }
-    previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        for name, df in frames.items():
-            df.write.mode("overwrite").partitionBy("year").parquet(f"{root.rstrip('/')}/{name}")
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
+    for name, df in frames.items():
+        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if years else "static")
+         .partitionBy("year").parquet(f"{root.rstrip('/')}/{name}"))
 
 
 def read_published(spark, root: str, name: str) -> DataFrame:

@@ -10,9 +10,11 @@ ratios DOUBLE.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tierflow.plans import marts, reports
 from tierflow.sources.tables import read_table
@@ -23,9 +25,21 @@ QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
 
+def _pinned(fn: Query) -> Query:
+    """Set what results rely on where a query starts: ANSI casts and UTC."""
+
+    @functools.wraps(fn)
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return fn(spark, d)
+
+    return run
+
+
 def register(name: str, sql: str | None = None):
     def deco(fn: Query) -> Query:
-        QUERIES[name] = fn
+        QUERIES[name] = _pinned(fn)
         if sql is not None:
             ORACLE[name] = sql.strip()
         return fn
@@ -50,6 +64,17 @@ def _mbr(spark, d):
     )
 
 
+def _latest(spark, d) -> tuple[int, int]:
+    """Latest (year, month) with revenue: two key columns and a date are read for it."""
+    return marts.latest_period(read_table(spark, d, "lineitem"), read_table(spark, d, "orders"))
+
+
+def _mbr_of(spark, d, year: int, month: int | None = None):
+    """The restaurant mart of one year or month; the date range reaches the scan of orders."""
+    orders = marts.orders_in(read_table(spark, d, "orders"), year, month)
+    return marts.monthly_by_restaurant(read_table(spark, d, "lineitem"), orders, read_table(spark, d, "supplier"))
+
+
 # Oracle building blocks (DuckDB): the same definitions as marts.py.
 _ORDER_TOTALS = """
 per_order AS (
@@ -159,9 +184,11 @@ def _decimal_diffs(df: DataFrame) -> DataFrame:
     )
 
 
+_QUARTER = "'Q' || quarter(make_date(2000, month, 1))"
+
+
 @register("quarterly_totals", f"""{_MONTHLY_CTE}
-SELECT CASE WHEN month IN (1,2,3) THEN 'Q1' WHEN month IN (4,5,6) THEN 'Q2'
-            WHEN month IN (7,8,9) THEN 'Q3' WHEN month IN (10,11,12) THEN 'Q4' END AS quarter,
+SELECT {_QUARTER} AS quarter,
        CAST(sum(total_revenue) AS DECIMAL(38,4)) AS quarterly_revenue,
        CAST(sum(total_orders) AS BIGINT) AS quarterly_orders
 FROM monthly WHERE year = 1998 GROUP BY quarter ORDER BY quarter""")
@@ -170,17 +197,18 @@ def quarterly_totals(spark, d):
 
 
 @register("quarterly_latest_year", f"""{_MONTHLY_CTE}
-SELECT CASE WHEN month IN (1,2,3) THEN 'Q1' WHEN month IN (4,5,6) THEN 'Q2'
-            WHEN month IN (7,8,9) THEN 'Q3' WHEN month IN (10,11,12) THEN 'Q4' END AS quarter,
+SELECT {_QUARTER} AS quarter,
        CAST(sum(total_revenue) AS DECIMAL(38,4)) AS quarterly_revenue,
        CAST(sum(total_orders) AS BIGINT) AS quarterly_orders
 FROM monthly WHERE year = (SELECT max(year) FROM monthly) GROUP BY quarter ORDER BY quarter""")
 def quarterly_latest_year(spark, d):
-    return reports.quarterly(_monthly(spark, d))
+    year, _ = _latest(spark, d)
+    orders = marts.orders_in(read_table(spark, d, "orders"), year)
+    return reports.quarterly(marts.monthly_kpis(read_table(spark, d, "lineitem"), orders), year=year)
 
 
 @register("monthly_trend", f"""{_MONTHLY_CTE}
-SELECT CAST(month AS DECIMAL(2,0)) AS month, CAST(total_revenue AS DECIMAL(10,0)) AS total_revenue
+SELECT CAST(month AS DECIMAL(2,0)) AS month, CAST(total_revenue AS DECIMAL(38,0)) AS total_revenue
 FROM monthly WHERE year = 1998 ORDER BY month""")
 def monthly_trend(spark, d):
     return reports.monthly_trend(_monthly(spark, d), year=1998)
@@ -194,11 +222,15 @@ def monthly_yoy_long(spark, d):
     return reports.monthly_yoy_long(_monthly(spark, d))
 
 
-@register("monthly_yoy_pivot", f"""{_MONTHLY_CTE},
-m AS (SELECT month, strftime(make_date(2000, month, 1), '%b') AS month_name, year, total_revenue FROM monthly)
-PIVOT m ON year USING sum(total_revenue) GROUP BY month, month_name ORDER BY month""")
+_YEARS = range(1995, 2002)  # the order dates of the given tables
+
+
+@register("monthly_yoy_pivot", f"""{_MONTHLY_CTE}
+SELECT month, strftime(make_date(2000, month, 1), '%b') AS month_name,
+       {", ".join(f'sum(total_revenue) FILTER (WHERE year = {y}) AS "{y}"' for y in _YEARS)}
+FROM monthly GROUP BY month ORDER BY month""")
 def monthly_yoy_pivot(spark, d):
-    return reports.monthly_yoy_pivot(_monthly(spark, d))
+    return reports.monthly_yoy_pivot(_monthly(spark, d), years=list(_YEARS))
 
 
 _PERF = """
@@ -215,18 +247,20 @@ LIMIT 15"""
 
 @register("supplier_performance_top15", _MBR_CTE + _PERF.format(year="(SELECT max(year) FROM mbr)"))
 def supplier_performance_top15(spark, d):
-    return reports.restaurant_performance(_mbr(spark, d))
+    year, _ = _latest(spark, d)
+    return reports.restaurant_performance(_mbr_of(spark, d, year), year=year)
 
 
 @register("top10_of_top15", _MBR_CTE + ", top15 AS (" + _PERF.format(year="(SELECT max(year) FROM mbr)")
           + ") SELECT * FROM top15 ORDER BY annual_revenue DESC NULLS FIRST, restaurant_name LIMIT 10")
 def top10_of_top15(spark, d):
-    return reports.top_of(reports.restaurant_performance(_mbr(spark, d)), 10)
+    year, _ = _latest(spark, d)
+    return reports.top_of(reports.restaurant_performance(_mbr_of(spark, d, year), year=year), 10)
 
 
 @register("supplier_performance_1998", _MBR_CTE + _PERF.format(year="1998"))
 def supplier_performance_1998(spark, d):
-    return reports.restaurant_performance(_mbr(spark, d), year=1998)
+    return reports.restaurant_performance(_mbr_of(spark, d, 1998), year=1998)
 
 
 _TOP_MONTH = """
@@ -240,30 +274,33 @@ LIMIT 10"""
 @register("top_suppliers_month", _MBR_CTE + _TOP_MONTH.format(
     where="(year, month) = (SELECT max((year, month)) FROM mbr)"))
 def top_suppliers_month(spark, d):
-    return reports.top_restaurants(_mbr(spark, d))
+    year, month = _latest(spark, d)
+    return reports.top_restaurants(_mbr_of(spark, d, year, month), year=year, month=month)
 
 
 @register("top_suppliers_1998_06", _MBR_CTE + _TOP_MONTH.format(where="year = 1998 AND month = 6"))
 def top_suppliers_1998_06(spark, d):
-    return reports.top_restaurants(_mbr(spark, d), year=1998, month=6)
+    return reports.top_restaurants(_mbr_of(spark, d, 1998, 6), year=1998, month=6)
 
 
 @register("active_months", _MBR_CTE + """
 SELECT DISTINCT month FROM mbr WHERE year = (SELECT max(year) FROM mbr) ORDER BY month""")
 def active_months(spark, d):
-    return reports.active_months(_mbr(spark, d))
+    year, _ = _latest(spark, d)
+    return reports.active_months(_mbr_of(spark, d, year), year=year)
 
 
 @register("latest_period", _MBR_CTE + """
 SELECT year, max(month) AS month FROM mbr WHERE year = (SELECT max(year) FROM mbr) GROUP BY year""")
 def latest_period(spark, d):
-    return reports.latest_period(_mbr(spark, d))
+    year, month = _latest(spark, d)
+    return reports.latest_period(_mbr_of(spark, d, year, month))
 
 
 
 @register("top_suppliers_sql_params", _MBR_CTE + _TOP_MONTH.format(where="year = 1999 AND month = 3"))
 def top_suppliers_sql_params(spark, d):
-    return reports.top_restaurants_sql(spark, _mbr(spark, d), 1999, 3)
+    return reports.top_restaurants_sql(spark, _mbr_of(spark, d, 1999, 3), 1999, 3)
 
 
 @register("top_suppliers_labeled", _MBR_CTE + """
@@ -273,7 +310,8 @@ SELECT restaurant_name AS "Restaurant Name", total_revenue AS "Total Revenue (
 FROM mbr WHERE (year, month) = (SELECT max((year, month)) FROM mbr)
 ORDER BY total_revenue DESC NULLS FIRST, restaurant_id LIMIT 10""")
 def top_suppliers_labeled(spark, d):
-    top = reports.top_restaurants(_mbr(spark, d)).drop("restaurant_id")
+    year, month = _latest(spark, d)
+    top = reports.top_restaurants(_mbr_of(spark, d, year, month), year=year, month=month).drop("restaurant_id")
     return reports.relabel(top, reports.TOP_LABELS)
 
 # Remaining query groups register themselves on import.

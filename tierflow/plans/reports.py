@@ -128,11 +128,11 @@ def quarterly(monthly_mart: DataFrame, year: int | None = None) -> DataFrame:
     )
 
 
-def monthly_trend(monthly_mart: DataFrame, year: int | None = None, digits: int = 10) -> DataFrame:
-    """Month and revenue of one year, rounded like ``number(2)`` / ``number(10)``.
+def monthly_trend(monthly_mart: DataFrame, year: int | None = None, digits: int = 38) -> DataFrame:
+    """Month and revenue of one year, rounded to whole numbers.
 
-    The rounding casts are ANSI casts: a monthly revenue above ``digits``
-    digits raises instead of silently turning NULL, as the source does.
+    The source rounds to ``number(10)``; ``digits=10`` does that and, as an ANSI
+    cast, raises for a monthly revenue of more digits. The default holds any.
     """
     rows = _for_year(monthly_mart, year)
     return rows.select(
@@ -208,6 +208,7 @@ def active_months(mbr_mart: DataFrame, year: int | None = None) -> DataFrame:
     return _for_year(mbr_mart, year).select("month").distinct().orderBy(F.asc_nulls_last("month"))
 
 
+# The dashboard's column titles.
 TOP_LABELS = ["Restaurant Name", "Total Revenue (₹)", "Total Orders", "Avg Revenue per Order (₹)",
               "Avg Revenue per Item (₹)", "Max Order Value (₹)"]
 

@@ -317,3 +317,4 @@ def top_suppliers_labeled(spark, d):
 # Remaining query groups register themselves on import.
 from tierflow.plans import change_queries  # noqa: E402,F401
 from tierflow.plans import ingest_queries  # noqa: E402,F401
+from tierflow.plans import entity_queries  # noqa: E402,F401

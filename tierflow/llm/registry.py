@@ -19,4 +19,5 @@ QUERIES = {
 
 ORACLE: dict[str, str] = {
     "op2_decontamination": decontaminate.ORACLE,
+    "op6_warc": warc.ORACLE,
 }

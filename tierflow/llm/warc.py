@@ -273,3 +273,15 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = unique_scratch(spark, "warc")
     return read_back(write(table(spark, sf_dir, "pages"), folder), folder)
 
+
+# Five hex digits of a SHA-1 are four digits in base 32.
+ORACLE = """
+with p as (select page_id, coalesce(html, '') as h from pages where page_id is not null),
+d as (select page_id, strlen(h) as n, sha1(h) as x, min(page_id) over (partition by h) as first from p)
+select page_id, cast(n as bigint) as payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         1 + ((cast('0x' || substr(x, cast(i // 4 * 5 + 1 as int), 5) as int) >> cast(15 - 5 * (i % 4) as int)) & 31), 1)), '') as payload_digest,
+       case when first = page_id then 'response' else 'revisit' end as record_type,
+       case when first <> page_id then first end as refers_to
+from d
+"""

@@ -196,12 +196,6 @@ def trimmed(col) -> Column:
     return F.trim(_c(col))
 
 
-def max_length_ok(col, n: int) -> Column:
-    """Length check for ``string(n)`` columns; NULL passes."""
-    c = _c(col)
-    return c.isNull() | (F.length(c) <= F.lit(n))
-
-
 # ------------------------------------------------------------------ location
 
 def location_columns(raw_city="city", raw_state="state") -> dict[str, Column]:

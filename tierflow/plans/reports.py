@@ -72,12 +72,6 @@ def yearly(yearly_mart: DataFrame) -> DataFrame:
     return yearly_mart.orderBy(F.asc_nulls_last("year"))
 
 
-def monthly_all_years(monthly_mart: DataFrame) -> DataFrame:
-    return monthly_mart.select("year", "month", "total_revenue", "total_orders").orderBy(
-        F.asc_nulls_last("year"), F.asc_nulls_last("month")
-    )
-
-
 def overall(yearly_mart: DataFrame) -> DataFrame:
     """Totals over all years: revenue, orders, largest order."""
     return yearly_mart.agg(

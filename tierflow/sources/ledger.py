@@ -1,20 +1,16 @@
-"""Load ledger and consumer offsets, kept as small append-only parquet tables.
+"""Load ledger, kept as a small append-only parquet table.
 
 load ledger  one row per loaded file: (table_name, file_name, file_key,
              batch_id, rows_loaded, status, loaded_at). A file whose
              (table, key) is present is not loaded again; ``copy_history``
              filters it by table and time.
-offsets      one row per commit: (consumer, table_name, batch_id,
-             committed_at). A consumer's offset is its largest committed
-             batch id; a batch is committed only after its output is written,
-             so a replayed batch (at-least-once delivery) is recognised and
-             skipped.
+
+What consumers have taken from the stage is not kept here but in the commit
+marker of the version they wrote (sources/tables.py).
 """
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,20 +27,11 @@ LEDGER_SCHEMA = T.StructType([
     T.StructField("loaded_at", T.TimestampType()),
 ])
 
-OFFSET_SCHEMA = T.StructType([
-    T.StructField("consumer", T.StringType()),
-    T.StructField("table_name", T.StringType()),
-    T.StructField("batch_id", T.LongType()),
-    T.StructField("committed_at", T.TimestampType()),
-])
-
-
 class Ledger:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
         self.loads_path = f"{self.root}/load_ledger"
-        self.offsets_path = f"{self.root}/offsets"
 
     # ------------------------------------------------------------ loads
     def loads(self) -> DataFrame:
@@ -74,20 +61,3 @@ class Ledger:
         else:
             since_col = F.lit(since).cast("timestamp")
         return h.filter(F.col("loaded_at") >= since_col)
-
-    # ------------------------------------------------------------ offsets
-    def offsets(self) -> DataFrame:
-        if not path_exists(self.spark, self.offsets_path):
-            return self.spark.createDataFrame([], OFFSET_SCHEMA)
-        return self.spark.read.schema(OFFSET_SCHEMA).parquet(self.offsets_path)
-
-    def offset(self, consumer: str, table: str) -> int:
-        """Largest committed batch id of a consumer on a table (0 if none)."""
-        row = self.offsets().filter((F.col("consumer") == consumer) & (F.col("table_name") == table)) \
-            .agg(F.max("batch_id").alias("m")).first()
-        return int(row["m"]) if row and row["m"] is not None else 0
-
-    def commit(self, consumer: str, table: str, batch_id: int, at=None) -> None:
-        at = at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        self.spark.createDataFrame([(consumer, table, int(batch_id), at)], OFFSET_SCHEMA) \
-            .coalesce(1).write.mode("append").parquet(self.offsets_path)

@@ -1,5 +1,3 @@
-import pytest
-
 from tierflow.llm import surrogates as s
 
 TEXT = ("Mail Hein.19@mail5.example.com or hein.19@mail5.example.com, +1 (743) 555-3824 / +1-743-555-3824, card 4111 1111 1111 1111, "

@@ -26,13 +26,11 @@ import base64
 import functools
 import hashlib
 import heapq
-import os
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tierflow.llm.common import arrow_map, gather_ranges, mix64, table, text_blocks
 

@@ -34,8 +34,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tierflow.llm.common import arrow_map, gather_ranges, mix64, table, text_blocks
 
-BLOCK_CHARS = 1_000_000
-CACHE_ENTRIES = 400_000
+BLOCK_CHARS = 400_000
+CACHE_ENTRIES = 250_000
 LETTER, NUMBER, OTHER, SPACE, BREAK = range(5)
 
 # Code points that \s matches.
@@ -48,8 +48,9 @@ ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
 def char_classes() -> np.ndarray:
     import regex
 
-    points = [chr(c) if not 0xD800 <= c < 0xE000 else "\0" for c in range(0x110000)]
-    every = "".join(points)
+    points = np.arange(0x110000, dtype="<u4")
+    points[0xD800:0xE000] = 0  # surrogates are no characters
+    every = points.tobytes().decode("utf-32-le")
     out = np.full(0x110000, OTHER, np.uint8)
     for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+")):
         for m in regex.finditer(pattern, every):

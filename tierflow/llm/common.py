@@ -52,8 +52,15 @@ def ship(spark: SparkSession) -> None:
     sc._tierflow_shipped = True
 
 
+#: Rows of one Arrow batch: texts of a few kilobytes make it a few megabytes, in the JVM and in Python.
+ARROW_ROWS = 2000
+
+
 def arrow_map(df: DataFrame, run, schema) -> DataFrame:
-    ship(df.sparkSession)
+    spark = df.sparkSession
+    ship(spark)
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > ARROW_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     return df.mapInArrow(run, schema)
 
 
@@ -70,14 +77,16 @@ def text_blocks(batches, max_chars: int) -> Iterator[tuple[list, list[str]]]:
     """
     ids, texts, size = [], [], 0
     for batch in batches:
-        for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            t = t or ""
-            if texts and size + len(t) > max_chars:
-                yield ids, texts
-                ids, texts, size = [], [], 0
-            ids.append(i)
-            texts.append(t)
-            size += len(t)
+        for at in range(0, batch.num_rows, 500):  # Python strings of a part of the batch at a time
+            part = batch.slice(at, 500)
+            for i, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                t = t or ""
+                if texts and size + len(t) > max_chars:
+                    yield ids, texts
+                    ids, texts, size = [], [], 0
+                ids.append(i)
+                texts.append(t)
+                size += len(t)
     if texts:
         yield ids, texts
 

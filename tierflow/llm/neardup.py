@@ -48,7 +48,7 @@ LABELS = TREES * DEPTH
 LABEL_BYTES = LABELS // 8
 PARITIES = 512
 SKETCH_BYTES = LABEL_BYTES + PARITIES // 8
-BLOCK_CHARS = 400_000
+BLOCK_CHARS = 200_000
 NEAREST = 2
 WINDOW = 64
 WIDE_WINDOW = 256
@@ -81,7 +81,7 @@ def _powers(size: int):
 
 def powers(size: int):
     """Powers of the base and of its inverse modulo 2^64; kept for the usual size of a block."""
-    usual = 1 << 21
+    usual = 1 << 19
     return _powers(usual) if size <= usual else _powers.__wrapped__(size)
 
 

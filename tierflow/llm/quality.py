@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from tierflow.llm.common import arrow_map, code_points, held_out, staged, table, text_blocks
 
-BLOCK_CHARS = 500_000
+BLOCK_CHARS = 200_000
 THRESHOLD = 0.3
 PENALTY = 1e-3
 STEPS = 8

@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from tierflow.llm.common import arrow_map, staged, table, text_blocks
 
-BLOCK_CHARS = 1_000_000
+BLOCK_CHARS = 200_000
 WIDER = 8
 ATTEMPTS = 40
 BROADCAST_ROWS = 200_000
@@ -308,7 +308,7 @@ def surrogates(key: str) -> Surrogates:
     return Surrogates(key)
 
 
-@functools.lru_cache(maxsize=100_000)
+@functools.lru_cache(maxsize=20_000)
 def surrogate(key: str, kind: str, value: str, attempt: int) -> str:
     return surrogates(key).of(kind, value, attempt)
 

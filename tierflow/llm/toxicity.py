@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from tierflow.llm.common import arrow_map, code_points, held_out, labelled_sample, mix64, ship, staged, table, text_blocks
 
 ORDERS = (3, 4, 5)
-BLOCK_CHARS = 500_000
+BLOCK_CHARS = 200_000
 MOST_PER_CLASS = 10_000
 MOST_FEATURES = 4096
 SMOOTHING = 1.0

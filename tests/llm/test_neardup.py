@@ -64,3 +64,33 @@ def test_parity_bits_never_exceed_the_difference():
     b = np.concatenate([a[:400], rng.integers(0, 2**63, 90).astype(np.uint64)])
     bits = [np.bincount((x >> np.uint64(55)).astype(int), minlength=neardup.PARITIES) & 1 for x in (a, b)]
     assert (bits[0] ^ bits[1]).sum() <= 190
+
+
+def test_links_inside_a_crowded_template(spark, docs_of, monkeypatch):
+    # Strangers share 87 of 111 shingles (0.784), planted pairs 88 of 110 (0.8), and stand far apart.
+    # Narrow windows make few documents as crowded as many thousand are under the usual ones.
+    monkeypatch.setattr(neardup, "WINDOW", 4)
+    monkeypatch.setattr(neardup, "WIDE_WINDOW", 16)
+    template = " ".join(f"t{i}" for i in range(90))
+    many, planted = 600, 100
+    texts = [f"{template} " + " ".join(f"o{d}x{k}" for k in range(12)) for d in range(many)]
+    for d in range(planted):
+        texts[many - 1 - d] = texts[many - 1 - d].replace(f"o{many - 1 - d}x0 ", f"o{d}x0 ")
+    got = {r.doc_id: r.component_id for r in neardup.groups(docs_of(texts), 4).collect()}
+    assert got == {d: min(d, many - 1 - d) if min(d, many - 1 - d) < planted else d for d in range(many)}
+
+
+def test_rare_shingle_join_meets_every_link(spark, docs_of):
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(80)]
+    texts = []
+    for _ in range(150):
+        words = base[rng.randrange(6):len(base) - rng.randrange(6)] + [f"r{rng.randrange(40)}" for _ in range(rng.randrange(22))]
+        if rng.random() < 0.4:
+            words[rng.randrange(len(words))] = "x"
+        texts.append(" ".join(words))
+    docs = docs_of(texts)
+    rows = docs.selectExpr("doc_id", "doc_id as part")
+    sets = [set(map(int, s)) for s in neardup.shingle_sets(texts, 4)]
+    want = {(a, b) for a in range(150) for b in range(a + 1, 150) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    assert want and want <= {(r.a, r.b) for r in neardup.sharing(docs, rows, 4).collect()}

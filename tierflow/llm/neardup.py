@@ -8,7 +8,7 @@ near each other, because they share a long prefix; how long it must be to tell
 them from strangers depends on how crowded the region is, and looking at
 neighbours in order, instead of at buckets of a fixed depth, adapts to that.
 
-Two rounds of candidates:
+Rounds of candidates:
 
 1. each document with its next ``NEAREST`` neighbours in each order that pass
    a filter on set sizes, on a bit sketch of the labels and on parities: with
@@ -17,7 +17,12 @@ Two rounds of candidates:
    many different bits rule a link out without error;
 2. after components are known: neighbours within a wider window that lie in
    different components. In a dense group nearly all members are joined by
-   then, so the work is that of the few which are not, and never all pairs.
+   then, so the work is that of the few which are not, and never all pairs;
+3. where more rows than the wide window begin with the same two labels (many
+   documents over one template, say), their order says little and the window
+   ends too early. Pairs inside such regions are left out of the second round;
+   their rows are joined on rare shingles by prefix and position filters, which
+   lose no link: see ``sharing``.
 
 Every candidate is confirmed on the full shingle sets, in integers. Components
 come from star contraction of the links in Spark. No link, component or
@@ -55,6 +60,8 @@ WIDE_WINDOW = 256
 #: Lowest estimate from the sketch that still goes to the exact check: 0.8 less about four standard errors.
 LEAST_ESTIMATE = 0.64
 BROADCAST_IDS = 1_000_000
+#: Common shingles whose order in prefixes follows their counts; the others follow their hash. Any order is exact.
+COMMON = 50_000
 
 BASE = 0x9E3779B97F4A7C15 | 1
 LOWER = bytes(c + 32 if 0x41 <= c <= 0x5A else c for c in range(256))
@@ -171,7 +178,9 @@ def neighbours(rows: DataFrame, window: int, nearest: int | None) -> DataFrame:
 
     ``rows``: doc_id, n, labels, sketch, part. Pairs of the same part (a
     component, or null) are left out. ``nearest``: how many passing successors a
-    document takes in each tree; None takes all within the window.
+    document takes in each tree; None takes all within the window, and adds a row
+    (a, a) for each document whose window ended among rows that begin with the
+    same two labels (pairs of two such documents may be missing).
     """
     key = "tree int, key binary, doc_id long, n long, sketch binary, part long"
 
@@ -205,7 +214,9 @@ def neighbours(rows: DataFrame, window: int, nearest: int | None) -> DataFrame:
                 taken = np.zeros(len(now[0]), np.int64)
                 if held is not None:
                     taken[:fresh] = held[1]
-                a, c = pairs(now, taken, fresh, window, nearest)
+                full = crowded(now, window) if nearest is None else np.zeros(len(now[0]), bool)
+                a, c = pairs(now, taken, fresh, window, nearest, full)
+                a, c = (np.concatenate([x, now[2][full]]) for x in (a, c))
                 held = (tuple(x[-window:] for x in now), taken[-window:])
                 if len(a):
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, c)), pa.array(np.maximum(a, c))], names=["a", "b"])
@@ -215,8 +226,8 @@ def neighbours(rows: DataFrame, window: int, nearest: int | None) -> DataFrame:
     return arrow_map(ordered, walk, "a long, b long").distinct()
 
 
-def pairs(rows, taken, fresh, window, nearest):
-    """Passing pairs (i, i + step) of sorted rows; the first ``fresh`` rows were there before."""
+def pairs(rows, taken, fresh, window, nearest, full):
+    """Passing pairs (i, i + step) of sorted rows, not both ``full``; the first ``fresh`` rows were there before."""
     tree, key, ids, n, sketch, part = rows
     size = len(ids)
     same = (tree[1:] == tree[:-1]) & (key[1:, 0] == key[:-1, 0]) & (key[1:, 1] == key[:-1, 1])
@@ -234,7 +245,7 @@ def pairs(rows, taken, fresh, window, nearest):
                 break
             continue
         to = at + step
-        ok = (part[at] != part[to]) & (ids[at] != ids[to])
+        ok = (part[at] != part[to]) & (ids[at] != ids[to]) & ~(full[at] & full[to])
         ok &= 5 * np.minimum(n[at], n[to]) >= 4 * np.maximum(n[at], n[to])
         at, to = at[ok], to[ok]
         if not len(at):
@@ -252,6 +263,66 @@ def pairs(rows, taken, fresh, window, nearest):
     return np.concatenate(left), np.concatenate(right)
 
 
+def crowded(rows, window):
+    """Whether a row shares two labels with a row ``window`` steps away, in either direction."""
+    tree, key = rows[:2]
+    far = (tree[window:] == tree[:-window]) & (key[window:, :4] == key[:-window, :4]).all(1)
+    out = np.zeros(len(tree), bool)
+    out[:-window] |= far
+    out[window:] |= far
+    return out
+
+
+def sharing(docs: DataFrame, rows: DataFrame, width: int) -> DataFrame:
+    """(a, b) with a < b: every pair of ``rows`` (doc_id, part) in different parts that can be linked.
+
+    All shingles have one order, rare ones first. A link of sets of n and m <= n
+    elements shares at least 4/9 (n + m), so its first common shingle stands at a
+    place i of the larger and j of the smaller one with
+    9 min(n - i, m - j) >= 4 (n + m); hence 5 i <= n and 9 j <= m. Only those
+    places are joined. Documents over one template that are not links have more
+    than a ninth of their own, and do not meet on the template's shingles.
+    """
+    spark = docs.sparkSession
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(rows, "doc_id")
+    texts = staged(texts.dropDuplicates(["doc_id"]).select(F.struct("doc_id", "part").alias("id"), "text"), "neardup-crowded")
+
+    def spread(batches):
+        for _, block in text_blocks(batches, BLOCK_CHARS):
+            for s in shingle_sets(block, width):
+                yield pa.RecordBatch.from_arrays([pa.array(s.view(np.int64))], names=["shingle"])
+
+    common = (arrow_map(texts, spread, "shingle long").groupBy("shingle").count().filter("count > 1")
+              .orderBy(F.desc("count"), "shingle").limit(COMMON).collect())
+    listed = np.array([r["shingle"] for r in common], np.int64).view(np.uint64)
+    by_hash = np.argsort(listed)
+    shared = spark.sparkContext.broadcast((listed[by_hash], len(listed) - by_hash))
+
+    def prefixes(batches):
+        known, ranks = shared.value
+        for ids, block in text_blocks(batches, BLOCK_CHARS):
+            out = []
+            for i, s in zip(ids, shingle_sets(block, width)):
+                rank = np.zeros(len(s), np.int64)
+                if len(known):
+                    at = np.minimum(np.searchsorted(known, s), len(known) - 1)
+                    rank = np.where(known[at] == s, ranks[at], 0)
+                first = s[np.lexsort((s, rank))][:len(s) // 5 + 1].view(np.int64)
+                of = np.ones(len(first), np.int64)
+                out.append((first, np.arange(len(first)), of * len(s), of * i["doc_id"], of * i["part"]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=["token", "place", "n", "doc_id", "part"])
+
+    entries = staged(arrow_map(texts, prefixes, "token long, place long, n long, doc_id long, part long"), "neardup-prefixes")
+    # A shingle that only one component has makes no pair.
+    mixed = entries.groupBy("token").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).filter("lo != hi").select("token")
+    entries = staged(entries.join(mixed, "token", "left_semi"), "neardup-mixed")
+    larger, smaller = entries.alias("x"), entries.filter("9 * place <= n").alias("y")
+    met = larger.join(smaller, F.expr("""x.token = y.token and x.part != y.part
+        and (x.n > y.n or x.n = y.n and x.doc_id > y.doc_id) and 5 * y.n >= 4 * x.n
+        and 9 * least(x.n - x.place, y.n - y.place) >= 4 * (x.n + y.n)"""))
+    return met.select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")).distinct()
+
+
 def confirmed(docs: DataFrame, candidates: DataFrame, width: int) -> DataFrame:
     """The candidates whose full shingle sets are at least 0.8 alike."""
     ids = staged(candidates.select(F.col("a").alias("doc_id")).union(candidates.select("b")).distinct(), "neardup-ids")
@@ -311,10 +382,21 @@ def groups(docs: DataFrame, width: int = 5) -> DataFrame:
     parts = staged(components(links), "neardup-parts")
     # Who is in no component yet is one of its own.
     own = reps.join(parts, "doc_id", "left").withColumn("part", F.coalesce("part", "doc_id"))
-    second = neighbours(own, WIDE_WINDOW, None).join(first, ["a", "b"], "left_anti")
-    second = staged(second, "neardup-wide")
+    wide = staged(neighbours(own, WIDE_WINDOW, None).join(first, ["a", "b"], "left_anti"), "neardup-wide")
+    full = staged(wide.filter("a = b").select(F.col("a").alias("doc_id")), "neardup-full")
+    second = wide.filter("a != b")
+    some = not full.isEmpty()
+    if some:
+        ends = second.join(full.toDF("a").withColumn("a_full", F.lit(True)), "a", "left").join(
+            full.toDF("b").withColumn("b_full", F.lit(True)), "b", "left")
+        second = staged(ends.filter("a_full is null or b_full is null").select("a", "b"), "neardup-second")
     links = links.union(confirmed(docs, second, width))
     parts = staged(components(links), "neardup-parts")
+    if some:
+        rows = staged(full.join(parts, "doc_id", "left").withColumn("part", F.coalesce("part", "doc_id")), "neardup-full")
+        third = staged(sharing(docs, rows, width).join(first, ["a", "b"], "left_anti"), "neardup-third")
+        new = staged(confirmed(docs, third, width), "neardup-links")
+        parts = staged(components(parts.filter("doc_id != part").toDF("a", "b").union(new)), "neardup-parts")
     final = classes.join(parts, classes.rep == parts.doc_id, "left").select("digest", F.coalesce("part", "rep").alias("component_id"))
     return (every.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("digest")).alias("digest")).join(final, "digest", "left")
             .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))

@@ -94,3 +94,13 @@ def test_rare_shingle_join_meets_every_link(spark, docs_of):
     sets = [set(map(int, s)) for s in neardup.shingle_sets(texts, 4)]
     want = {(a, b) for a in range(150) for b in range(a + 1, 150) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
     assert want and want <= {(r.a, r.b) for r in neardup.sharing(docs, rows, 4).collect()}
+
+
+def test_sketch_keeps_links_with_unlucky_labels():
+    import numpy as np
+
+    sketch = np.zeros((2, neardup.SKETCH_BYTES), np.uint8)
+    sketch[1, :5] = 255  # 40 of 200 label bits differ: 1 in 10,000 links at 0.8 has 37 or more
+    rows = (np.zeros(2, np.int32), np.zeros((2, 2 * neardup.DEPTH), np.uint8), np.arange(2), np.full(2, 100), sketch, np.array([-1, -2]))
+    a, b = neardup.pairs(rows, np.zeros(2, np.int64), 0, 64, None, np.zeros(2, bool))
+    assert (a.tolist(), b.tolist()) == ([0], [1])

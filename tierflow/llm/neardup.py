@@ -57,8 +57,9 @@ BLOCK_CHARS = 200_000
 NEAREST = 2
 WINDOW = 64
 WIDE_WINDOW = 256
-#: Lowest estimate from the sketch that still goes to the exact check: 0.8 less about four standard errors.
-LEAST_ESTIMATE = 0.64
+#: Lowest estimate from the sketch that still goes to the exact check: 0.8 less about seven standard errors, so that
+#: fewer than one in a hundred million links at the threshold are lost by it.
+LEAST_ESTIMATE = 0.5
 BROADCAST_IDS = 1_000_000
 #: Common shingles whose order in prefixes follows their counts; the others follow their hash. Any order is exact.
 COMMON = 50_000

@@ -60,3 +60,17 @@ def test_very_long_text(spark):
     df = spark.createDataFrame([(1, "word " * 200_000 + "a@b.org")], "doc_id long, text string")
     text = s.replaced(df).first().text
     assert text.startswith("word " * 200_000) and "a@b.org" not in text
+
+
+def test_entities_beside_numbers(spark, docs_of):
+    entities = {"10.0.0.1": "ip", "190.137.223.204": "ip", "4111111111111111": "card", "4111 1111 1111 1111": "card", "7536784127813050": "card",
+                "123-45-6789": "national", "555-123-4567": "phone", "(555) 123-4567": "phone", "+1 (826) 555-4081": "phone", "+44 20 7946 0958": "phone"}
+    texts = [f"2020 {a} 2 times" for a in entities if a[0] != "+"] + [f"{a} {b}" for a in entities for b in entities]
+    texts += [f"({a}). 10 x" for a in entities] + ["10.0.0.1-190.137.223.204"]
+    for a in entities:
+        for b in entities:
+            t = f"{a} {b}"
+            assert [(t[x[0]:x[1]], x[2]) for x in s.find(t)] == [(a, entities[a]), (b, entities[b])], t
+    rows = s.replaced(docs_of(texts)).collect()
+    assert not [(texts[r.doc_id], r.text) for r in rows for e in entities if e in texts[r.doc_id] and e in r.text]
+    assert s.find("1.2.3.4.5 and 0.4111111111111111 on 1998-06-12 10 2020") == []

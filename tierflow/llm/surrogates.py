@@ -104,10 +104,9 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
     found += [(m.start(2), m.end(2), "secret", m.group(2)) for m in SECRET.finditer(text)]
     found += [(m.start(), m.end(), "iban", m.group().replace(" ", "")) for m in IBAN.finditer(text)]
     for m in NUMERIC.finditer(text):
-        kind = number_kind(m.group())
-        if kind:
-            value = m.group() if kind == "ip" else re.sub(r"[^\d+]", "", m.group())
-            found.append((m.start(), m.end(), kind, value))
+        for a, z, kind in number_parts(m.group()):
+            part = m.group()[a:z]
+            found.append((m.start() + a, m.start() + z, kind, part if kind == "ip" else re.sub(r"[^\d+]", "", part)))
     people = {}
     for m in PERSON.finditer(text):
         if m.group(1):
@@ -140,7 +139,7 @@ def number_kind(s: str) -> str | None:
     if IPV4.fullmatch(s):
         return "ip" if all(int(x) < 256 for x in s.split(".")) else None
     digits = sum(c.isdigit() for c in s)
-    if s[0] == "+" and 8 <= digits <= 15:
+    if s[0] == "+" and 8 <= digits <= (11 if s[1:2] == "1" else 15) and re.fullmatch(r"\+\(?\d+[ .)-]{0,2}\(?[^(]*", s):
         return "phone"
     if re.fullmatch(r"\d{3}-\d{2}-\d{4}", s):
         return "national"
@@ -151,6 +150,48 @@ def number_kind(s: str) -> str | None:
     return None
 
 
+def number_parts(run: str) -> list[tuple[int, int, str]]:
+    """(start, end, kind) of the entities in a run of digit groups.
+
+    A run that is no entity as a whole (or a card with more after it) holds
+    neighbours: its groups are tried together, the most certain kinds first and
+    the longest first. A part joined to further digits by a dot or a hyphen is
+    none, but for addresses and unbroken cards beside a hyphen.
+    """
+    kind = number_kind(run)
+    if kind and (kind != "card" or run.isdigit() or valid(run)):
+        return [(0, len(run), kind)]
+    groups = [m.span() for m in re.finditer(r"\d+", run)]
+    starts = [a - len(re.search(r"\+?\(?$", run[max(0, a - 2):a]).group()) for a, _ in groups]
+    options = []
+    for i in range(len(groups)):
+        digits = 0
+        for j in range(i, len(groups)):
+            z = groups[j][1]
+            digits += z - groups[j][0]
+            if digits > 19:
+                break
+            for a in {starts[i], groups[i][0]}:
+                part = run[a:z]
+                kind = number_kind(part)
+                tight = r"\." if kind == "ip" or kind == "card" and part.isdigit() else "[.-]"
+                if kind and not re.search(rf"\d{tight}$", run[max(0, a - 2):a]) and not re.match(rf"{tight}\d", run[z:z + 2]):
+                    sure = 0 if kind in ("ip", "national") or part[0] == "+" else 1 if kind == "card" and valid(part) else 2
+                    options.append((sure, a, -z, kind))
+    out, taken = [], bytearray(len(run))
+    for _, a, z, kind in sorted(options):
+        if not any(taken[a:-z]):
+            taken[a:-z] = b"\1" * (-z - a)
+            out.append((a, -z, kind))
+    return sorted(out)
+
+
+def valid(card: str) -> bool:
+    """Whether the last digit is the check digit."""
+    digits = re.sub(r"\D", "", card)
+    return int(digits[-1]) == luhn(digits[:-1])
+
+
 class Surrogates:
     """Maps (kind, value, attempt) to a surrogate value, by the key alone."""
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tierflow.llm import ann, bpe, chat, decontaminate, lengths, neardup, quality, surrogates, toxicity, warc
+from tierflow.llm import ann, bpe, chat, decontaminate, lengths, merkle, neardup, quality, surrogates, toxicity, warc
 
 QUERIES = {
     "op1_surrogates": surrogates.op1_surrogates,
@@ -15,9 +15,11 @@ QUERIES = {
     "op8_chat_windows": chat.op8_chat_windows,
     "op9_near_duplicates": neardup.op9_near_duplicates,
     "op10_quality": quality.op10_quality,
+    "op13_merkle_manifest": merkle.op13_merkle_manifest,
 }
 
 ORACLE: dict[str, str] = {
     "op2_decontamination": decontaminate.ORACLE,
     "op6_warc": warc.ORACLE,
+    "op13_merkle_manifest": merkle.ORACLE,
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tierflow.llm import ann, bpe, chat, decontaminate, lengths, merkle, neardup, quality, surrogates, toxicity, warc
+from tierflow.llm import ann, bpe, chat, decontaminate, lengths, merkle, neardup, quality, surrogates, toxicity, variants, warc
 
 QUERIES = {
     "op1_surrogates": surrogates.op1_surrogates,
@@ -15,11 +15,13 @@ QUERIES = {
     "op8_chat_windows": chat.op8_chat_windows,
     "op9_near_duplicates": neardup.op9_near_duplicates,
     "op10_quality": quality.op10_quality,
+    "op12_spelling_variants": variants.op12_spelling_variants,
     "op13_merkle_manifest": merkle.op13_merkle_manifest,
 }
 
 ORACLE: dict[str, str] = {
     "op2_decontamination": decontaminate.ORACLE,
     "op6_warc": warc.ORACLE,
+    "op12_spelling_variants": variants.ORACLE,
     "op13_merkle_manifest": merkle.ORACLE,
 }

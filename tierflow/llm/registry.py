@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tierflow.llm import ann, bpe, chat, decontaminate, lengths, merkle, neardup, quality, surrogates, toxicity, variants, warc
+from tierflow.llm import ann, bpe, chat, decontaminate, lengths, mainhtml, merkle, neardup, quality, surrogates, toxicity, variants, warc
 
 QUERIES = {
     "op1_surrogates": surrogates.op1_surrogates,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_chat_windows": chat.op8_chat_windows,
     "op9_near_duplicates": neardup.op9_near_duplicates,
     "op10_quality": quality.op10_quality,
+    "op11_main_text": mainhtml.op11_main_text,
     "op12_spelling_variants": variants.op12_spelling_variants,
     "op13_merkle_manifest": merkle.op13_merkle_manifest,
 }

@@ -51,7 +51,7 @@ def test_broadcast_strategy_equals_shuffle(spark):
     t, s = _frames(spark)
     a = merge.upsert(t, s, ["k"], strategy="shuffle")
     b = merge.upsert(t, s, ["k"], strategy="broadcast")
-    c = merge.upsert(t, s, ["k"], strategy="auto", source_rows=4)
+    c = merge.upsert(t, s, ["k"], strategy="auto")
     assert rows(a.table) == rows(b.table) == rows(c.table)
     assert rows(a.feed) == rows(b.feed)
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tierflow.session import unique_scratch
+
 NULL_MARK = "\\N"     # the CSV null marker; cannot occur as data in a load
 SEPARATOR = "\x1f"    # ASCII unit separator
 
@@ -44,20 +46,26 @@ def max_key(df: DataFrame, col: str) -> int:
     return int(row["m"]) if row and row["m"] is not None else 0
 
 
-KEY_BUCKETS = 1024
+#: monotonically_increasing_id() puts the partition above, the row's number in it below.
+ROW_BITS = 33
 
 
 def assign_surrogate(df: DataFrame, col: str, base: int = 0) -> DataFrame:
-    """Unique keys above ``base``: rows are numbered within hash buckets.
+    """Unique keys ``base + 1 … base + rows``, in two passes without a sort.
 
-    Row n of bucket b gets ``base + n * KEY_BUCKETS + b + 1``, so the keys used up
-    follow the number of rows (about one each), not the number of partitions,
-    and no task numbers more than a bucket. The bucket is a hash of the whole
-    row, so a business key that repeats does not fill one bucket.
+    Rows are written once with their partition and their number in it. A count
+    per partition (one row for each task of that write) gives the offset from
+    which a partition's numbers run. Keys are a function of the written rows, so
+    a task that is repeated gives the same ones.
     """
-    cols = df.columns
-    bucket = F.pmod(F.xxhash64(*cols), F.lit(KEY_BUCKETS))
-    rank = F.row_number().over(Window.partitionBy("__bucket").orderBy(*[F.col(c) for c in cols]))
-    return (df.withColumn("__bucket", bucket)
-            .withColumn(col, F.lit(base) + (rank - 1).cast("bigint") * KEY_BUCKETS + F.col("__bucket") + 1)
-            .select(*[c for c in cols if c != col], col))
+    path = unique_scratch(df.sparkSession, "keys")
+    numbered = df.withColumn("__id", F.monotonically_increasing_id())
+    numbered.write.parquet(path)
+    rows = df.sparkSession.read.schema(numbered.schema).parquet(path)
+    part = F.shiftright("__id", ROW_BITS)
+    counts = rows.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy(F.lit(0)).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("__part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__from"))
+    number = F.col("__from") + F.col("__id").bitwiseAND((1 << ROW_BITS) - 1) + 1
+    return (rows.join(F.broadcast(offsets), part == F.col("__part"))
+            .withColumn(col, (F.lit(base) + number).cast("bigint")).select(*[c for c in df.columns if c != col], col))

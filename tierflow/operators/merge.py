@@ -147,7 +147,7 @@ def merge_rows(
     surrogate: str | None = None,
     sk_base: int | None = None,
     strategy: str = "shuffle",
-    source_rows: int | None = None,
+    not_older: str | None = None,
 ) -> DataFrame:
     """Joined, exploded upsert: table rows (``_kind='row'``) and feed rows (``'feed'``).
 
@@ -162,7 +162,9 @@ def merge_rows(
     null_safe      NULL-safe comparison of ``track`` (False = source ``!=``)
     set_on_update / set_on_insert   column -> expression overriding values
     surrogate      target column filled with a new unique key on insert
-    source_rows    accepted for callers that know it; the plan does not depend on it
+    not_older      column by which a matched source row must not be older than
+                   the target row, else it changes nothing (a row without a
+                   value counts as the oldest)
     """
     keys = list(keys)
     tcols = target.columns
@@ -197,6 +199,8 @@ def merge_rows(
 
     t_in, s_in = F.col("__t").isNotNull(), F.col("__s").isNotNull()
     chg = changed(track, null_safe=null_safe) if track is not None else F.lit(True)
+    if not_older:
+        chg = chg & (F.col(T + not_older).isNull() | F.coalesce(F.col(S + not_older) >= F.col(T + not_older), F.lit(False)))
     op = (
         F.when(~s_in, F.lit("keep"))
         .when(~t_in, F.lit("insert"))

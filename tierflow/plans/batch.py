@@ -3,7 +3,8 @@
 Storage layout under one root (a shared folder on a cluster):
 
   stage/<entity>/_batch_id=<n>/              append-only text rows + audit columns
-  clean/<entity>/v=<n>/_kind=row|feed/       clean table and the change feed that made it
+  clean/<entity>/v=<n>/_kind=row|feed/_bucket=<b>/
+                                             buckets of the clean table that batch n touched, and its change feed
   consumption/<dim>/reference/v=<n>/         reference mode: whole dimension
   consumption/<dim>/sound/v=<n>/_part=...    sound mode: current versions, and those closed by n
   quarantine/<entity>/_batch_id=<n>/         rows that failed a rule
@@ -16,8 +17,9 @@ offset appear together: a step that fails anywhere is repeated from the same
 inputs into the same version number, and a step without new input does nothing.
 Dimensions net all feeds they have not seen before applying them once.
 
-Old versions of the clean table and of ``reference`` dimensions are not read
-again once their feed was consumed and may be deleted by age; versions of a
+A clean table is kept by hash buckets of its key (sources/buckets.py): a batch
+reads and rewrites only the buckets it touches. Feeds and old versions of
+``reference`` dimensions are not read again once consumed; versions of a
 ``sound`` dimension hold its history and are kept.
 """
 
@@ -35,6 +37,7 @@ from tierflow.operators import merge, scd2
 from tierflow.operators.cdc import BATCH, net_changes
 from tierflow.plans.entities import AUDIT_COLS, Entity
 from tierflow.sources import ingest
+from tierflow.sources.buckets import BUCKET, BUCKETS, BucketedTable
 from tierflow.sources.ledger import Ledger
 from tierflow.sources.tables import SnapshotTable, path_exists
 
@@ -44,16 +47,18 @@ def _now():
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = BUCKETS):
+        """``buckets``: hash buckets of a clean table that does not exist yet."""
         self.spark = spark
         self.root = root.rstrip("/")
+        self.buckets = buckets
         self.ledger = Ledger(spark, f"{self.root}/common")
 
     def stage_path(self, e: Entity) -> str:
         return f"{self.root}/stage/{e.name}"
 
-    def clean_table(self, e: Entity) -> SnapshotTable:
-        return SnapshotTable(self.spark, f"{self.root}/clean/{e.name}", partition_by=["_kind"])
+    def clean_table(self, e: Entity) -> BucketedTable:
+        return BucketedTable(self.spark, f"{self.root}/clean/{e.name}", e.keys, self.buckets)
 
     def dim_table(self, e: Entity, mode: str = "sound") -> SnapshotTable:
         partition_by = [scd2.PART] if mode == "sound" else None
@@ -69,10 +74,8 @@ class Warehouse:
         return rows.join(batches, F.col(BATCH) == F.col("__committed"), "left_semi")
 
     def clean(self, e: Entity, version: int | None = None) -> DataFrame | None:
-        t = self.clean_table(e)
-        if not t.exists():
-            return None
-        return t.read(version).filter(F.col(merge.KIND) == "row").select(e.surrogate, *e.clean_cols)
+        rows = self.clean_table(e).rows(version=version)
+        return None if rows is None else rows.select(e.surrogate, *e.clean_cols)
 
     def clean_feed(self, e: Entity, version: int) -> DataFrame:
         return self.clean_feeds(e, version, version)
@@ -80,7 +83,7 @@ class Warehouse:
     def clean_feeds(self, e: Entity, first: int, last: int) -> DataFrame:
         """Feeds of the versions first..last; ``_batch_id`` is the version."""
         rows = self.clean_table(e).read_versions(first, last).filter(F.col(merge.KIND) == "feed")
-        return rows.withColumn(BATCH, F.col("v").cast("bigint")).drop("v", merge.KIND)
+        return rows.withColumn(BATCH, F.col("v").cast("bigint")).drop("v", merge.KIND, BUCKET)
 
     def dim(self, e: Entity, mode: str = "sound") -> DataFrame | None:
         t = self.dim_table(e, mode)
@@ -188,9 +191,13 @@ def _empty_clean(e: Entity, src: DataFrame) -> DataFrame:
     return src.select(F.lit(None).cast("bigint").alias(e.surrogate), *e.clean_cols).limit(0)
 
 
-def run_clean(wh: Warehouse, e: Entity, *, as_of=None, mode: str = "sound", strategy: str = "auto",
-              checks: str = "abort") -> int | None:
-    """Merge staged batches not yet consumed into the clean table; returns the new version."""
+def run_clean(wh: Warehouse, e: Entity, *, as_of=None, mode: str = "sound", strategy: str = "shuffle",
+              checks: str = "abort", not_older: str | None = None) -> int | None:
+    """Merge staged batches not yet consumed into the clean table; returns the new version.
+
+    ``not_older`` names a column by which rows older than the target's are left
+    out (default: the last arrival wins, whatever its time).
+    """
     table = wh.clean_table(e)
     last = table.consumed()
     # The batch to consume up to comes from the ledger: a batch may have no rows.
@@ -211,13 +218,10 @@ def run_clean(wh: Warehouse, e: Entity, *, as_of=None, mode: str = "sound", stra
         src = merge.dedupe_latest(src, e.keys, e.order_cols)
     at = as_of or _now()
     stamp = {"_copy_data_ts": F.lit(at).cast("timestamp_ntz")}
-    target = wh.clean(e)
-    if target is None:
-        target = _empty_clean(e, src)
-    if mode == "reference":
-        merge.check_matched_unique(target, src, e.keys)
-    rows = merge.merge_rows(
-        target, src, e.keys,
+    return table.upsert(
+        src, consumed=max_batch, empty=_empty_clean(e, src),
+        check=(lambda target, delta: merge.check_matched_unique(target, delta, e.keys)) if mode == "reference" else None,
+        finish=lambda rows: privacy.tag(rows.withColumn(BATCH, F.lit(max_batch).cast("bigint")), e.tags),
         update_cols=e.update_cols,
         insert_cols=[c for c in e.clean_cols if c in src.columns],
         track=e.track,
@@ -226,9 +230,8 @@ def run_clean(wh: Warehouse, e: Entity, *, as_of=None, mode: str = "sound", stra
         set_on_insert=dict(e.set_on_insert, **(stamp if e.stamp_copy_ts or e.insert_copy_ts else {})),
         surrogate=e.surrogate,
         strategy=strategy,
+        not_older=not_older,
     )
-    rows = privacy.tag(rows.withColumn(BATCH, F.lit(max_batch).cast("bigint")), e.tags)
-    return table.write(rows, consumed=max_batch)
 
 
 def _dim_feed(wh: Warehouse, e: Entity, first: int, last: int) -> DataFrame:
@@ -264,10 +267,11 @@ def run_dim(wh: Warehouse, e: Entity, *, as_of=None, mode: str = "sound", on_del
 
 
 def run_batch(wh: Warehouse, e: Entity, path: str | None = None, *, as_of=None, mode: str = "sound",
-              strategy: str = "auto", checks: str = "abort", bind_by: str = "position") -> dict:
+              strategy: str = "shuffle", checks: str = "abort", bind_by: str = "position",
+              not_older: str | None = None) -> dict:
     """Load new files (if ``path``), then clean merge, then dimension."""
     loaded = copy_into(wh, e, path, as_of=as_of, bind_by=bind_by) if path else LoadResult(None, 0, 0)
-    version = run_clean(wh, e, as_of=as_of, mode=mode, strategy=strategy, checks=checks)
+    version = run_clean(wh, e, as_of=as_of, mode=mode, strategy=strategy, checks=checks, not_older=not_older)
     run_dim(wh, e, as_of=as_of, mode=mode)
     return {"batch_id": loaded.batch_id, "files": loaded.files, "rows": loaded.rows,
             "clean_version": version}

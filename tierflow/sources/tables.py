@@ -1,18 +1,23 @@
 """Reading the driver's tables and keeping versioned table snapshots.
 
 A snapshot table is a folder with one sub-folder per version
-(``v=00000001`` ...). A version counts only once its commit marker is there:
-one small JSON file, put in place by a rename after the data, that also says
-which input the version consumed. Data and consumer offset are therefore one
-atomic step; a job that fails before it leaves a folder that the next attempt
-overwrites. A job that reads version n can safely write n+1 (Spark cannot
+(``v=00000001`` ...). A version is written into a draft folder of its own, with
+a small JSON marker that also says which input it consumed, and then put in
+place by one rename that fails where the version exists. Data and consumer
+offset are therefore one atomic step: a job that fails before it leaves a draft
+that nobody reads, and of two writers that start from the same version one gets
+a ``CommitConflict`` and has changed nothing. The folder has to be on a file
+system with an atomic rename (HDFS, a local or shared disk), not on a bare
+object store. A job that reads version n can safely write n+1 (Spark cannot
 overwrite a path it is reading from).
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
@@ -20,6 +25,10 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 COMMITTED = "_COMMITTED"
 
 
+class CommitConflict(RuntimeError):
+    """Another writer has committed the version that this one was to become."""
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's parquet tables, e.g. ``read_table(spark, d, 'orders')``."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -54,14 +63,30 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def _write_marker(spark: SparkSession, folder: str, content: dict) -> None:
-    fs, path, jvm = _fs(spark, f"{folder}/{COMMITTED}")
-    draft = jvm.org.apache.hadoop.fs.Path(f"{folder}/_draft{COMMITTED}")
-    out = fs.create(draft, True)
+    fs, path, _ = _fs(spark, f"{folder}/{COMMITTED}")
+    out = fs.create(path, False)
     try:
         out.write(bytearray(json.dumps(content), "utf-8"))
     finally:
         out.close()
-    fs.rename(draft, path)
+
+
+def _publish(spark: SparkSession, draft: str, folder: str) -> None:
+    """Put a finished draft in its place, unless something is there already."""
+    _, source, jvm = _fs(spark, draft)
+    target = jvm.org.apache.hadoop.fs.Path(folder)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(kind, 1)
+    options[0] = kind.NONE
+    try:
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(source.toUri(), conf).rename(source, target, options)
+    except Py4JJavaError as error:
+        if not path_exists(spark, folder):
+            raise
+        raise CommitConflict(f"{folder} was committed by another writer") from error
+    if path_exists(spark, draft) or not path_exists(spark, f"{folder}/{COMMITTED}"):
+        raise RuntimeError(f"{draft} could not be put in place as {folder}")
 
 
 def _read_marker(spark: SparkSession, folder: str) -> dict:
@@ -92,10 +117,14 @@ class SnapshotTable:
         v = self.version() if version is None else version
         return f"{self.root}/v={v:08d}"
 
+    def marker(self, version: int | None = None) -> dict:
+        """What was written with a version (empty if there is none)."""
+        v = self.version() if version is None else version
+        return _read_marker(self.spark, self.path(v)) if v else {}
+
     def consumed(self) -> int:
         """What the latest version had consumed of its input (0 if there is none)."""
-        v = self.version()
-        return int(_read_marker(self.spark, self.path(v))["consumed"]) if v else 0
+        return int(self.marker().get("consumed", 0))
 
     def read(self, version: int | None = None) -> DataFrame:
         v = self.version() if version is None else version
@@ -113,13 +142,23 @@ class SnapshotTable:
                 .option("basePath", self.root).parquet(*paths))
         return rows.filter(F.col("v").between(first, last))
 
-    def write(self, df: DataFrame, consumed: int = 0) -> int:
-        """Write ``df`` as the next version and return its number."""
-        nxt = self.version() + 1
-        writer = df.write.mode("overwrite")
+    def write(self, df: DataFrame, consumed: int = 0, based_on: int | None = None) -> int:
+        """Write ``df`` as the next version and return its number.
+
+        ``based_on`` is the version the rows were computed from: if another one
+        has been committed since, the write is refused.
+        """
+        return self._commit(df, consumed, based_on, lambda draft, version: {})
+
+    def _commit(self, df: DataFrame, consumed: int, based_on: int | None, notes) -> int:
+        version = (self.version() if based_on is None else based_on) + 1
+        draft = f"{self.root}/_draft-{uuid.uuid4().hex[:12]}"
+        writer = df.write
         if self.partition_by:
             writer = writer.partitionBy(*self.partition_by)
-        writer.parquet(self.path(nxt))
+        writer.parquet(draft)
         nullable = StructType([StructField(f.name, f.dataType, True, f.metadata) for f in df.schema.fields])
-        _write_marker(self.spark, self.path(nxt), {"consumed": int(consumed), "schema": nullable.json()})
-        return nxt
+        content = {"consumed": int(consumed), "schema": nullable.json()} | notes(draft, version)
+        _write_marker(self.spark, draft, content)
+        _publish(self.spark, draft, self.path(version))
+        return version

@@ -27,6 +27,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tierflow.session import unique_scratch
+
 REVENUE_TYPE = "decimal(38,4)"
 
 MEASURES = (
@@ -67,7 +69,8 @@ def _measures(grouped) -> DataFrame:
     )
 
 
-def _with_averages(df: DataFrame) -> DataFrame:
+def with_averages(df: DataFrame) -> DataFrame:
+    """The ratios of a mart from its additive measures."""
     revenue = F.col("total_revenue").cast("double")
     return df.withColumn(
         "avg_revenue_per_order", revenue / F.col("total_orders").cast("double")
@@ -79,14 +82,14 @@ def _with_averages(df: DataFrame) -> DataFrame:
 def yearly_kpis(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     """One row per year: year + the five measures."""
     totals = _order_totals(lineitem, orders, by_supplier=False)
-    out = _with_averages(_measures(totals.groupBy("year")))
+    out = with_averages(_measures(totals.groupBy("year")))
     return out.select("year", *MEASURES)
 
 
 def monthly_kpis(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     """One row per (year, month) with orders."""
     totals = _order_totals(lineitem, orders, by_supplier=False)
-    out = _with_averages(_measures(totals.groupBy("year", "month")))
+    out = with_averages(_measures(totals.groupBy("year", "month")))
     return out.select("year", "month", *MEASURES)
 
 
@@ -101,8 +104,11 @@ def monthly_by_restaurant(
     (``spark.sql.autoBroadcastJoinThreshold`` and AQE's runtime sizes):
     the supplier table grows with the data and is not hinted.
     """
-    totals = _order_totals(lineitem, orders, by_supplier=True)
-    agg = _with_averages(_measures(totals.groupBy("year", "month", "l_suppkey")))
+    return _by_restaurant(_order_totals(lineitem, orders, by_supplier=True), supplier)
+
+
+def _by_restaurant(totals: DataFrame, supplier: DataFrame) -> DataFrame:
+    agg = with_averages(_measures(totals.groupBy("year", "month", "l_suppkey")))
     names = supplier.select(
         F.col("s_suppkey").alias("l_suppkey"), F.col("s_name").alias("restaurant_name")
     )
@@ -157,10 +163,22 @@ def publish(
         orders = orders_in(orders, min(years), last=max(years)).filter(F.year("o_orderdate").isin(list(years)))
         # Lines of other orders go before they are aggregated.
         lineitem = lineitem.join(orders.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
+    # The facts are read once: both marts come from the totals by order and supplier,
+    # and the yearly one from the monthly one, as an order has one date.
+    path = unique_scratch(lineitem.sparkSession, "mart-totals")
+    written = _order_totals(lineitem, orders, by_supplier=True)
+    written.write.parquet(path)
+    totals = lineitem.sparkSession.read.schema(written.schema).parquet(path)
+    per_order = totals.groupBy("l_orderkey", "year", "month").agg(
+        F.sum("order_revenue").alias("order_revenue"), F.sum("n_items").alias("n_items"))
+    monthly = _measures(per_order.groupBy("year", "month"))
+    yearly = monthly.groupBy("year").agg(
+        F.sum("total_revenue").cast(REVENUE_TYPE).alias("total_revenue"), F.sum("total_orders").alias("total_orders"),
+        F.sum("total_items").alias("total_items"), F.max("max_order_value").alias("max_order_value"))
     frames = {
-        "yearly": yearly_kpis(lineitem, orders),
-        "monthly": monthly_kpis(lineitem, orders),
-        "monthly_by_restaurant": monthly_by_restaurant(lineitem, orders, supplier),
+        "yearly": with_averages(yearly).select("year", *MEASURES),
+        "monthly": with_averages(monthly).select("year", "month", *MEASURES),
+        "monthly_by_restaurant": _by_restaurant(totals, supplier),
     }
     for name, df in frames.items():
         (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if years else "static")

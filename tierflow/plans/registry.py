@@ -318,3 +318,4 @@ def top_suppliers_labeled(spark, d):
 from tierflow.plans import change_queries  # noqa: E402,F401
 from tierflow.plans import ingest_queries  # noqa: E402,F401
 from tierflow.plans import entity_queries  # noqa: E402,F401
+from tierflow.plans import maintenance_queries  # noqa: E402,F401

@@ -50,22 +50,34 @@ def max_key(df: DataFrame, col: str) -> int:
 ROW_BITS = 33
 
 
-def assign_surrogate(df: DataFrame, col: str, base: int = 0) -> DataFrame:
-    """Unique keys ``base + 1 … base + rows``, in two passes without a sort.
+ROW_ID = "__row_id"
+
+
+def with_row_id(df: DataFrame) -> DataFrame:
+    """``df`` with the place of each row in the job that writes it."""
+    return df.withColumn(ROW_ID, F.monotonically_increasing_id())
+
+
+def numbered(rows: DataFrame, col: str, base: int = 0) -> DataFrame:
+    """Keys ``base + 1 … base + rows`` for a written table that holds ``with_row_id``'s column.
 
-    Rows are written once with their partition and their number in it. A count
-    per partition (one row for each task of that write) gives the offset from
-    which a partition's numbers run. Keys are a function of the written rows, so
-    a task that is repeated gives the same ones.
+    A count per partition (one row for each task of that write) gives the offset
+    from which a partition's numbers run. No row is sorted, and keys are a function
+    of the written rows, so a task that is repeated gives the same ones.
     """
-    path = unique_scratch(df.sparkSession, "keys")
-    numbered = df.withColumn("__id", F.monotonically_increasing_id())
-    numbered.write.parquet(path)
-    rows = df.sparkSession.read.schema(numbered.schema).parquet(path)
-    part = F.shiftright("__id", ROW_BITS)
+    part = F.shiftright(ROW_ID, ROW_BITS)
     counts = rows.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy(F.lit(0)).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("__part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__from"))
-    number = F.col("__from") + F.col("__id").bitwiseAND((1 << ROW_BITS) - 1) + 1
+    number = F.col("__from") + F.col(ROW_ID).bitwiseAND((1 << ROW_BITS) - 1) + 1
+    cols = [c for c in rows.columns if c not in (col, ROW_ID)]
     return (rows.join(F.broadcast(offsets), part == F.col("__part"))
-            .withColumn(col, (F.lit(base) + number).cast("bigint")).select(*[c for c in df.columns if c != col], col))
+            .withColumn(col, (F.lit(base) + number).cast("bigint")).select(*cols, col))
+
+
+def assign_surrogate(df: DataFrame, col: str, base: int = 0) -> DataFrame:
+    """Unique keys ``base + 1 … base + rows``, in two passes: rows are written, then numbered."""
+    path = unique_scratch(df.sparkSession, "keys")
+    rows = with_row_id(df)
+    rows.write.parquet(path)
+    return numbered(df.sparkSession.read.schema(rows.schema).parquet(path), col, base)

@@ -38,6 +38,8 @@ S = "__s_"
 ACTION = "_change_action"
 IS_UPDATE = "_change_is_update"
 KIND = "_kind"
+#: Column of a source that already brings the surrogate keys of its rows.
+NEW_KEY = "__sk"
 FEED_COLS = (ACTION, IS_UPDATE)
 
 class DuplicateKeyError(ValueError):
@@ -175,11 +177,8 @@ def merge_rows(
     set_on_insert = dict(set_on_insert or {})
     ttypes = dict((f.name, f.dataType) for f in target.schema.fields)
 
-    if surrogate and sk_base is None:
-        sk_base = max_key(target, surrogate)
-
-    if surrogate:
-        source = assign_surrogate(source, "__sk", sk_base)
+    if surrogate and NEW_KEY not in source.columns:
+        source = assign_surrogate(source, NEW_KEY, max_key(target, surrogate) if sk_base is None else sk_base)
     # Targets of a NULL key and sources of one must not meet: their hashes differ in sign.
     t = _prefixed(target.withColumn("__n", -F.abs(spread(target, keys))), T, "__t")
     s = _prefixed(source.withColumn("__n", F.abs(spread(source, keys))), S, "__s")
@@ -219,7 +218,7 @@ def merge_rows(
         else:
             upd = old
         if surrogate and c == surrogate:
-            ins = F.col(S + "__sk")
+            ins = F.col(S + NEW_KEY)
         elif c in set_on_insert:
             ins = set_on_insert[c]
         elif c in insert_cols:

@@ -33,9 +33,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampNTZType
 
 from tierflow.functions import privacy, quality
+from tierflow.functions.keys import assign_surrogate
 from tierflow.operators import merge, scd2
 from tierflow.operators.cdc import BATCH, net_changes
 from tierflow.plans.entities import AUDIT_COLS, Entity
+from tierflow.session import unique_scratch
 from tierflow.sources import ingest
 from tierflow.sources.buckets import BUCKET, BUCKETS, BucketedTable
 from tierflow.sources.ledger import Ledger
@@ -135,11 +137,12 @@ def append_stage(wh: Warehouse, e: Entity, rows: DataFrame, listing: DataFrame |
     counts = written.groupBy(F.col("_stg_file_md5").alias("file_key")).agg(
         F.count(F.lit(1)).alias("rows_loaded"), F.first("_stg_file_name").alias("file_name"))
     if listing is not None:
-        files = listing.select(F.col("path").alias("lname"), "file_key").join(counts, "file_key", "left")
+        content = F.col("content_key") if "content_key" in listing.columns else F.lit(None).cast("string")
+        files = listing.select(F.col("path").alias("lname"), "file_key", content.alias("content_key")).join(counts, "file_key", "left")
         files = files.select(F.coalesce("file_name", "lname").alias("file_name"), "file_key",
-                             F.coalesce("rows_loaded", F.lit(0)).alias("rows_loaded"))
+                             F.coalesce("rows_loaded", F.lit(0)).alias("rows_loaded"), "content_key")
     else:
-        files = counts
+        files = counts.withColumn("content_key", F.lit(None).cast("string"))
     at = as_of or _now()
     entries = files.select(
         F.lit(e.name).alias("table_name"), "file_name", "file_key",
@@ -147,6 +150,7 @@ def append_stage(wh: Warehouse, e: Entity, rows: DataFrame, listing: DataFrame |
         F.col("rows_loaded").cast("bigint").alias("rows_loaded"),
         F.lit("LOADED").alias("status"),
         F.lit(at).cast("timestamp").alias("loaded_at"),
+        "content_key",
     )
     wh.ledger.record_loads(entries)
     summary = wh.ledger.loads().filter((F.col("table_name") == e.name) & (F.col("batch_id") == batch_id)) \
@@ -158,33 +162,67 @@ MAX_FILES = 10_000
 
 
 def copy_into(wh: Warehouse, e: Entity, path: str, *, as_of=None, bind_by: str = "position",
-              file_cols=None, max_files: int = MAX_FILES, **reader_opts) -> LoadResult:
+              file_cols=None, max_files: int = MAX_FILES, by_content: bool = True, **reader_opts) -> LoadResult:
     """Load the files under ``path`` not loaded before into the stage table.
 
-    The skip test is an anti join of the file listing against the ledger. Paths
-    of new files come to the driver, to be handed to the reader, at most
-    ``max_files`` at a time; a larger load makes several batches. With
+    The folder is listed once. The skip test is an anti join of the listing
+    against the ledger; of files that are left, those whose path was loaded
+    before with the same bytes are skipped as well and noted (``by_content``; only
+    files that look new are read for it, in byte ranges). What remains is numbered
+    and loaded ``max_files`` at a time, each round a batch of its own: that many
+    paths come to the driver, to be handed to the reader. With
     ``on_error='continue'`` rows that cannot be parsed go to
     ``quarantine/<entity>_load`` with file and text, and are not loaded.
     """
-    listing = ingest.list_files(wh.spark, path)
     reader_opts.setdefault("multi_line", e.multi_line)
+    new = ingest.list_files(wh.spark, path).join(wh.ledger.loaded_keys(e.name), "file_key", "left_anti")
+    new = _staged(wh, new, "copy-listing")
+    first = [r["path"] for r in new.select("path").limit(max_files + 1).collect()]
+    rounds = 1 if first else 0
+    if len(first) > max_files:
+        numbered = assign_surrogate(new, "__n").withColumn("__round", F.floor((F.col("__n") - 1) / max_files)).drop("__n")
+        new = _staged(wh, numbered, "copy-rounds")
+        rounds = new.agg(F.max("__round").alias("m")).first()["m"] + 1
     batch_id, files, loaded = None, 0, 0
-    while True:
-        new = listing.join(wh.ledger.loaded_keys(e.name), "file_key", "left_anti")
-        new_paths = [r["path"] for r in new.select("path").orderBy("path").limit(max_files).collect()]
-        if not new_paths:
-            return LoadResult(batch_id, files, loaded)
-        rows = ingest.read_staged(wh.spark, new_paths, file_cols or e.stage_cols, target_cols=e.stage_cols,
+    for k in range(rounds):
+        part, paths = new, first
+        if rounds > 1:
+            part = new.filter(F.col("__round") == k).drop("__round")
+            paths = [r["path"] for r in part.select("path").collect()]
+        if by_content:
+            part, paths = _with_content(wh, e, part, paths, as_of)
+        if not paths:
+            continue
+        rows = ingest.read_staged(wh.spark, paths, file_cols or e.stage_cols, target_cols=e.stage_cols,
                                   bind_by=bind_by, as_of=as_of, **reader_opts)
         if ingest.CORRUPT in rows.columns:
             bad = rows.filter(F.col(ingest.CORRUPT).isNotNull())
             bad.write.mode("overwrite").parquet(f"{wh.root}/quarantine/{e.name}_load/{BATCH}={_next_batch_id(wh, e)}")
             rows = rows.filter(F.col(ingest.CORRUPT).isNull()).drop(ingest.CORRUPT)
-        done = append_stage(wh, e, rows, new.filter(F.col("path").isin(new_paths)), as_of)
+        done = append_stage(wh, e, rows, part, as_of)
         batch_id, files, loaded = done.batch_id, files + done.files, loaded + done.rows
-        if len(new_paths) < max_files:
-            return LoadResult(batch_id, files, loaded)
+    return LoadResult(batch_id, files, loaded)
+
+
+def _staged(wh: Warehouse, df: DataFrame, name: str) -> DataFrame:
+    path = unique_scratch(wh.spark, name)
+    df.write.parquet(path)
+    return wh.spark.read.schema(df.schema).parquet(path)
+
+
+def _with_content(wh: Warehouse, e: Entity, new: DataFrame, paths: list[str], as_of) -> tuple[DataFrame, list[str]]:
+    """New files with their content key, and their paths, without those loaded before under the same path with the same bytes."""
+    keys = ingest.content_keys(wh.spark, paths)
+    keyed = new.join(keys, "path", "left").withColumn("content_key", F.coalesce("content_key", F.when(F.col("length") == 0, F.lit("empty"))))
+    known = wh.ledger.loaded_contents(e.name).withColumn("same", F.lit(True))
+    keyed = _staged(wh, keyed.join(known, ["path", "content_key"], "left"), "copy-content")
+    told = {r["path"]: bool(r["same"]) for r in keyed.select("path", "same").collect()}
+    if any(told.values()):
+        at = as_of or _now()
+        wh.ledger.record_loads(keyed.filter("same").select(
+            F.lit(e.name).alias("table_name"), F.col("path").alias("file_name"), "file_key", F.lit(None).cast("bigint").alias("batch_id"),
+            F.lit(0).cast("bigint").alias("rows_loaded"), F.lit("SKIPPED").alias("status"), F.lit(at).cast("timestamp").alias("loaded_at"), "content_key"))
+    return keyed.filter("same is null").drop("same"), sorted(p for p, same in told.items() if not same)
 
 
 def _empty_clean(e: Entity, src: DataFrame) -> DataFrame:

@@ -20,6 +20,8 @@ from tierflow.plans import standins as st
 from tierflow.plans.change_queries import _DAYS_SQL, _SCD_SOUND_SQL, _orders_delta, _ORDER_COLS
 from tierflow.plans.incremental import MartStore
 from tierflow.plans.registry import register
+from tierflow.plans import batch, entities
+from tierflow.sources import ingest, multiline
 from tierflow.session import unique_scratch
 from tierflow.sources.buckets import BucketedTable
 from tierflow.sources.tables import read_table
@@ -161,3 +163,76 @@ def scd2_as_of(spark, d):
     """What was in force on day 2, from a history whose batches came backwards."""
     cols = [*st.CUSTOMER_KEYS, *st.CUSTOMER_TRACK]
     return _timeline(spark, d, (3, 2, 1)).as_of(st.DAY_TS[2]).select(*cols)
+
+
+# ===================================================================== files
+
+def _note_files(spark, d) -> str:
+    """Customers as CSV whose quoted fields hold line breaks, quotes and separators."""
+    c = read_table(spark, d, "customer")
+    note = F.concat(F.col("c_name"), F.lit('\nsaid "'), F.col("c_mktsegment"), F.lit('",\n\n'), F.col("c_custkey").cast("string"))
+    rows = c.select(F.col("c_custkey").cast("string").alias("c_custkey"), F.when(F.col("c_custkey") % 3 > 0, note).otherwise(F.col("c_name")).alias("note"),
+                    F.col("c_nationkey").cast("string").alias("c_nationkey"))
+    path = unique_scratch(spark, "notes")
+    ingest.write_csv(rows, path)
+    return path
+
+
+@register("csv_multiline_split", """
+SELECT c_custkey, CASE WHEN c_custkey % 3 > 0 THEN c_name || chr(10) || 'said "' || c_mktsegment || '",' || chr(10) || chr(10) || c_custkey ELSE c_name END AS note,
+       c_nationkey FROM customer""")
+def csv_multiline_split(spark, d):
+    """Files with line breaks inside quotes, cut into byte ranges."""
+    schema, options = ingest.csv_format(["c_custkey", "note", "c_nationkey"])
+    rows = multiline.read_records(spark, [_note_files(spark, d)], schema, options)
+    return rows.select(F.col("c_custkey").cast("bigint").alias("c_custkey"), "note", F.col("c_nationkey").cast("bigint").alias("c_nationkey"))
+
+
+def _landed(spark, d) -> str:
+    path = unique_scratch(spark, "landing")
+    stage = st.location_stage(read_table(spark, d, "customer"), 1)
+    ingest.write_csv(stage.select(*entities.LOCATION.stage_cols), path)
+    return path
+
+
+def _touch(spark, path: str) -> None:
+    """Give every file a new modification time, as an upload of the same bytes does."""
+    from tierflow.sources.tables import _fs
+
+    fs, folder, _ = _fs(spark, path)
+    for status in fs.listStatus(folder):
+        fs.setTimes(status.getPath(), status.getModificationTime() + 60_000, -1)
+
+
+@register("copy_reupload", """
+SELECT 1 AS load, count(*) AS n_rows, 'LOADED' AS status FROM customer
+UNION ALL SELECT 2, 0, 'SKIPPED'""")
+def copy_reupload(spark, d):
+    """Files uploaded again with the same bytes under a new time: the second load takes nothing."""
+    e, path = entities.LOCATION, _landed(spark, d)
+    wh = batch.Warehouse(spark, unique_scratch(spark, "reupload"))
+    batch.copy_into(wh, e, path)
+    _touch(spark, path)
+    batch.copy_into(wh, e, path)
+    loads = wh.ledger.loads().groupBy("status").agg(F.sum("rows_loaded").alias("n_rows"))
+    return loads.select(F.when(F.col("status") == "LOADED", 1).otherwise(2).alias("load"), "n_rows", "status")
+
+
+@register("copy_on_error", """
+SELECT 'loaded' AS part, count(*) FILTER (c_custkey % 5 <> 0) AS n FROM customer
+UNION ALL SELECT 'quarantined', count(*) FILTER (c_custkey % 5 = 0) FROM customer""")
+def copy_on_error(spark, d):
+    """Every fifth line lacks a field: it is kept apart, the others are loaded."""
+    e = entities.LOCATION
+    c = read_table(spark, d, "customer")
+    k = F.col("c_custkey").cast("string")
+    line = F.when(F.col("c_custkey") % 5 == 0, F.concat(k, F.lit(",short"))).otherwise(
+        F.concat_ws(",", k, F.lit("Pune"), F.lit("Maharashtra"), F.lit("411001"), F.lit("Yes"), F.lit("2024-01-01 09:00:00"), F.lit("\\N")))
+    path = unique_scratch(spark, "broken")
+    # One text column named like the header, without quoting: lines as they are, a header in each file.
+    c.select(line.alias(",".join(e.stage_cols))).write.options(header=True, sep="\x01", quote="\0", escape="\0", emptyValue="").csv(path)
+    wh = batch.Warehouse(spark, unique_scratch(spark, "on-error"))
+    batch.copy_into(wh, e, path, on_error="continue")
+    bad = spark.read.parquet(f"{wh.root}/quarantine/{e.name}_load")
+    parts = wh.stage(e).select(F.lit("loaded").alias("part")).unionByName(bad.select(F.lit("quarantined").alias("part")))
+    return parts.groupBy("part").agg(F.count(F.lit(1)).alias("n"))

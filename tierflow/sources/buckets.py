@@ -12,8 +12,8 @@ The bucket is a hash of the key; a row with a NULL in its key, which never
 matches, goes by the hash of the whole row, so such rows spread as well. A row
 keeps the bucket it was inserted into.
 
-Take so many buckets that one is a task's work (half a gigabyte or so);
-``rebucket`` rewrites the table once with another number when it has outgrown it.
+Take so many buckets that one is a task's work (half a gigabyte or so; the
+default is for small tables); ``rebucket`` rewrites the table once with another number when it has outgrown it.
 """
 
 from __future__ import annotations
@@ -24,13 +24,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
+from tierflow.functions.keys import ROW_ID, numbered, with_row_id
 from tierflow.operators import merge
 from tierflow.operators.merge import KIND
 from tierflow.session import unique_scratch
 from tierflow.sources.tables import SnapshotTable, _fs, path_exists
 
 BUCKET = "_bucket"
-BUCKETS = 16
+BUCKETS = 4
 
 
 def key_bucket(df: DataFrame, keys, n: int) -> Column:
@@ -100,25 +101,29 @@ class BucketedTable(SnapshotTable):
         yet (default: those of the delta). ``check`` gets the touched rows and the
         delta before the merge, ``finish`` the merged rows before they are written.
         """
-        based_on = self.version()
-        placed = self.placed(delta)
+        based_on, before = self.version(), self.marker()
+        placed = with_row_id(self.placed(delta))
         path = unique_scratch(self.spark, "delta")
         placed.write.parquet(path)
         delta = self.spark.read.schema(placed.schema).parquet(path)
-        touched = self.touched(delta)
+        counts = {r[BUCKET]: r["n"] for r in delta.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("n")).collect()}
+        touched = sorted(counts)
         surrogate, notes = options.get("surrogate"), {}
+        if surrogate:
+            top = int(before.get("max_key", 0))
+            delta = numbered(delta, merge.NEW_KEY, top)
+            notes["max_key"] = top + sum(counts.values())
+        else:
+            delta = delta.drop(ROW_ID)
         if based_on:
             target = self.rows(touched, based_on).drop("v")
             target = target if empty is None else target.select(*empty.columns, BUCKET)
         else:
-            target = (delta.drop(BUCKET) if empty is None else empty).limit(0).withColumn(BUCKET, F.lit(None).cast("int"))
+            target = (delta.drop(BUCKET, merge.NEW_KEY) if empty is None else empty).limit(0).withColumn(BUCKET, F.lit(None).cast("int"))
             if surrogate and surrogate not in target.columns:
                 target = target.withColumn(surrogate, F.lit(None).cast("bigint"))
         if check:
             check(target, delta)
-        if surrogate:
-            options["sk_base"] = int(self.marker(based_on).get("max_key", 0)) if based_on else 0
-            notes["max_key"] = options["sk_base"] + delta.count()
         if options.get("insert_cols") is not None:
             options["insert_cols"] = [*options["insert_cols"], BUCKET]
         if options.get("update_cols") is None:

@@ -7,21 +7,24 @@ quotes, ``\\N`` as NULL); columns are bound by position by default, like
 Audit columns:
   _stg_file_name     the file's path (``_metadata.file_path``)
   _stg_file_load_ts  the file's modification time
-  _stg_file_md5      a content key of the file version
+  _stg_file_md5      a key of the file version
   _copy_data_ts      the load time (``as_of``, or the current time)
 
-The content key is an MD5 over (path, length, modification time) taken
-from the file listing, so no file is read twice and no file's bytes are
-ever gathered into one row; ``content_key='md5'`` hashes the bytes
-instead (one row per file: only for small files).
+The key of a file version is an MD5 over (path, length, modification time) taken
+from the file listing. Whether a file that looks new has new bytes is told by its
+content key (``content_keys``): files are scanned as lines in byte ranges, each
+range is digested in parallel, and the digests of the ranges are folded, so that
+no task reads a whole file and no file's bytes are gathered into one row.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tierflow.sources import multiline
+
 # The source's CSV file format.
 CSV_OPTIONS = {
     "sep": ",",
@@ -40,17 +43,8 @@ def text_schema(cols) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), True) for c in cols])
 
 
-def csv_reader(spark: SparkSession, cols, *, on_error: str = "abort", ragged: str = "reject",
-               multi_line: bool = False, recursive: bool = True, streaming: bool = False):
-    """A configured CSV reader over an all-text schema in file order.
-
-    on_error  'abort'     : any malformed row fails the load (FAILFAST)
-              'continue'  : malformed rows are kept with a ``_corrupt_record``
-    ragged    'reject'    : rows with too few/many fields are malformed
-              'pad'       : such rows are padded with NULL / truncated
-    multi_line            : quoted fields may span lines (a file is then
-                            read by one task, so keep it per entity)
-    """
+def csv_format(cols, on_error: str = "abort", ragged: str = "reject") -> tuple[T.StructType, dict]:
+    """Schema and parser options of a load (see ``csv_reader``)."""
     schema = text_schema(cols)
     opts = dict(CSV_OPTIONS)
     if on_error == "continue" or ragged == "pad":
@@ -60,6 +54,21 @@ def csv_reader(spark: SparkSession, cols, *, on_error: str = "abort", ragged: st
             opts["columnNameOfCorruptRecord"] = CORRUPT
     else:
         opts["mode"] = "FAILFAST"
+    return schema, opts
+
+
+def csv_reader(spark: SparkSession, cols, *, on_error: str = "abort", ragged: str = "reject",
+               multi_line: bool = False, recursive: bool = True, streaming: bool = False):
+    """A configured CSV reader over an all-text schema in file order.
+
+    on_error  'abort'     : any malformed row fails the load (FAILFAST)
+              'continue'  : malformed rows are kept with a ``_corrupt_record``
+    ragged    'reject'    : rows with too few/many fields are malformed
+              'pad'       : such rows are padded with NULL / truncated
+    multi_line            : quoted fields may span lines (here a file is then read
+                            by one task; ``read_staged`` reads it in byte ranges)
+    """
+    schema, opts = csv_format(cols, on_error, ragged)
     if multi_line:
         opts["multiLine"] = "true"
     if recursive and not streaming:
@@ -124,6 +133,10 @@ def read_staged(spark: SparkSession, path, file_cols, *, target_cols=None, bind_
     the same) is the stage table's column list they are bound to.
     """
     paths = [path] if isinstance(path, str) else list(path)
+    if reader_opts.get("multi_line") and bind_by == "position":
+        schema, opts = csv_format(file_cols, **{k: v for k, v in reader_opts.items() if k in ("on_error", "ragged")})
+        raw = multiline.read_records(spark, paths, schema, opts, reader_opts.get("recursive", True))
+        return bind(with_audit(raw, as_of).drop("_metadata"), list(target_cols or file_cols), bind_by)
     raw = csv_reader(spark, file_cols, **reader_opts).load(paths)
     if bind_by == "name":
         # Header names decide, and they must be the same in all files of one load:
@@ -149,6 +162,26 @@ def list_files(spark: SparkSession, path: str, content_key: str = "metadata") ->
     )
 
 
+def content_keys(spark: SparkSession, paths) -> DataFrame:
+    """(path, content_key) of files: equal for equal bytes, however files are cut into ranges.
+
+    Every line is hashed (twice, with different seeds) with its number in the
+    file. Line numbers come from the counts of the ranges before; a range's digest
+    is the exclusive or of its lines, a file's that of its ranges, with its length.
+    """
+    text = spark.read.option("lineSep", "\n").option("recursiveFileLookup", "true").text(paths)
+    at = [scanned_path().alias("path"), F.col("_metadata.file_size").alias("size"), F.col("_metadata.file_block_start").alias("start")]
+    lines = text.select("value", *at, F.monotonically_increasing_id().alias("id"))
+    counts = lines.groupBy("path", "size", "start").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first"))
+    earlier = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select("path", "size", "start", (F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first")).alias("offset"))
+    placed = lines.join(counts, ["path", "size", "start"]).withColumn("line", F.col("id") + F.col("offset"))
+    # Tasks fold the lines of their ranges before anything is exchanged.
+    folded = placed.groupBy("path", "size").agg(
+        *[F.bit_xor(F.xxhash64(F.lit(seed), "line", F.col("value").cast("binary"))).alias(f"d{seed}") for seed in (1, 2)])
+    return folded.select("path", F.concat_ws("-", F.lower(F.hex("d1")), F.lower(F.hex("d2")), F.col("size").cast("string")).alias("content_key"))
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write a frame as staged CSV in the source file format (one header per file)."""
     df.write.mode(mode).options(**CSV_OPTIONS).option("quoteAll", "false").csv(path)

@@ -1,9 +1,10 @@
 """Load ledger, kept as a small append-only parquet table.
 
 load ledger  one row per loaded file: (table_name, file_name, file_key,
-             batch_id, rows_loaded, status, loaded_at). A file whose
-             (table, key) is present is not loaded again; ``copy_history``
-             filters it by table and time.
+             batch_id, rows_loaded, status, loaded_at, content_key). A file
+             whose (table, key) is present is not loaded again, nor is one
+             whose path and content are (status SKIPPED: same bytes under a new
+             time); ``copy_history`` filters it by table and time.
 
 What consumers have taken from the stage is not kept here but in the commit
 marker of the version they wrote (sources/tables.py).
@@ -25,6 +26,7 @@ LEDGER_SCHEMA = T.StructType([
     T.StructField("rows_loaded", T.LongType()),
     T.StructField("status", T.StringType()),
     T.StructField("loaded_at", T.TimestampType()),
+    T.StructField("content_key", T.StringType()),
 ])
 
 class Ledger:
@@ -40,14 +42,21 @@ class Ledger:
         return self.spark.read.schema(LEDGER_SCHEMA).parquet(self.loads_path)
 
     def record_loads(self, rows: DataFrame) -> None:
-        """Append ledger rows (a DataFrame with LEDGER_SCHEMA's columns)."""
+        """Append ledger rows (a DataFrame with LEDGER_SCHEMA's columns; ``content_key`` may be missing)."""
+        if "content_key" not in rows.columns:
+            rows = rows.withColumn("content_key", F.lit(None))
         rows.select(*[F.col(f.name).cast(f.dataType) for f in LEDGER_SCHEMA.fields]) \
             .write.mode("append").parquet(self.loads_path)
 
     def loaded_keys(self, table: str) -> DataFrame:
-        return self.loads().filter((F.col("table_name") == table) & (F.col("status") == "LOADED")) \
+        return self.loads().filter((F.col("table_name") == table) & F.col("status").isin("LOADED", "SKIPPED")) \
             .select("file_key")
 
+    def loaded_contents(self, table: str) -> DataFrame:
+        """Paths loaded before, with the content they had."""
+        return self.loads().filter((F.col("table_name") == table) & (F.col("status") == "LOADED") & F.col("content_key").isNotNull()) \
+            .select(F.col("file_name").alias("path"), "content_key").distinct()
+
     def committed_batches(self, table: str) -> DataFrame:
         return self.loads().filter((F.col("table_name") == table) & (F.col("status") == "LOADED")) \
             .select("batch_id").distinct()

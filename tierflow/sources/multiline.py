@@ -80,12 +80,15 @@ def records(spark: SparkSession, paths, recursive: bool = True) -> DataFrame:
     out = [alone.select(F.col("value").alias("record"), "__file", F.struct(F.col("__block").alias("b"), F.col("__id").alias("i")).alias("__r"), "__meta"),
            whole.select("record", "__file", "__r", "__meta")]
     joined = reduce(DataFrame.unionByName, out)
-    # The header is the first record of a file, which begins at its first byte.
-    top = marked.filter("__block = 0").groupBy("__file").agg(F.min("__id").alias("__top"))
+    # The header is the first record of a file, which begins at its first byte; the end of its
+    # first line says what ends a line in this file (and CR LF is read as LF, inside quotes too).
+    top = marked.filter("__block = 0").groupBy("__file").agg(
+        F.min("__id").alias("__top"), F.min_by(F.col("value").endswith("\r"), "__id").alias("__crlf"))
     joined = joined.join(top, "__file", "left")
     header = (F.col("__r.b") == 0) & (F.col("__r.i") == F.col("__top"))
-    trimmed = F.regexp_replace("record", "\r$", "")
-    return joined.select(trimmed.alias("record"), header.alias("header"), "__meta").filter(F.length("record") > 0)
+    plain = F.regexp_replace(F.replace("record", F.lit("\r\n"), F.lit("\n")), "\r$", "")
+    return (joined.select(F.when(F.col("__crlf"), plain).otherwise(F.col("record")).alias("record"), header.alias("header"), "__meta")
+            .filter(F.length("record") > 0))
 
 
 def read_records(spark: SparkSession, paths, schema, options: dict, recursive: bool = True) -> DataFrame:

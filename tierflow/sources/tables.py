@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 COMMITTED = "_COMMITTED"
+VERSION = "v"
 
 
 class CommitConflict(RuntimeError):
@@ -151,6 +152,8 @@ class SnapshotTable:
         return self._commit(df, consumed, based_on, lambda draft, version: {})
 
     def _commit(self, df: DataFrame, consumed: int, based_on: int | None, notes) -> int:
+        if VERSION in df.columns:
+            raise ValueError(f"a column of a snapshot table cannot be named {VERSION!r}: that is its version")
         version = (self.version() if based_on is None else based_on) + 1
         draft = f"{self.root}/_draft-{uuid.uuid4().hex[:12]}"
         writer = df.write

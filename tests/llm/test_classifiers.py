@@ -59,3 +59,14 @@ def test_prior_is_estimated(spark):
     rows = quality.staged(quality.feature_table(docs).join(labels.filter("quality = 1").select("doc_id"), "doc_id", "left")
                           .selectExpr("x", "doc_id % 2 = 0 and doc_id % 7 != 2 as trusted"), "t")
     assert abs(quality.fit(rows).prior - 6 / 7) < 0.08
+
+
+def test_quality_of_one_long_token_null_ids_and_repeated_rows(spark):
+    docs, labels = corpus(spark)
+    plain = {r.doc_id: r.predicted for r in quality.predictions(docs, labels).collect()}
+    more = docs.limit(0).unionByName(spark.createDataFrame(
+        [(9001, "x" * 2_000_000, "en", "s", 0), (None, "ba ro ti len", "en", "s", 0), (None, None, "en", "s", 0)], docs.schema))
+    got = quality.predictions(docs.unionByName(more).unionByName(docs.filter("doc_id = 4")), labels).collect()
+    assert len(got) == 407 and sum(r.doc_id == 4 for r in got) == 2 and sum(r.doc_id is None for r in got) == 2
+    assert len({r.score for r in got if r.doc_id == 4}) == 1 and all(0 <= r.score <= 1 for r in got)
+    assert sum(r.predicted != plain[r.doc_id] for r in got if r.doc_id in plain) <= 4

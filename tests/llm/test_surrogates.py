@@ -74,3 +74,19 @@ def test_entities_beside_numbers(spark, docs_of):
     rows = s.replaced(docs_of(texts)).collect()
     assert not [(texts[r.doc_id], r.text) for r in rows for e in entities if e in texts[r.doc_id] and e in r.text]
     assert s.find("1.2.3.4.5 and 0.4111111111111111 on 1998-06-12 10 2020") == []
+
+
+def test_addresses_equal_the_pattern_and_cost_no_more_than_their_length():
+    import random
+    import re
+    import time
+
+    pattern = re.compile(r"[\w.%+-]*[\w%+-]@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)+")
+    rnd = random.Random(7)
+    for _ in range(20_000):
+        text = "".join(rnd.choice("ab1.@-+ é") for _ in range(rnd.randint(0, 18)))
+        assert s.emails(text) == [m.span() for m in pattern.finditer(text)], text
+    start = time.process_time()
+    for text in ("x" * 2_000_000 + " a@b", "@" * 300_000, "a@" * 500_000, "a@" + "b-" * 500_000, "a@b." * 300_000):
+        s.emails(text)
+    assert time.process_time() - start < 10

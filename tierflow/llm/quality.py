@@ -91,7 +91,7 @@ def features(texts: list[str]) -> np.ndarray:
         k = K * K
         if words:
             out[i, k] = np.log1p(len(words)) / 10
-            out[i, k + 1] = len(t) / len(words) / 20
+            out[i, k + 1] = min(1.0, len(t) / len(words) / 20)
             out[i, k + 2] = len(set(words)) / len(words)
             out[i, k + 3] = sum(a == b for a, b in zip(words, words[1:])) / len(words)
         if lines:

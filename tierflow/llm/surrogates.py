@@ -78,7 +78,8 @@ OF_CHAR = {c: a for a in ALPHABETS for c in a}
 HEX = "0123456789abcdef"
 
 CAPITAL = r"[A-ZÀ-ÖØ-ÞА-ЯЁ][a-zß-öø-ÿа-яё]+"
-EMAIL = re.compile(r"[\w.%+-]*[\w%+-]@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)+")
+LOCAL = re.compile(r"[\w.%+-]*")
+DOMAIN = re.compile(r"@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)+")
 NUMERIC = re.compile(r"(?<![\w.+])\+?\(?\d(?:[\d]|[ .()-]{1,2}(?=[\d(]))*\d(?!\w)")
 IPV4 = re.compile(r"\d{1,3}(?:\.\d{1,3}){3}")
 IBAN = re.compile(r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b")
@@ -93,14 +94,27 @@ def script_of(word: str) -> str:
     return "cyrillic" if any("Ѐ" <= c <= "ӿ" for c in word) else "latin"
 
 
+def emails(text: str) -> list[tuple[int, int]]:
+    """Spans of addresses: from each ``@`` outward, so that a long token costs no more than its length."""
+    out, last, at = [], 0, text.find("@")
+    while at >= 0:
+        # Read backwards: letters, digits and .%+- up to the last address or ``@``, no dot before the ``@``.
+        size = LOCAL.match(text[last:at][::-1]).end() if at > last and text[at - 1] != "." else 0
+        domain = DOMAIN.match(text, at) if size else None
+        last = domain.end() if domain else at + 1
+        if domain:
+            out.append((at - size, last))
+        at = text.find("@", last)
+    return out
+
+
 def find(text: str) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, value) of the entities of a text, in order, without overlaps.
 
     ``value`` is the same for all spellings of one entity.
     """
     found = []
-    if "@" in text:
-        found += [(m.start(), m.end(), "email", m.group().lower()) for m in EMAIL.finditer(text)]
+    found += [(a, z, "email", text[a:z].lower()) for a, z in emails(text)]
     found += [(m.start(2), m.end(2), "secret", m.group(2)) for m in SECRET.finditer(text)]
     found += [(m.start(), m.end(), "iban", m.group().replace(" ", "")) for m in IBAN.finditer(text)]
     for m in NUMERIC.finditer(text):

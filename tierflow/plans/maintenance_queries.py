@@ -13,16 +13,19 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierflow.operators import merge
+from tierflow.functions import privacy
+from tierflow.operators import cdc, merge
+from tierflow.operators.consumers import Consumer, trim
 from tierflow.operators.merge import ACTION, IS_UPDATE
 from tierflow.operators.timeline import Timeline
+from tierflow.operators.unique import KeyFilter, violations
 from tierflow.plans import standins as st
 from tierflow.plans.change_queries import _DAYS_SQL, _SCD_SOUND_SQL, _orders_delta, _ORDER_COLS
 from tierflow.plans.incremental import MartStore
 from tierflow.plans.registry import register
 from tierflow.plans import batch, entities
 from tierflow.sources import ingest, multiline
-from tierflow.session import unique_scratch
+from tierflow.session import materialize, unique_scratch
 from tierflow.sources.buckets import BucketedTable
 from tierflow.sources.tables import read_table
 
@@ -236,3 +239,62 @@ def copy_on_error(spark, d):
     bad = spark.read.parquet(f"{wh.root}/quarantine/{e.name}_load")
     parts = wh.stage(e).select(F.lit("loaded").alias("part")).unionByName(bad.select(F.lit("quarantined").alias("part")))
     return parts.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ===================================================================== keys, consumers, derived tags
+
+@register("unique_incremental", """
+WITH batch AS (SELECT o_orderkey FROM orders WHERE o_orderkey % 10 = 0 OR o_orderkey % 97 = 1
+               UNION ALL SELECT o_orderkey FROM orders WHERE o_orderkey % 50 = 0)
+SELECT o_orderkey, 'repeats' AS reason FROM batch GROUP BY o_orderkey HAVING count(*) > 1
+UNION ALL SELECT o_orderkey, 'exists' FROM orders WHERE o_orderkey % 97 = 1 AND o_orderkey % 10 <> 0""")
+def unique_incremental(spark, d):
+    """A batch checked against the filter of all keys so far: planted old keys and repeated new ones."""
+    o = read_table(spark, d, "orders").select(*_ORDER_COLS)
+    k = F.col("o_orderkey")
+    table = BucketedTable(spark, unique_scratch(spark, "unique"), ["o_orderkey"], 16)
+    table.upsert(o.filter(k % 10 != 0))
+    seen = KeyFilter(spark, unique_scratch(spark, "filter"), ["o_orderkey"])
+    seen.add(o.filter(k % 10 != 0))
+    batch_rows = o.filter((k % 10 == 0) | (k % 97 == 1)).unionByName(o.filter(k % 50 == 0))
+    return violations(batch_rows, table, seen)
+
+
+@register("feed_consumers", f"""WITH {_DAYS_SQL},
+net AS (SELECT t.c_custkey, t.c_mktsegment, 'DELETE' AS action FROM day1 t JOIN up3 s USING (c_custkey)
+          WHERE {" OR ".join(f"s.{c} IS DISTINCT FROM t.{c}" for c in st.CUSTOMER_TRACK)}
+        UNION ALL SELECT s.c_custkey, s.c_mktsegment, 'INSERT' FROM day1 t JOIN up3 s USING (c_custkey)
+          WHERE {" OR ".join(f"s.{c} IS DISTINCT FROM t.{c}" for c in st.CUSTOMER_TRACK)}
+        UNION ALL SELECT c_custkey, c_mktsegment, 'INSERT' FROM up3 WHERE c_custkey NOT IN (SELECT c_custkey FROM day1))
+SELECT consumer, net.* FROM net, (VALUES ('daily'), ('late')) t(consumer)""")
+def feed_consumers(spark, d):
+    """One consumer takes each day's feed, another both at once after the feed was trimmed: both get the same net changes."""
+    customer, root = read_table(spark, d, "customer"), unique_scratch(spark, "consumers")
+    table = BucketedTable(spark, f"{root}/table", st.CUSTOMER_KEYS)
+    table.upsert(st.customer_day(customer, 1).drop("_load_batch"), track=st.CUSTOMER_TRACK)
+    daily, late = (Consumer(table, f"{root}/consumers", name, start=1) for name in ("daily", "late"))
+    taken = []
+    for n, day in enumerate((2, 3), 1):
+        table.upsert(st.customer_day(customer, day).drop("_load_batch"), track=st.CUSTOMER_TRACK)
+        rows, upto = daily.pending()
+        taken.append(materialize(cdc.with_batch(rows, n)))
+        daily.advance(upto)
+        trim(table, [daily, late])
+    both = cdc.net_changes(reduce(DataFrame.unionByName, taken), st.CUSTOMER_KEYS, compare=st.CUSTOMER_TRACK)
+    parts = [both.withColumn("consumer", F.lit("daily")), late.pending()[0].withColumn("consumer", F.lit("late"))]
+    return reduce(DataFrame.unionByName, parts).select("consumer", "c_custkey", "c_mktsegment", F.col(ACTION).alias("action"))
+
+
+@register("mask_derived", """
+SELECT c_custkey, '** PII **' AS label, '** EAMIL **' AS domain, '** PII **' AS both_of_them, c_nationkey, CAST(c_acctbal AS DECIMAL(12,2)) * 2 AS twice
+FROM customer""")
+def mask_derived(spark, d):
+    """Columns computed from tagged ones carry the tag through expressions, a join and a union."""
+    c = read_table(spark, d, "customer")
+    contact = privacy.tag(c.select("c_custkey", F.col("c_name").alias("name"), F.concat("c_name", F.lit("@mail")).alias("email")), {"name": "PII", "email": "EMAIL"})
+    money = privacy.tag(c.select(F.col("c_custkey").alias("k"), "c_nationkey", F.col("c_acctbal").cast("decimal(12,2)").alias("balance")), {"balance": "PRICE"})
+    joined = contact.join(money, F.col("c_custkey") == F.col("k"))
+    out = joined.select("c_custkey", F.upper(F.concat("name", F.lit("!"))).alias("label"), F.split("email", "@")[1].alias("domain"),
+                        F.concat_ws("|", "email", "name").alias("both_of_them"), "c_nationkey", (F.col("balance") * 2).alias("twice"))
+    halves = [out.filter("c_custkey % 2 = 0"), out.filter("c_custkey % 2 = 1").withColumn("label", F.lower("label"))]
+    return privacy.mask_derived(reduce(DataFrame.unionByName, halves))

@@ -28,7 +28,7 @@ def entity_stream(spark: SparkSession, e: Entity, landing: str, *, as_of=None,
 
 
 def process_micro_batch(wh: batch.Warehouse, e: Entity, *, as_of=None, mode: str = "sound",
-                        strategy: str = "auto", checks: str = "abort"):
+                        strategy: str = "shuffle", checks: str = "abort"):
     def run(df: DataFrame, epoch_id: int) -> None:
         # Files, not rows, are looked up in the ledger; the micro-batch is parsed once.
         df = df.persist(StorageLevel.MEMORY_AND_DISK)

@@ -66,7 +66,19 @@ def test_parity_bits_never_exceed_the_difference():
     assert (bits[0] ^ bits[1]).sum() <= 190
 
 
-def test_links_inside_a_crowded_template(spark, docs_of, monkeypatch):
+@pytest.fixture(params=["8 partitions", "211 partitions"])
+def partitions(spark, request):
+    """The number of partitions must not matter: also with more partitions than most regions have rows."""
+    changed = {} if request.param.startswith("8 ") else {"spark.sql.shuffle.partitions": "211", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    kept = {k: spark.conf.get(k) for k in changed}
+    for k, v in changed.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in kept.items():
+        spark.conf.set(k, v)
+
+
+def test_links_inside_a_crowded_template(spark, docs_of, monkeypatch, partitions):
     # Strangers share 87 of 111 shingles (0.784), planted pairs 88 of 110 (0.8), and stand far apart.
     # Narrow windows make few documents as crowded as many thousand are under the usual ones.
     monkeypatch.setattr(neardup, "WINDOW", 4)
@@ -101,6 +113,6 @@ def test_sketch_keeps_links_with_unlucky_labels():
 
     sketch = np.zeros((2, neardup.SKETCH_BYTES), np.uint8)
     sketch[1, :5] = 255  # 40 of 200 label bits differ: 1 in 10,000 links at 0.8 has 37 or more
-    rows = (np.zeros(2, np.int32), np.zeros((2, 2 * neardup.DEPTH), np.uint8), np.arange(2), np.full(2, 100), sketch, np.array([-1, -2]))
-    a, b = neardup.pairs(rows, np.zeros(2, np.int64), 0, 64, None, np.zeros(2, bool))
+    rows = (np.zeros(2, np.int32), np.zeros((2, 2 * neardup.DEPTH), np.uint8), np.arange(2), np.full(2, 100), sketch, np.array([-1, -2]), np.zeros(2, bool))
+    a, b = neardup.pairs(rows, np.zeros(2, np.int64), 0, 64, None)
     assert (a.tolist(), b.tolist()) == ([0], [1])

@@ -15,15 +15,21 @@ Rounds of candidates:
    one bit for each of ``PARITIES`` cells, whether the set has an odd number of
    hashes there, two sets differ in at least as many elements as bits, so too
    many different bits rule a link out without error;
-2. after components are known: neighbours within a wider window that lie in
-   different components. In a dense group nearly all members are joined by
-   then, so the work is that of the few which are not, and never all pairs;
+2. after components are known, only for rows that share their first two labels
+   with at least ``LEAST_REGION`` others, themselves included (of fewer, round 1
+   has seen all): neighbours within a wider window that lie in different
+   components. In a dense group nearly all members are joined by then, so the
+   work is that of the few which are not, and never all pairs;
 3. where more rows than the wide window begin with the same two labels (many
    documents over one template, say), their order says little and the window
-   ends too early. Pairs inside such regions are left out of the second round;
-   their rows are joined on rare shingles by prefix and position filters, which
+   ends too early. Pairs of documents from such regions are left out of the
+   second round and joined on rare shingles by prefix and position filters, which
    lose no link: see ``sharing``.
 
+How many rows a region holds is counted over all documents, whatever partitions
+they are in. Round 2 sees no pair across the border of two range partitions; such
+a pair meets in the other orders.
+
 Every candidate is confirmed on the full shingle sets, in integers. Components
 come from star contraction of the links in Spark. No link, component or
 fingerprint passes through the driver.
@@ -54,9 +60,11 @@ LABEL_BYTES = LABELS // 8
 PARITIES = 512
 SKETCH_BYTES = LABEL_BYTES + PARITIES // 8
 BLOCK_CHARS = 200_000
+COUNT_CHARS = 2_000_000
 NEAREST = 2
 WINDOW = 64
 WIDE_WINDOW = 256
+LEAST_REGION = 4
 #: Lowest estimate from the sketch that still goes to the exact check: 0.8 less about seven standard errors, so that
 #: fewer than one in a hundred million links at the threshold are lost by it.
 LEAST_ESTIMATE = 0.5
@@ -174,28 +182,44 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
                      "doc_id long, n_shingles long, digest binary, labels binary, sketch binary")
 
 
+def regions(reps: DataFrame) -> DataFrame:
+    """(doc_id, trees, crowded) of documents that share two labels with LEAST_REGION or more rows of a tree.
+
+    ``trees`` are those orders; ``crowded`` says that one of the regions holds more rows than the wide window.
+    """
+    at = [F.substring("labels", tree * 2 * DEPTH + 1, 4) for tree in range(TREES)]
+    slim = reps.select("doc_id", F.posexplode(F.array(*at)).alias("tree", "two"))
+    counts = staged(slim.groupBy("tree", "two").agg(F.count("*").alias("rows")).filter(F.col("rows") >= LEAST_REGION), "neardup-regions")
+    members = slim.join(counts, ["tree", "two"]).groupBy("doc_id").agg(
+        F.collect_set("tree").alias("trees"), (F.max("rows") > WIDE_WINDOW).alias("crowded"))
+    return staged(members, "neardup-members")
+
+
 def neighbours(rows: DataFrame, window: int, nearest: int | None) -> DataFrame:
     """(a, b) with a < b: likely pairs of documents near each other in some tree.
 
-    ``rows``: doc_id, n, labels, sketch, part. Pairs of the same part (a
-    component, or null) are left out. ``nearest``: how many passing successors a
-    document takes in each tree; None takes all within the window, and adds a row
-    (a, a) for each document whose window ended among rows that begin with the
-    same two labels (pairs of two such documents may be missing).
+    ``rows``: doc_id, n, labels, sketch, part, trees, crowded. Only the orders in
+    ``trees`` are looked at (null: all). Pairs of the same part (a component, or
+    null) and of two crowded documents are left out. ``nearest``: how many passing
+    successors a document takes in each tree; None takes all within the window.
     """
-    key = "tree int, key binary, doc_id long, n long, sketch binary, part long"
+    key = "tree int, key binary, doc_id long, n long, sketch binary, part long, crowded boolean"
 
     def plant(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            labels = batch.column(2).to_pylist()
+            labels, trees = batch.column(2).to_pylist(), batch.column(5).to_pylist()
             for tree in range(TREES):
                 at = tree * 2 * DEPTH
+                own = [i for i, t in enumerate(trees) if t is None or tree in t]
+                if not own:
+                    continue
+                part = batch.take(pa.array(own))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(batch.num_rows, tree, np.int32)), pa.array([x[at:at + 2 * DEPTH] for x in labels], pa.binary()),
-                     batch.column(0), batch.column(1), batch.column(3), batch.column(4)],
-                    names=["tree", "key", "doc_id", "n", "sketch", "part"])
+                    [pa.array(np.full(len(own), tree, np.int32)), pa.array([labels[i][at:at + 2 * DEPTH] for i in own], pa.binary()),
+                     part.column(0), part.column(1), part.column(3), part.column(4), part.column(6)],
+                    names=["tree", "key", "doc_id", "n", "sketch", "part", "crowded"])
 
     def walk(batches):
         held = None
@@ -207,7 +231,8 @@ def neighbours(rows: DataFrame, window: int, nearest: int | None) -> DataFrame:
                 now = (np.array(b.column(0)), np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint8).reshape(-1, 2 * DEPTH),
                        np.array(b.column(2)), np.array(b.column(3)),
                        np.frombuffer(b"".join(b.column(4).to_pylist()), np.uint8).reshape(-1, SKETCH_BYTES),
-                       np.array([-1 - i if p is None else p for i, p in enumerate(b.column(5).to_pylist())], np.int64))
+                       np.array([-1 - i if p is None else p for i, p in enumerate(b.column(5).to_pylist())], np.int64),
+                       np.array(b.column(6).to_pylist(), bool))
                 fresh = 0
                 if held is not None:
                     fresh = len(held[0][0])
@@ -215,21 +240,19 @@ def neighbours(rows: DataFrame, window: int, nearest: int | None) -> DataFrame:
                 taken = np.zeros(len(now[0]), np.int64)
                 if held is not None:
                     taken[:fresh] = held[1]
-                full = crowded(now, window) if nearest is None else np.zeros(len(now[0]), bool)
-                a, c = pairs(now, taken, fresh, window, nearest, full)
-                a, c = (np.concatenate([x, now[2][full]]) for x in (a, c))
+                a, c = pairs(now, taken, fresh, window, nearest)
                 held = (tuple(x[-window:] for x in now), taken[-window:])
                 if len(a):
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, c)), pa.array(np.maximum(a, c))], names=["a", "b"])
 
-    planted = arrow_map(rows.select("doc_id", "n", "labels", "sketch", "part"), plant, key)
+    planted = arrow_map(rows.select("doc_id", "n", "labels", "sketch", "part", "trees", "crowded"), plant, key)
     ordered = planted.repartitionByRange("tree", "key", "doc_id").sortWithinPartitions("tree", "key", "doc_id")
     return arrow_map(ordered, walk, "a long, b long").distinct()
 
 
-def pairs(rows, taken, fresh, window, nearest, full):
-    """Passing pairs (i, i + step) of sorted rows, not both ``full``; the first ``fresh`` rows were there before."""
-    tree, key, ids, n, sketch, part = rows
+def pairs(rows, taken, fresh, window, nearest):
+    """Passing pairs (i, i + step) of sorted rows, not both crowded; the first ``fresh`` rows were there before."""
+    tree, key, ids, n, sketch, part, full = rows
     size = len(ids)
     same = (tree[1:] == tree[:-1]) & (key[1:, 0] == key[:-1, 0]) & (key[1:, 1] == key[:-1, 1])
     shared = same.copy()  # rows i and i + step have at least the first label in common
@@ -264,16 +287,6 @@ def pairs(rows, taken, fresh, window, nearest, full):
     return np.concatenate(left), np.concatenate(right)
 
 
-def crowded(rows, window):
-    """Whether a row shares two labels with a row ``window`` steps away, in either direction."""
-    tree, key = rows[:2]
-    far = (tree[window:] == tree[:-window]) & (key[window:, :4] == key[:-window, :4]).all(1)
-    out = np.zeros(len(tree), bool)
-    out[:-window] |= far
-    out[window:] |= far
-    return out
-
-
 def sharing(docs: DataFrame, rows: DataFrame, width: int) -> DataFrame:
     """(a, b) with a < b: every pair of ``rows`` (doc_id, part) in different parts that can be linked.
 
@@ -289,11 +302,12 @@ def sharing(docs: DataFrame, rows: DataFrame, width: int) -> DataFrame:
     texts = staged(texts.dropDuplicates(["doc_id"]).select(F.struct("doc_id", "part").alias("id"), "text"), "neardup-crowded")
 
     def spread(batches):
-        for _, block in text_blocks(batches, BLOCK_CHARS):
-            for s in shingle_sets(block, width):
-                yield pa.RecordBatch.from_arrays([pa.array(s.view(np.int64))], names=["shingle"])
+        # Counted in the task first: one row for each shingle of a block, not for each of its occurrences.
+        for _, block in text_blocks(batches, COUNT_CHARS):
+            shingles, counts = np.unique(np.concatenate(shingle_sets(block, width)), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(shingles.view(np.int64)), pa.array(counts.astype(np.int64))], names=["shingle", "n"])
 
-    common = (arrow_map(texts, spread, "shingle long").groupBy("shingle").count().filter("count > 1")
+    common = (arrow_map(texts, spread, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("count")).filter("count > 1")
               .orderBy(F.desc("count"), "shingle").limit(COMMON).collect())
     listed = np.array([r["shingle"] for r in common], np.int64).view(np.uint64)
     by_hash = np.argsort(listed)
@@ -378,19 +392,16 @@ def groups(docs: DataFrame, width: int = 5) -> DataFrame:
     reps = every.join(classes, (every.digest == classes.digest) & (every.doc_id == classes.rep)).select(
         "doc_id", F.col("n_shingles").alias("n"), "labels", "sketch", every.digest)
     reps = staged(reps.dropDuplicates(["doc_id"]), "neardup-reps")
-    first = staged(neighbours(reps.withColumn("part", F.lit(None).cast("long")), WINDOW, NEAREST), "neardup-near")
+    every_tree = {"part": F.lit(None).cast("long"), "trees": F.lit(None).cast("array<int>"), "crowded": F.lit(False)}
+    first = staged(neighbours(reps.withColumns(every_tree), WINDOW, NEAREST), "neardup-near")
     links = staged(confirmed(docs, first, width), "neardup-links")
     parts = staged(components(links), "neardup-parts")
+    members = regions(reps)
     # Who is in no component yet is one of its own.
-    own = reps.join(parts, "doc_id", "left").withColumn("part", F.coalesce("part", "doc_id"))
-    wide = staged(neighbours(own, WIDE_WINDOW, None).join(first, ["a", "b"], "left_anti"), "neardup-wide")
-    full = staged(wide.filter("a = b").select(F.col("a").alias("doc_id")), "neardup-full")
-    second = wide.filter("a != b")
+    own = reps.join(members, "doc_id").join(parts, "doc_id", "left").withColumn("part", F.coalesce("part", "doc_id"))
+    second = staged(neighbours(own, WIDE_WINDOW, None).join(first, ["a", "b"], "left_anti"), "neardup-second")
+    full = members.filter("crowded").select("doc_id")
     some = not full.isEmpty()
-    if some:
-        ends = second.join(full.toDF("a").withColumn("a_full", F.lit(True)), "a", "left").join(
-            full.toDF("b").withColumn("b_full", F.lit(True)), "b", "left")
-        second = staged(ends.filter("a_full is null or b_full is null").select("a", "b"), "neardup-second")
     links = links.union(confirmed(docs, second, width))
     parts = staged(components(links), "neardup-parts")
     if some:

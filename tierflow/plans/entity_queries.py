@@ -134,6 +134,18 @@ def menu_clean(spark, d):
     return _audited(wh.clean(entities.MENU), "menu_id", "item_name", "price", "availability", "created_dt")
 
 
+@register("menu_dim", """
+SELECT CAST(p_partkey AS INT) AS menu_id, CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS DECIMAL(10,2)) AS price, CAST(11 AS INT) AS from_day,
+       CAST(CASE WHEN p_partkey % 4 = 0 THEN 21 END AS INT) AS to_day, p_partkey % 4 <> 0 AS is_current, true AS hash_ok FROM part
+UNION ALL
+SELECT CAST(p_partkey AS INT), CAST(1.01 AS DECIMAL(10,2)), 21, NULL, true, true FROM part WHERE p_partkey % 4 = 0""")
+def menu_dim(spark, d):
+    """Rows read again without a change make no version."""
+    e = entities.MENU
+    wh = _run(spark, e, _menu_days(spark, d))
+    return _versions(wh.dim(e), ["menu_id"], ["price"], *e.dim_time, e.dim_hash)
+
+
 # ------------------------------------------------------------------ customer and address (from customer)
 
 def _customer_days(spark, d) -> list[DataFrame]:
@@ -206,6 +218,18 @@ def address_clean(spark, d):
     return _audited(wh.clean(entities.CUSTOMER_ADDRESS), "address_id", "customer_id_fk", "flat_no", "pincode", "state", "coordinates")
 
 
+@register("address_dim", """
+SELECT c_custkey AS address_id, CAST(c_custkey + 1000 AS VARCHAR) AS customer_id_fk, 'A1' AS flat_no, CAST(11 AS INT) AS from_day,
+       CAST(CASE WHEN c_custkey % 8 = 0 THEN 21 END AS INT) AS to_day, c_custkey % 8 <> 0 AS is_current, true AS hash_ok FROM customer
+UNION ALL
+SELECT c_custkey, CAST(c_custkey + 1000 AS VARCHAR), 'A2', 21, NULL, true, true FROM customer WHERE c_custkey % 8 = 0""")
+def address_dim(spark, d):
+    """The foreign key keeps its first value; in the dimension it is text."""
+    e = entities.CUSTOMER_ADDRESS
+    wh = _run(spark, e, _address_days(spark, d))
+    return _versions(wh.dim(e), ["address_id"], ["customer_id_fk", "flat_no"], *e.dim_time, e.dim_hash)
+
+
 # ------------------------------------------------------------------ replays
 
 @register("runner_replay", """

@@ -27,6 +27,8 @@ PAGES = {
     "upper_case": f"<NAV>{MENU}</NAV><ARTICLE CLASS=post>{BODY.replace('<p>', '<P>').replace('</p>', '')}</ARTICLE><FORM><LABEL>Search here.</LABEL><INPUT></FORM>",
     "no_head_end": f"<html><head><title>t</title><meta charset=utf-8><div role='banner'>{NOTICE}</div><div role=main>{BODY}</div>",
     "title_outside": f"<div class='wrap'><h1>A flood in the valley</h1><div class='entry-content'>{BODY.split('</h1>')[1]}</div><div class='share'>Share this, please.</div></div>",
+    "layout_table": f"<table><tr><td class='leftside'>{MENU}</td><td>{BODY}</td><td><p>Short words beside.</p></td></tr></table>",
+    "data_table": f"<div>{BODY.replace('<ul><li>first sign</li><li>second sign</li></ul>', '<table><tr><td>first sign</td><td>second sign</td></tr></table>')}</div>",
     "hidden": f"<article>{BODY}<p hidden>{COMMENT}</p><div style='display: none'>{COMMENT}</div></article>",
     "comment_and_script": f"<article>{BODY.replace('</ul>', '</ul><!-- <p>no</p> --><script>var t=\"</p><p>no\";</script><style>p{{}}</style><noscript>no</noscript>')}</article>",
     "related_articles": f"<main><article>{BODY}</article><section class='related'><article><h2>Other</h2><p>{COMMENT}</p></article></section></main>",

@@ -71,10 +71,10 @@ ARTICLE = frozenset("article main".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar tablist status".split())
 #: Words of a class or id that say what an element is not: whole words, and beginnings of words.
 NOT_TEXT = re.compile(
-    r"(?:ads?|adv|nav|menus?|menubar|rail|aside|foot|toc|gdpr|modal|popup|popover|overlay|skip|share|sharing|sharebar|shares|social|tags|login|signin|signup|widgets?|pager|"
-    r"alerts?|legal|hidden|header|masthead|topbar|search|searchbox|form|reply|replies|respond|disqus|promos?|outbrain|taboola|trending|popular|cta|paywall|imprint|credits)$"
+    r"(?:ads?|adv|dfp|nav|menus?|menubar|rail|side|secondary|aside|foot|bottom|toc|logo|brand|branding|tagline|gdpr|modal|popup|popover|overlay|skip|share|sharing|sharebar|shares|social|tags|login|signin|signup|widgets?|pager|"
+    r"alerts?|legal|hidden|header|masthead|topbar|search|searchbox|form|reply|replies|respond|responses?|reactions?|feedback|disqus|promos?|warnings?|outbrain|taboola|trending|popular|cta|paywall|imprint|credits)$"
     r"|(?:advert|adsense|adslot|adbox|adunit|adblock|sponsor|promot|banner|sidebar|sidenav|breadcrumb|navbar|navigat|navlist|navmenu|topnav|footer|footnav|bottombar|comment|discussion|cookie|consent|notice|notification|"
-    r"newsletter|subscri|related|recommend|readmore|morelinks|pagination|toolbar|copyright|disclaimer|dropdown|teaser|headerbar|pageheader|siteheader|sitenav|privacy)")
+    r"newsletter|subscri|related|recommend|readmore|morelinks|pagination|toolbar|copyright|disclaimer|dropdown|teaser|headerbar|pageheader|siteheader|sitenav|privacy|announce|sronly|screenreader|visuallyhidden)")
 SAYS_ARTICLE = re.compile(r"(?:article|articlebody|entry|post|story|content|maincontent|main|body|text|prose|postbody|entrycontent|postcontent)$")
 HEADER = re.compile("(?:header|heading|masthead)$")
 #: What an article element itself may be in the words above: something beside the article.
@@ -326,6 +326,12 @@ def scores(blocks: list[Block]) -> tuple[dict[int, float], float]:
     return fused, min(deviation, max(values) / 2)
 
 
+def inside_of(node: Node | None, element: Node) -> bool:
+    while node is not None and node is not element:
+        node = node.parent
+    return node is element
+
+
 def content_element(blocks: list[Block], fused: dict[int, float], least: float) -> Node | None:
     """The deepest element that holds most of the selected score, or the article around it."""
     chosen = [b for b in blocks if fused[b.node.path] > 0 and fused[b.node.path] >= least]
@@ -348,6 +354,8 @@ def content_element(blocks: list[Block], fused: dict[int, float], least: float)
             best = up
     # A single block or list chooses what it stands in.
     while best.name in PARTS and best.parent is not None:
+        if best.name in ("td", "th") and any(b.node is not best and inside_of(b.node, best) for b in chosen):
+            break  # a cell that holds blocks of its own is a column of the page, not of a table
         best = best.parent
     around = []
     up = best

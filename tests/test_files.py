@@ -111,6 +111,55 @@ def test_same_bytes_again_load_nothing(spark, tmp_dir):
     assert sorted(r.locationid for r in wh.stage(e).collect()) == ["1", "1", "2"]
 
 
+def test_directory_lists_changed_prefixes_only(spark, tmp_dir, monkeypatch):
+    from tierflow.sources.directory import Directory
+
+    land = f"{tmp_dir}/land"
+    for n in range(6):
+        write_text(f"{land}/day {n}/f.csv", "a\n" * (n + 1))
+    write_text(f"{land}/top.csv", "a\n")
+    d = Directory(spark, land, f"{tmp_dir}/dir", buckets=3)
+    asked = []
+    real = ingest.list_files
+    monkeypatch.setattr(ingest, "list_files", lambda spark, path, *a: asked.append(path) or real(spark, path, *a))
+
+    def same():
+        monkeypatch.setattr(ingest, "list_files", real)
+        assert sorted(map(tuple, d.files().collect())) == sorted(map(tuple, real(spark, land).collect()))
+        monkeypatch.setattr(ingest, "list_files", lambda spark, path, *a: asked.append(path) or real(spark, path, *a))
+
+    assert d.refresh() == [f"day {n}" for n in range(6)]
+    same()
+    write_text(f"{land}/day 2/more.csv", "b\n")
+    write_text(f"{land}/day 9/f.csv", "b\n")
+    os.remove(f"{land}/day 4/f.csv")
+    os.rmdir(f"{land}/day 4")
+    os.utime(f"{land}/day 2", (1, 2_000_000_000))
+    asked.clear()
+    assert d.refresh() == ["day 2", "day 9"]
+    assert [[p.removeprefix(land) for p in paths] for paths in asked] == [["/day 2", "/day 9", "/top.csv"]]
+    same()
+    os.remove(f"{land}/top.csv")
+    assert d.refresh() == []
+    same()
+    version = d.table.version()
+    assert d.refresh() == [] and d.table.version() == version
+    assert len(d.refresh(full=True)) == 6
+    same()
+
+
+def test_load_from_a_kept_listing(spark, tmp_dir):
+    from tierflow.sources.directory import Directory
+
+    e = entities.LOCATION
+    head = "locationid,city,state,zipcode,activeflag,createddate,modifieddate\n"
+    write_text(f"{tmp_dir}/in/d1/f.csv", head + "1,Pune,Maharashtra,411001,Yes,2024-01-01 09:00:00,\\N\n")
+    d, wh = Directory(spark, f"{tmp_dir}/in", f"{tmp_dir}/dir", buckets=2), batch.Warehouse(spark, f"{tmp_dir}/wh")
+    d.refresh()
+    assert batch.copy_into(wh, e, f"{tmp_dir}/in", listing=d.files()).rows == 1
+    assert batch.copy_into(wh, e, f"{tmp_dir}/in", listing=d.files()).rows == 0
+
+
 def test_rounds_of_files(spark, tmp_dir):
     e = entities.LOCATION
     head = "locationid,city,state,zipcode,activeflag,createddate,modifieddate\n"

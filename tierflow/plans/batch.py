@@ -162,10 +162,11 @@ MAX_FILES = 10_000
 
 
 def copy_into(wh: Warehouse, e: Entity, path: str, *, as_of=None, bind_by: str = "position",
-              file_cols=None, max_files: int = MAX_FILES, by_content: bool = True, **reader_opts) -> LoadResult:
+              file_cols=None, max_files: int = MAX_FILES, by_content: bool = True, listing: DataFrame | None = None,
+              **reader_opts) -> LoadResult:
     """Load the files under ``path`` not loaded before into the stage table.
 
-    The folder is listed once. The skip test is an anti join of the listing
+    The folder is listed once, or ``listing`` is taken (``sources.directory`` keeps one). The skip test is an anti join of the listing
     against the ledger; of files that are left, those whose path was loaded
     before with the same bytes are skipped as well and noted (``by_content``; only
     files that look new are read for it, in byte ranges). What remains is numbered
@@ -175,7 +176,8 @@ def copy_into(wh: Warehouse, e: Entity, path: str, *, as_of=None, bind_by: str =
     ``quarantine/<entity>_load`` with file and text, and are not loaded.
     """
     reader_opts.setdefault("multi_line", e.multi_line)
-    new = ingest.list_files(wh.spark, path).join(wh.ledger.loaded_keys(e.name), "file_key", "left_anti")
+    found = ingest.list_files(wh.spark, path) if listing is None else listing
+    new = found.join(wh.ledger.loaded_keys(e.name), "file_key", "left_anti")
     new = _staged(wh, new, "copy-listing")
     first = [r["path"] for r in new.select("path").limit(max_files + 1).collect()]
     rounds = 1 if first else 0

@@ -147,7 +147,7 @@ def read_staged(spark: SparkSession, path, file_cols, *, target_cols=None, bind_
     return bind(audited, list(target_cols or file_cols), bind_by)
 
 
-def list_files(spark: SparkSession, path: str, content_key: str = "metadata") -> DataFrame:
+def list_files(spark: SparkSession, path: str | list[str], content_key: str = "metadata") -> DataFrame:
     """Staged files under ``path``: (path, length, modification_time, file_key).
 
     Only file metadata is read unless ``content_key='md5'``.

@@ -11,16 +11,26 @@ id, IBAN, secret, person name) are replaced by made-up ones of the same kind:
 * Names keep gender and script. A known given name becomes another of its list,
   other names are spelled from syllables, with the ending of the gender.
 
+Found are addresses of mail and of both IP versions, numbers of phones, cards and
+persons, IBANs, secrets (named ones, with or without quotes, well-known key forms,
+private key blocks), and names after a title, after words such as "my name is", or
+with a given name of the list in front. Other names are not found.
+
 Coreference: equal values (whatever their punctuation or case) get one
 surrogate everywhere, name parts are mapped one by one, so "Mr. John Smith" and
 a later "Smith" stay the same person, and other mentions of a name found in a
-document are replaced with it.
+document are replaced with it. A surname has no gender but that of its own form
+(Cyrillic endings). A given name that titles show with several genders takes that
+of most documents, a known one before an unknown one, in the whole table. A number
+of the North American plan is the same with and without its country code.
 
 Distinctness: Spark gathers the distinct entities, groups them by surrogate and
 compares surrogates with the real values. Whoever shares a surrogate, or has a
 real value as one, draws again under the next attempt until nobody does (from
-``WIDER`` attempts on with extra characters, so that a crowded format cannot
-block). Only those few entities need a lookup when texts are rewritten; all
+``WIDER`` attempts on with extra characters where the kind allows them). Numbers
+and addresses of a form that is still crowded after ``ATTEMPTS`` draws (half of its
+values are in use, say) take the keyed cycle alone: one to one, so distinct and
+never the value itself, but perhaps another one in use; no more can be had then. Only those few entities need a lookup when texts are rewritten; all
 others follow from the key.
 
 Null text stays null, text without entities stays as it is, texts of any length
@@ -33,6 +43,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import ipaddress
 import re
 
 import pyarrow as pa
@@ -76,6 +87,8 @@ ALPHABETS = ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "012345
              "абвгдежзийклмнопрстуфхцчшщъыьэюя", "АБВГДЕЖЗИЙКЛМНОПРСТУФХЦЧШЩЪЫЬЭЮЯ", "àâäçèéêëíîïñóôöùúûüß", "ÀÂÄÇÈÉÊËÍÎÏÑÓÔÖÙÚÛÜ")
 OF_CHAR = {c: a for a in ALPHABETS for c in a}
 HEX = "0123456789abcdef"
+PLAIN = -1  # the attempt of forms that are full
+CHUNK = 128
 
 CAPITAL = r"[A-ZÀ-ÖØ-ÞА-ЯЁ][a-zß-öø-ÿа-яё]+"
 LOCAL = re.compile(r"[\w.%+-]*")
@@ -83,11 +96,23 @@ DOMAIN = re.compile(r"@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](
 NUMERIC = re.compile(r"(?<![\w.+])\+?\(?\d(?:[\d]|[ .()-]{1,2}(?=[\d(]))*\d(?!\w)")
 IPV4 = re.compile(r"\d{1,3}(?:\.\d{1,3}){3}")
 IBAN = re.compile(r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b")
-SECRET = re.compile(r"(?i:\b(?:token|api[_-]?key|access[_-]?key|secret|passw(?:or)?d|auth))\s*[=:]\s*([\"'])([^\"'\s]{6,})\1")
+IPV6 = re.compile(r"(?<![\w:.])[0-9A-Fa-f]{3,4}(?::[0-9A-Fa-f]{0,4}){2,7}(?![\w:])")
+NAMED = r"(?i:\b(?:token|api[_-]?key|access[_-]?key|secret|passw(?:or)?d|auth))\s*[=:]\s*"
+SECRET = re.compile(NAMED + r"(?:([\"'])([^\"'\s]{6,})\1|([^\"'\s,;<>]{8,}))")
+# How keys of public services and web tokens begin.
+KEY_START = re.compile(r"eyJ|AKIA|ASIA|gh[pousr]_")
+CREDENTIAL = re.compile(r"\b(?:eyJ[\w-]{8,}\.[\w-]{8,}\.[\w-]{8,}|(?:AKIA|ASIA)[A-Z0-9]{16}\b|gh[pousr]_[A-Za-z0-9]{36}\b)")
+KEY_BLOCK = re.compile(r"-----BEGIN ([A-Z ]{0,30}PRIVATE KEY)-----\s+([^-]{16,}?)\s*-----END \1-----")
 GENDER_OF = {t: g for g, names in TITLES.items() for t in names}
 PERSON = re.compile(
     rf"\b(?:({'|'.join(sorted(map(re.escape, GENDER_OF), key=len, reverse=True))})\.?[ \t]+({CAPITAL}(?:[ \t]+{CAPITAL}){{0,2}})"
     rf"|({'|'.join(n for names in GIVEN.values() for n in names)})[ \t]+({CAPITAL}))")
+LOUD = {t.upper(): g for t, g in GENDER_OF.items()}
+LOUD_DOTTED = tuple(t + "." for t in LOUD)
+CAPITALS = r"[A-ZÀ-ÖØ-ÞА-ЯЁ]{2,}"
+SHOUTED = re.compile(rf"\b({'|'.join(t.upper() for t in sorted(GENDER_OF, key=len, reverse=True))})\.[ \t]+({CAPITALS}(?:[ \t]+{CAPITALS}){{0,2}})\b")
+CALLED_WORDS = ("my name is", "name:", "signed,", "sincerely,", "regards,")
+CALLED = re.compile(rf"(?i:\b(?:{'|'.join(CALLED_WORDS)}))\s+({CAPITAL}(?:[ \t]+{CAPITAL}){{1,2}})")
 
 
 def script_of(word: str) -> str:
@@ -115,28 +140,45 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
     """
     found = []
     found += [(a, z, "email", text[a:z].lower()) for a, z in emails(text)]
-    found += [(m.start(2), m.end(2), "secret", m.group(2)) for m in SECRET.finditer(text)]
+    for m in SECRET.finditer(text):
+        if m.group(2):
+            found.append((m.start(2), m.end(2), "secret", m.group(2)))
+            continue
+        value = m.group(3).rstrip(".)")
+        if any(c.isdigit() for c in value) and any(c.isalpha() for c in value) and "://" not in value:
+            found.append((m.start(3), m.start(3) + len(value), "secret", value))
+    # What must be in a text is looked up before the slower search for the pattern.
+    if any(x in text for x in ("eyJ", "AKIA", "ASIA", "ghp_", "gho_", "ghu_", "ghs_", "ghr_")):
+        found += [(m.start(), m.end(), "secret", m.group()) for m in CREDENTIAL.finditer(text)]
+    if "PRIVATE KEY" in text:
+        found += [(m.start(2), m.end(2), "secret", m.group(2)) for m in KEY_BLOCK.finditer(text)]
+    if "::" in text or text.count(":") > 6:
+        found += [(m.start(), m.end(), "ipv6", v) for m in IPV6.finditer(text) if (v := ipv6(m.group()))]
     found += [(m.start(), m.end(), "iban", m.group().replace(" ", "")) for m in IBAN.finditer(text)]
     for m in NUMERIC.finditer(text):
         for a, z, kind in number_parts(m.group()):
             part = m.group()[a:z]
-            found.append((m.start() + a, m.start() + z, kind, part if kind == "ip" else re.sub(r"[^\d+]", "", part)))
-    people = {}
-    for m in PERSON.finditer(text):
-        if m.group(1):
-            gender, words, at = GENDER_OF[m.group(1)], m.group(2), m.start(2)
-        else:
-            gender, words, at = KNOWN[m.group(3).casefold()][0], f"{m.group(3)} {m.group(4)}", m.start(3)
-            words = text[at:m.end(4)]
-        parts = [(at + p.start(), at + p.end(), p.group()) for p in re.finditer(CAPITAL, words)]
+            value = part if kind == "ip" else re.sub(r"[^\d+]", "", part)
+            found.append((m.start() + a, m.start() + z, kind, re.sub(r"^\+?1(?=\d{10}$)", "", value) if kind == "phone" else value))
+    people, spelled = {}, {}
+    persons = [(GENDER_OF[m.group(1)], m.start(2), m.end(2)) if m.group(1) else (KNOWN[m.group(3).casefold()][0], m.start(3), m.end(4))
+               for m in PERSON.finditer(text)]
+    if any(x in text for x in LOUD_DOTTED):
+        persons += [(LOUD[m.group(1)], m.start(2), m.end(2)) for m in SHOUTED.finditer(text)]
+    lower = text.lower()
+    if any(x in lower for x in CALLED_WORDS):
+        persons += [(KNOWN.get(m.group(1).split()[0].casefold(), "u")[0], m.start(1), m.end(1)) for m in CALLED.finditer(text)]
+    for gender, at, to in sorted(persons, key=lambda x: x[1]):
+        parts = [(at + p.start(), at + p.end(), p.group()) for p in re.finditer(f"{CAPITAL}|{CAPITALS}", text[at:to])]
         for k, (a, b, word) in enumerate(parts):
             last = k == len(parts) - 1
             known = KNOWN.get(word.casefold())
-            if known and (not last or len(parts) == 1 and gender == known[0]):
+            if known and (not last or len(parts) == 1 and gender in (known[0], "u")):
                 kind = f"given-{known[0]}"
             else:
-                kind = f"{'surname' if last else 'given'}-{gender}"
-            people.setdefault(word, kind)
+                kind = "surname" if last else f"given-{gender}"
+            spelled.setdefault(word.casefold(), kind)
+            people[word] = people[word.title()] = spelled[word.casefold()]
             found.append((a, b, people[word], word.casefold()))
     if people:
         again = re.compile(rf"\b(?:{'|'.join(map(re.escape, people))})\b")
@@ -149,6 +191,15 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
     return out
 
 
+def ipv6(s: str) -> str | None:
+    """The shortest form of an address with at least two groups that are not 0, else null."""
+    try:
+        value = str(ipaddress.IPv6Address(s))
+    except ValueError:
+        return None
+    return value if sum(bool(x.strip("0")) for x in value.split(":")) > 1 else None
+
+
 def number_kind(s: str) -> str | None:
     if IPV4.fullmatch(s):
         return "ip" if all(int(x) < 256 for x in s.split(".")) else None
@@ -159,6 +210,10 @@ def number_kind(s: str) -> str | None:
         return "national"
     if 13 <= digits <= 19 and re.fullmatch(r"\d+|\d{4}(?:([ -])\d{4})(?:\1\d{4})*(?:\1\d{1,4})?", s):
         return "card"
+    if re.fullmatch(r"3\d{3}([ -])\d{6}\1\d{5}", s):
+        return "card"
+    if digits in (10, 11) and re.fullmatch(r"\(?0\d{2,4}\)?[ -]\d{3,4}[ -]\d{3,4}", s):
+        return "phone"
     if digits in (10, 11) and re.fullmatch(r"(?:1[ .-])?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}", s):
         return "phone"
     return None
@@ -245,15 +300,20 @@ class Surrogates:
             if x == start or x < size and allowed(x):
                 return x
 
-    def shaped(self, text: str, tweak, fixed=(), alphabet_of=None) -> str:
-        """Another text of the same form; positions in ``fixed`` and signs stay."""
-        alphabets = [None if i in fixed else (alphabet_of or OF_CHAR.get)(c) for i, c in enumerate(text)]
+    def shaped(self, text: str, tweak, fixed=(), alphabet_of=None, allowed=lambda x: True) -> str:
+        """Another text of the same form; positions in ``fixed`` and signs stay.
+
+        A long text is mapped part by part, so that its cost follows its length.
+        """
+        if len(text) > 2 * CHUNK:
+            return "".join(self.shaped(text[i:i + CHUNK], f"{tweak}\x1f{i}", {k - i for k in fixed}, alphabet_of) for i in range(0, len(text), CHUNK))
+        alphabets = [None if i in fixed else a for i, a in enumerate(map(alphabet_of or OF_CHAR.get, text))]
         n, size = 0, 1
         for c, a in zip(text, alphabets):
             if a:
                 n, size = n * len(a) + a.index(c), size * len(a)
         shape = "".join("." if a is None else a[0] for a in alphabets)
-        x = self.following(n, size, f"{tweak}\x1f{shape}")
+        x = self.following(n, size, f"{tweak}\x1f{shape}", allowed)
         out = []
         for c, a in zip(reversed(text), reversed(alphabets)):
             if a:
@@ -276,9 +336,12 @@ class Surrogates:
             if extra is not None:
                 value += f"{extra % 16**8:08x}"
             lower = all(c in HEX for c in value)
-            return self.shaped(value, tweak, alphabet_of=(lambda c: HEX) if lower else None)
+            start = KEY_START.match(value)
+            return self.shaped(value, tweak, range(start.end()) if start else (), (lambda c: HEX) if lower else None)
         if kind == "ip":
             return self.address(value, tweak)
+        if kind == "ipv6":
+            return self.address6(value, tweak)
         if kind == "iban":
             return self.iban(value, tweak)
         if kind == "card":
@@ -292,11 +355,23 @@ class Surrogates:
         return self.name(part, gender, value, tweak, extra)
 
     def phone(self, value, tweak):
-        code = 2 if value.startswith("+1") else 3 if value[0] == "+" else 0
-        fixed = set(range(code))
-        if code == 2 and value[5:8] == "555":  # the exchange set aside for fiction
-            fixed |= {5, 6, 7}
-        return self.shaped(value, tweak, fixed)
+        if value[0] in "+0":
+            return self.shaped(value, tweak, range(1 if value[0] == "0" else 2 if value[1] == "1" else 3))
+        if value[3:6] == "555":  # the exchange set aside for fiction
+            return self.shaped(value, tweak, {3, 4, 5}, allowed=lambda x: x >= 10**6)
+        return self.shaped(value, tweak, allowed=lambda x: x >= 10**9 and x // 10**4 % 1000 != 555)
+
+    def address6(self, value, tweak):
+        """Groups of 0, the number of digits of each group and the first group stay."""
+        groups, first = value.split(":"), value.index(":")
+        leads, at = set(), 0
+        for x in groups:
+            leads.add(at)
+            at += len(x) + 1
+        zeros = {i for i in leads if value[i:i + 2] in ("0", "0:")}
+        digits = [(HEX[1:] if i in leads else HEX) if c in HEX else None for i, c in enumerate(value)]
+        place = iter(digits)
+        return self.shaped(value, tweak, zeros | set(range(first)), lambda c: next(place))
 
     def address(self, value, tweak):
         n = 0
@@ -330,8 +405,10 @@ class Surrogates:
         folded = [n.casefold() for n in known or ()]
         if value in folded and extra is None:
             return folded[self.following(folded.index(value), len(folded), f"given\x1f{gender}\x1f{script}")]
+        if part == "surname":  # its own form alone tells the gender
+            gender = "u" if value[-1] == "о" else "f" if value[-1] in "ая" else "m"
         n = self.number("name", tweak, value)
-        length = 2 if extra is None else 5
+        length = 2 if extra is None else 5 + (int(tweak.rpartition("\x1f")[2]) - WIDER) // 4
         syllables = SYLLABLES[script]
         return "".join(syllables[n >> 4 * i & 15] for i in range(length)) + ENDINGS[part, gender, script]
 
@@ -347,6 +424,11 @@ def luhn(digits: str) -> int:
 
 def dressed(original: str, kind: str, surrogate: str) -> str:
     """The surrogate value in the spelling of one mention: punctuation and case."""
+    if kind == "phone" and sum(map(str.isdigit, original)) == len(surrogate) + 1 == 11:
+        surrogate = "+1"[original[0] != "+":] + surrogate
+    if kind == "ipv6":
+        long = ipaddress.IPv6Address(surrogate).exploded if len(original) == 39 else surrogate
+        return long.upper() if original.isupper() else long
     if kind in ("phone", "card", "national", "iban"):
         rest = iter(surrogate)
         out = [next(rest, "") if c.isalnum() or c == "+" else c for c in original]
@@ -393,6 +475,38 @@ def drawn(entities: DataFrame, key: str) -> DataFrame:
     return arrow_map(entities.select("kind", "value", "attempt"), run, "kind string, value string, attempt int, surrogate string")
 
 
+def form(kind: str, value: str) -> str | None:
+    """What the surrogate of a number or an address has in common with it; null for kinds whose surrogates can grow."""
+    if kind == "ip":
+        a, b = map(int, value.split(".")[:2])
+        if a in (10, 127) or a >= 224:
+            return f"ip {min(a, 224)}"
+        return f"ip {a}.{b // 16 * 16}" if (a, b) in ((192, 168), (169, 254)) or a == 172 and 16 <= b < 32 else "ip"
+    if kind == "ipv6":
+        head, _, rest = value.partition(":")
+        return f"ipv6 {head}:" + re.sub(r"[1-9a-f][0-9a-f]*", lambda m: "x" * len(m.group()), rest)
+    if kind == "phone":
+        lead = value[:1 if value[0] == "0" else 2 if value[1] == "1" else 3] if value[0] in "+0" else value[3:6] == "555"
+        return f"phone {lead} {len(value)}"
+    if kind == "card":
+        return f"card {value[0]} {len(value)}"
+    if kind == "iban":
+        return "iban " + value[:2] + "".join("0" if c.isdigit() else "A" for c in value[4:])
+    return "national" if kind == "national" else None
+
+
+def forms(entities: DataFrame) -> DataFrame:
+    """(kind, value, form) of (kind, value)."""
+
+    def run(batches):
+        for b in batches:
+            kinds, values = b.column(0), b.column(1)
+            found = [form(k, v) for k, v in zip(kinds.to_pylist(), values.to_pylist())]
+            yield pa.RecordBatch.from_arrays([kinds, values, pa.array(found, pa.string())], names=["kind", "value", "form"])
+
+    return arrow_map(entities.select("kind", "value"), run, "kind string, value string, form string")
+
+
 def family(kind):
     """Kinds whose values may be mistaken for one another: a name part in any gender."""
     return F.split(kind, "-")[0]
@@ -405,32 +519,53 @@ def attempts(entities: DataFrame, key: str) -> DataFrame:
     """
     real = entities.select(family(F.col("kind")).alias("family"), F.col("value").alias("surrogate")).distinct().withColumn("real", F.lit(True))
     now = staged(drawn(entities.withColumn("attempt", F.lit(0)), key), "surrogates-draw")
-    for _ in range(ATTEMPTS):
+    draws = 0
+    while True:
         rows = now.withColumn("family", family(F.col("kind")))
         first = rows.groupBy("family", "surrogate").agg(
             F.min(F.struct("attempt", "kind", "value")).alias("first"), F.count("*").alias("n"))
         clash = first.join(real, ["family", "surrogate"], "left").filter("n > 1 or real")
-        again = (rows.join(clash, ["family", "surrogate"])
+        again = (rows.filter(F.col("attempt") != PLAIN).join(clash, ["family", "surrogate"])
                  .filter(F.coalesce("real", F.lit(False)) | (F.struct("attempt", "kind", "value") != F.col("first")))
                  .select("kind", "value"))
         again = staged(again, "surrogates-again")
         if again.isEmpty():
-            return now.filter("attempt > 0").select("kind", "value", "attempt")
+            return now.filter("attempt != 0").select("kind", "value", "attempt")
+        following = F.col("attempt") + 1
+        draws += 1
+        if draws == ATTEMPTS:
+            # All values of a full form, so that one cycle maps them; the rest goes on with longer surrogates.
+            full = forms(again).select("form").filter("form is not null").distinct()
+            full = staged(forms(now).join(full, "form", "left_semi").select("kind", "value"), "surrogates-full")
+            if not full.isEmpty():
+                again, following = full, F.lit(PLAIN)
         marked = now.join(again.withColumn("redo", F.lit(1)), ["kind", "value"], "left")
         kept = marked.filter("redo is null").select("kind", "value", "attempt", "surrogate")
-        redone = drawn(marked.filter("redo = 1").select("kind", "value", (F.col("attempt") + 1).alias("attempt")), key)
+        redone = drawn(marked.filter("redo = 1").select("kind", "value", following.cast("int").alias("attempt")), key)
         now = staged(kept.union(redone), "surrogates-draw")
-    raise ValueError("no distinct surrogates found")
+
+
+def resolved(found: DataFrame) -> DataFrame:
+    """(kind, value, use): the kind that each entity is replaced under; one gender for a given name."""
+    counted = staged(found.groupBy("kind", "value").agg(F.count("*").alias("n")), "surrogates-counted")
+    given = counted.filter(F.col("kind").startswith("given-"))
+    one = given.groupBy("value").agg(F.max(F.struct(F.col("kind") != "given-u", "n", "kind"))["kind"].alias("use"))
+    return (given.join(one, "value").select("kind", "value", "use")
+            .union(counted.filter(~F.col("kind").startswith("given-")).select("kind", "value", F.col("kind").alias("use"))))
 
 
 def replaced(docs: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
     """All columns of ``docs`` with the text rewritten, and ``n_entities`` (mentions replaced)."""
     found = staged(mentions(docs), "surrogates-mentions")
-    entities = staged(found.select("kind", "value").distinct(), "surrogates-entities")
-    later = staged(attempts(entities, key), "surrogates-later")
-    # What a document needs to know beyond the key: the attempts of its own entities.
+    named = staged(resolved(found), "surrogates-named")
+    entities = staged(named.select(F.col("use").alias("kind"), "value").distinct(), "surrogates-entities")
+    drawn_later = attempts(entities, key).withColumnRenamed("kind", "use")
+    later = (named.join(drawn_later, ["use", "value"], "left").filter("attempt is not null or kind != use")
+             .select("kind", "value", "use", F.coalesce("attempt", F.lit(0)).alias("attempt")))
+    later = staged(later, "surrogates-later")
+    # What a document needs to know beyond the key: the attempts and kinds of its own entities.
     own = found.join(later, ["kind", "value"]).groupBy("doc_id").agg(
-        F.collect_set(F.struct("kind", "value", "attempt")).alias("__surrogates_later"))
+        F.collect_set(F.struct("kind", "value", "use", "attempt")).alias("__surrogates_later"))
     own = staged(own.withColumnRenamed("doc_id", "__surrogates_doc"), "surrogates-own")
     if own.count() <= BROADCAST_ROWS:
         own = F.broadcast(own)
@@ -444,10 +579,11 @@ def replaced(docs: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
             texts, counts = [], []
             for text, later in zip(b.column(place).to_pylist(), b.column("__surrogates_later").to_pylist()):
                 spans = find(text) if text else []
-                tries = {(x["kind"], x["value"]): x["attempt"] for x in later or ()}
+                tries = {(x["kind"], x["value"]): (x["use"], x["attempt"]) for x in later or ()}
                 out, at = [], 0
                 for a, z, kind, value in spans:
-                    out += [text[at:a], dressed(text[a:z], kind, surrogate(key, kind, value, tries.get((kind, value), 0)))]
+                    use, attempt = tries.get((kind, value), (kind, 0))
+                    out += [text[at:a], dressed(text[a:z], kind, surrogate(key, use, value, attempt))]
                     at = z
                 texts.append("".join(out) + text[at:] if spans else text)
                 counts.append(len(spans))

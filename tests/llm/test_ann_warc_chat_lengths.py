@@ -4,6 +4,8 @@ import hashlib
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from tierflow.llm import ann, chat, lengths, warc
 
 
@@ -162,3 +164,11 @@ def test_lengths_against_brute_force(spark, docs_of):
     assert lengths.quantile(answers, 0.5).first().length == sorted(sizes)[(len(sizes) + 1) // 2 - 1]
     empty = docs_of(texts).limit(0)
     assert lengths.limits(lengths.staged(lengths.histogram(empty, lengths.default_vocabulary()), "test-none")).count() == 0
+
+
+def test_warc_read_back_is_spread_by_bytes(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(warc, "READ_BYTES", 100_000)
+    monkeypatch.setattr(warc, "FRAME_BYTES", 50_000)
+    df = spark.createDataFrame([(i, f"u{i}", f"<p>{i}" + "x" * 5000) for i in range(200)], "page_id long, url string, html string")
+    back = warc.read_back(warc.write(df, f"{tmp_dir}/spread"), f"{tmp_dir}/spread")
+    assert back.count() == 200 and back.select(F.spark_partition_id().alias("p")).distinct().count() > 4

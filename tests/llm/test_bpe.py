@@ -62,3 +62,16 @@ def test_encode_decode_and_empty_table(spark, library):
     assert ids[1] == library.encode_ordinary("Héllo wörld") and ids[2] == []
     assert {r.doc_id: r.text for r in bpe.decode(encoded, bpe.default_vocabulary()).collect()} == {1: "Héllo wörld", 2: ""}
     assert bpe.round_trip(df.limit(0), bpe.default_vocabulary()).count() == 0
+
+
+def test_long_words_of_the_vocabulary_come_from_the_perfect_hash(monkeypatch):
+    import public_tokenizers
+    import regex
+
+    vocab = bpe.Vocabulary(bpe.default_vocabulary())
+    long = [w for w in vocab.ranks if len(w) > 16 and regex.fullmatch(public_tokenizers.PATTERN, w.decode("utf-8", "replace"))
+            and b"\xef\xbf\xbd" not in w.decode("utf-8", "replace").encode()]
+    assert long
+    monkeypatch.setattr(vocab, "merged", lambda word: (_ for _ in ()).throw(AssertionError(word)))
+    ids, counts = vocab.encode_block([w.decode() for w in long])
+    assert ids.tolist() == [vocab.ranks[w] for w in long] and set(counts.tolist()) == {1}

@@ -70,3 +70,28 @@ def test_quality_of_one_long_token_null_ids_and_repeated_rows(spark):
     assert len(got) == 407 and sum(r.doc_id == 4 for r in got) == 2 and sum(r.doc_id is None for r in got) == 2
     assert len({r.score for r in got if r.doc_id == 4}) == 1 and all(0 <= r.score <= 1 for r in got)
     assert sum(r.predicted != plain[r.doc_id] for r in got if r.doc_id in plain) <= 4
+
+
+def test_class_counts_equal_brute_force(spark):
+    from collections import Counter
+
+    texts = ["abcabc", "ABC abd", "", None, "xyabc", "abcabc", "\tabc  d", "日本語日本"]
+    rows = spark.createDataFrame([(i, t, i % 2, 2.0 if i % 2 else 1.0) for i, t in enumerate(texts)], "doc_id long, text string, label int, weight double")
+    want = {}
+    for i, t in enumerate(texts):
+        t = (t or "").lower().replace("\t", " ")
+        for gram in {t[k:k + n] for n in toxicity.ORDERS for k in range(len(t) - n + 1)}:
+            want.setdefault(gram, [0, 0])[1 - i % 2] += 2.0 if i % 2 else 1.0
+    got = toxicity.class_counts(rows.repartition(3)).collect()
+    assert Counter((r.pos, r.neg) for r in got) == Counter(map(tuple, want.values()))
+    for gram in ("abc", "日本語", " abc"):
+        key = int(toxicity.ngrams([gram])[0][-1 if len(gram) > 3 else 0])
+        assert [[r.pos, r.neg] for r in got if r.gram == key] == [want[gram]]
+
+
+def test_repeated_documents_and_null_ids_of_toxicity(spark):
+    docs, labels = corpus(spark)
+    more = spark.createDataFrame([(None, "zogvile qwexnasty zogvile", "en", "s", 0), (None, None, "en", "s", 0)], docs.schema)
+    got = toxicity.predictions(docs.unionByName(more).unionByName(docs.filter("doc_id in (1, 2)")), labels).collect()
+    assert len(got) == 407 and all(len({r.score for r in got if r.doc_id == i}) == 1 for i in (1, 2))
+    assert sorted(r.predicted for r in got if r.doc_id is None) == [0, 1]

@@ -1,3 +1,5 @@
+from collections import Counter
+
 import duckdb
 import pytest
 
@@ -49,3 +51,23 @@ def test_oracle(spark, name):
     want = con.sql(entry.oracle_sql()[name]).fetchall()
     got = [tuple(r) for r in entry.queries()[name](spark, SMOKE).collect()]
     assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+def test_texts_that_share_an_id_are_judged_apart(spark, parquet_dir):
+    import random
+
+    rng = random.Random(4)
+    a, b, c, d, item = (" ".join(f"w{rng.randrange(900)}" for _ in range(40)) for _ in range(5))
+    rows = [(3, a), (7, a), (7, b), (7, b), (8, c), (8, c), (8, c + " " + item), (9, d), (None, a), (None, item), (10, None), (10, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, count string, source string, n long")
+    folder = parquet_dir(benchmark=spark.createDataFrame([(1, item)], "item_id long, text string"))
+    kept = corpus_pipeline.staged(corpus_pipeline.near_duplicates_stage(spark, docs, folder), "test-kept")
+    assert kept.columns == docs.columns
+    got = [(r.doc_id, r.text) for r in kept.collect()]
+    # One of the three rows with text a stays beside the one without an id.
+    of_a = [x for x in got if x[1] == a and x[0]]
+    assert len(of_a) == 1
+    assert Counter(x for x in got if x not in of_a) == Counter(set(rows) - {(3, a), (7, a)})
+    clean = corpus_pipeline.decontamination_stage(spark, kept, folder)
+    left = [(r.doc_id, r.text) for r in clean.collect()]
+    assert clean.columns == docs.columns and Counter(left) == Counter(x for x in got if x != (8, c + " " + item))

@@ -183,7 +183,7 @@ class Vocabulary:
         return np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64)
 
     def whole(self, keys, low, high, lengths) -> np.ndarray:
-        """Ids of pre-tokens of at most 16 bytes that are in the vocabulary, else -1."""
+        """Ids of pre-tokens in the vocabulary by key, first 16 bytes and length, else -1."""
         slot = self.hash.slot(keys)
         found = np.maximum(slot, 0)
         same = (slot >= 0) & (self.low[found] == low) & (self.high[found] == high)
@@ -221,13 +221,14 @@ class Vocabulary:
             return np.empty(0, np.uint32), np.zeros(len(texts), np.int64)
         begin = offset[starts]
         length = offset[ends] - begin
-        low, high = pack(buffer, begin, length)
+        low, high = packed = pack(buffer, begin, length)
         keys = key_of(low, high, length)
         long = np.flatnonzero(length > 16)
         if len(long):
             words = [raw[b:b + k] for b, k in zip(begin[long].tolist(), length[long].tolist())]
             keys[long] = self.long_keys(words)
             number = {w: i for i, w in enumerate(dict.fromkeys(words))}
+            low, high = low.copy(), high.copy()
             low[long] = np.fromiter((number[w] for w in words), np.uint64, len(words))
             high[long] = 0
         code, unique = pd.factorize(keys)
@@ -236,18 +237,15 @@ class Vocabulary:
         if not ((low[first][code] == low).all() and (high[first][code] == high).all() and (length[first][code] == length).all()):
             code, first = self._distinct(raw, begin, length)  # two words share a key: compare them as bytes
         b, k = begin[first], length[first]
-        ids = self.whole(keys[first], low[first], high[first], k)
-        ids[k > 16] = -1
+        ids = self.whole(keys[first], packed[0][first], packed[1][first], k)
+        for i in np.flatnonzero((k > 16) & (ids >= 0)).tolist():
+            if self.tokens[int(ids[i])] != raw[b[i]:b[i] + k[i]]:
+                ids[i] = -1
         parts: list = [None] * len(first)
         known = np.flatnonzero(ids >= 0)
         count = np.ones(len(first), np.int64)
         for i, x, y in zip((miss := np.flatnonzero(ids < 0)).tolist(), b[miss].tolist(), k[miss].tolist()):
-            word = raw[x:x + y]
-            if y > 16 and (slot := self.ranks.get(word)) is not None:
-                got = slot.to_bytes(4, "little")
-            else:
-                got = self.merged(word)
-            parts[i] = got
+            parts[i] = got = self.merged(raw[x:x + y])
             count[i] = len(got) >> 2
         at = np.cumsum(count) - count
         flat = np.empty(int(count.sum()), np.uint32)

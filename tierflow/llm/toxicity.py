@@ -142,12 +142,13 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", most_per_clas
     if not n_pos or not n_neg:
         odds = -700.0 if not n_pos else 700.0
         return Model(np.empty(0, np.int64), np.empty(0), odds)
-    n = n_pos + n_neg
-    pos, neg = F.col("pos"), F.col("neg")
-    # G statistic of the table (class, present or not).
+    # G statistic of the table (class, present or not), on counts of sampled rows: weights would make chance look like evidence.
+    weight = {r["label"]: r["w"] for r in rows.groupBy("label").agg(F.max("weight").alias("w")).collect()}
+    of_pos, of_neg = n_pos / weight[1], n_neg / weight[0]
+    pos, neg, n = F.col("pos") / weight[1], F.col("neg") / weight[0], of_pos + of_neg
     g = F.lit(0.0)
-    for inside, of in ((pos, n_pos), (neg, n_neg)):
-        g = g + xlogy(inside, (pos + neg) * of / n) + xlogy(F.lit(of) - inside, (F.lit(n) - pos - neg) * of / n)
+    for inside, of in ((pos, of_pos), (neg, of_neg)):
+        g = g + 2 * xlogy(inside, (pos + neg) * of / n) + 2 * xlogy(F.lit(of) - inside, (F.lit(n) - pos - neg) * of / n)
     chosen = (class_counts(rows).withColumn("g", F.round(g, 9)).filter(F.col("g") >= LEAST_G)
               .orderBy(F.desc("g"), "gram").limit(most_features).select("gram", "pos", "neg").collect())
     grams = np.array([r["gram"] for r in chosen], np.int64)

@@ -43,6 +43,7 @@ from tierflow.session import unique_scratch
 
 FRAME_BYTES = 1 << 20
 BUNDLE_BYTES = 64 << 20
+READ_BYTES = 16 << 20
 LEAST_BYTES = 0
 LEVEL = 3
 # Fixed values of the seekable format: frame magic, footer magic.
@@ -265,7 +266,9 @@ def read_back(index: DataFrame, folder: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)],
                                                  names=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"])
 
-    by_frame = index.repartition("bundle", "frame").sortWithinPartitions("bundle", "frame", "record_at")
+    # A small index stands for large frames: the records' bytes say how many tasks read them, which AQE leaves as it is.
+    size = index.agg(F.sum("record_bytes").alias("size")).first()["size"] or 0
+    by_frame = index.repartition(max(1, -(-size // READ_BYTES)), "bundle", "frame").sortWithinPartitions("bundle", "frame", "record_at")
     return arrow_map(by_frame, run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
 
 

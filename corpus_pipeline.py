@@ -11,7 +11,11 @@ columns they got.
 5. bpe (operator 3): texts are encoded; the result is one row of digests each.
 
 Null and empty texts, repeated rows, null ids and empty tables are treated as
-the operators say; a document with a null id passes through.
+the operators say; a document with a null id passes through stages 2 and 3.
+Where several texts share an id, each is a document of its own: stages 2 and 3
+judge it apart from the others. Rows that repeat id and text are copies, one of
+them leaves stage 2. Other columns may have any name but ``__row``, ``__text`` and
+``__gone``.
 """
 
 from __future__ import annotations
@@ -25,11 +29,38 @@ from tierflow.llm.common import staged, table
 BROADCAST_ROWS = 1_000_000
 
 
-def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The documents whose id is not in ``ids`` (8 MB at most are broadcast, more are shuffled)."""
-    ids = staged(ids.distinct(), "pipeline-ids").withColumnRenamed("doc_id", "__gone")
+def without(docs: DataFrame, ids: DataFrame, column: str = "doc_id", how: str = "left_anti") -> DataFrame:
+    """The rows whose ``column`` is not in ``ids`` (8 MB at most are broadcast, more are shuffled)."""
+    ids = staged(ids.select(F.col("doc_id").alias("__gone")).distinct(), "pipeline-ids")
     gone = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
-    return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    return docs.join(gone, F.col(column) == F.col("__gone"), how)
+
+
+def rows_of(docs: DataFrame) -> DataFrame:
+    """``docs`` with a key ``__row`` that tells texts under one id apart; repeats of id and text are dropped.
+
+    An id of one text is its own key. Each text of an id with several gets the
+    hash of both, under a salt that makes none equal to an id or to another key.
+    """
+    repeated = docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    repeated = staged(repeated, "pipeline-repeated")
+    plain = docs.withColumn("__row", F.col("doc_id").cast("long"))
+    if repeated.isEmpty():
+        return plain
+    # Combined in the task first, so an id with many copies is no hot group.
+    texts = without(docs, repeated, how="left_semi").withColumn("__text", F.sha2(F.coalesce(F.concat(F.lit("="), "text"), F.lit("")), 256))
+    texts = staged(texts.dropDuplicates(["doc_id", "__text"]), "pipeline-texts")
+    several = staged(texts.groupBy("doc_id").count().filter("count > 1").select("doc_id"), "pipeline-several")
+    salt = 0
+    while True:
+        key = F.xxhash64(F.lit(salt), "doc_id", "__text")
+        of_several = staged(without(texts, several, how="left_semi").withColumn("__row", key), "pipeline-keys")
+        taken = of_several.join(docs.select(F.col("doc_id").cast("long").alias("__gone")), F.col("__row") == F.col("__gone"), "left_semi")
+        if taken.isEmpty() and of_several.groupBy("__row").count().filter("count > 1").isEmpty():
+            break
+        salt += 1
+    one = without(texts, several).withColumn("__row", F.col("doc_id").cast("long"))
+    return staged(without(plain, repeated).unionByName(one.drop("__text")).unionByName(of_several.drop("__text")), "pipeline-rows")
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,18 +68,15 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = staged(neardup.groups(docs), "pipeline-groups")
-    kept = without(docs, groups.filter("not kept").select("doc_id"))
-    repeated = groups.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    repeated = staged(repeated, "pipeline-repeated")
-    if repeated.isEmpty():
-        return kept
-    # Rows that repeat an id are copies as well: one of them stays.
-    return without(kept, repeated).unionByName(kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    rows = rows_of(docs)
+    groups = neardup.groups(rows.select(F.col("__row").alias("doc_id"), "text"))
+    return without(rows, groups.filter("not kept"), "__row").select(docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return decontaminate.without_leaks(docs, table(spark, sf_dir, "benchmark"))
+    rows = rows_of(docs)
+    found = decontaminate.contaminated(rows.select(F.col("__row").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    return without(rows, found, "__row").select(docs.columns)
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -116,3 +116,11 @@ def test_sketch_keeps_links_with_unlucky_labels():
     rows = (np.zeros(2, np.int32), np.zeros((2, 2 * neardup.DEPTH), np.uint8), np.arange(2), np.full(2, 100), sketch, np.array([-1, -2]), np.zeros(2, bool))
     a, b = neardup.pairs(rows, np.zeros(2, np.int64), 0, 64, None)
     assert (a.tolist(), b.tolist()) == ([0], [1])
+
+
+def test_counting_shingles_makes_few_rows_in_a_task(spark, docs_of, monkeypatch):
+    frames, plain = [], neardup.arrow_map
+    monkeypatch.setattr(neardup, "arrow_map", lambda df, run, schema: frames.append(plain(df, run, schema)) or frames[-1])
+    docs = docs_of([" ".join(f"t{i}" for i in range(90)) + " " + " ".join(f"o{d}x{k}" for k in range(200)) for d in range(200)])
+    neardup.sharing(docs, docs.selectExpr("doc_id", "doc_id as part"), 4)
+    assert 0 < frames[0].count() <= 64 * frames[0].rdd.getNumPartitions()

@@ -69,8 +69,10 @@ LEAST_REGION = 4
 #: fewer than one in a hundred million links at the threshold are lost by it.
 LEAST_ESTIMATE = 0.5
 BROADCAST_IDS = 1_000_000
-#: Common shingles whose order in prefixes follows their counts; the others follow their hash. Any order is exact.
-COMMON = 50_000
+#: Shingles are counted in two rows of cells; their order in prefixes follows the smaller count, then the hash. Any order
+#: of the shingles is exact. Whatever the data, the counts are 8 MB in a task and on the driver.
+CELLS = 1 << 19
+SLICES = 64
 
 BASE = 0x9E3779B97F4A7C15 | 1
 LOWER = bytes(c + 32 if 0x41 <= c <= 0x5A else c for c in range(256))
@@ -287,6 +289,11 @@ def pairs(rows, taken, fresh, window, nearest):
     return np.concatenate(left), np.concatenate(right)
 
 
+def cells(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The cell of each shingle in both rows: two ranges of bits of its hash."""
+    return (shingles >> np.uint64(45)).astype(np.int64), (shingles >> np.uint64(26)).astype(np.int64) & (CELLS - 1)
+
+
 def sharing(docs: DataFrame, rows: DataFrame, width: int) -> DataFrame:
     """(a, b) with a < b: every pair of ``rows`` (doc_id, part) in different parts that can be linked.
 
@@ -302,26 +309,36 @@ def sharing(docs: DataFrame, rows: DataFrame, width: int) -> DataFrame:
     texts = staged(texts.dropDuplicates(["doc_id"]).select(F.struct("doc_id", "part").alias("id"), "text"), "neardup-crowded")
 
     def spread(batches):
-        # Counted in the task first: one row for each shingle of a block, not for each of its occurrences.
+        # What a task says of its shingles is bounded: its cells, packed into one row for each slice.
+        seen = np.zeros((2, CELLS), np.int64)
         for _, block in text_blocks(batches, COUNT_CHARS):
-            shingles, counts = np.unique(np.concatenate(shingle_sets(block, width)), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(shingles.view(np.int64)), pa.array(counts.astype(np.int64))], names=["shingle", "n"])
+            for counts, at in zip(seen, cells(np.concatenate(shingle_sets(block, width)))):
+                counts += np.bincount(at, minlength=CELLS)
+        for k, part in enumerate(seen.reshape(SLICES, -1)):
+            at = np.flatnonzero(part)
+            if len(at):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([k], pa.int32()), pa.array([at.astype(np.int32).tobytes()], pa.binary()), pa.array([part[at].tobytes()], pa.binary())],
+                    names=["slice", "at", "n"])
+
+    def total(key, part):
+        whole = np.zeros(2 * CELLS // SLICES, np.int64)
+        for at, n in zip(part.column("at").to_pylist(), part.column("n").to_pylist()):
+            whole[np.frombuffer(at, np.int32)] += np.frombuffer(n, np.int64)
+        return pa.table({"slice": pa.array([key[0].as_py()], pa.int32()), "n": pa.array([whole.tobytes()], pa.binary())})
 
-    common = (arrow_map(texts, spread, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("count")).filter("count > 1")
-              .orderBy(F.desc("count"), "shingle").limit(COMMON).collect())
-    listed = np.array([r["shingle"] for r in common], np.int64).view(np.uint64)
-    by_hash = np.argsort(listed)
-    shared = spark.sparkContext.broadcast((listed[by_hash], len(listed) - by_hash))
+    slices = arrow_map(texts, spread, "slice int, at binary, n binary").groupBy("slice").applyInArrow(total, "slice int, n binary").collect()
+    counts = np.zeros((SLICES, 2 * CELLS // SLICES), np.int64)
+    for r in slices:
+        counts[r["slice"]] = np.frombuffer(r["n"], np.int64)
+    shared = spark.sparkContext.broadcast(counts.reshape(2, CELLS))
 
     def prefixes(batches):
-        known, ranks = shared.value
+        counts = shared.value
         for ids, block in text_blocks(batches, BLOCK_CHARS):
             out = []
             for i, s in zip(ids, shingle_sets(block, width)):
-                rank = np.zeros(len(s), np.int64)
-                if len(known):
-                    at = np.minimum(np.searchsorted(known, s), len(known) - 1)
-                    rank = np.where(known[at] == s, ranks[at], 0)
+                rank = np.minimum(*(n[at] for n, at in zip(counts, cells(s))))
                 first = s[np.lexsort((s, rank))][:len(s) // 5 + 1].view(np.int64)
                 of = np.ones(len(first), np.int64)
                 out.append((first, np.arange(len(first)), of * len(s), of * i["doc_id"], of * i["part"]))

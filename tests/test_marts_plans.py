@@ -51,3 +51,26 @@ def test_period_bounds(spark):
     df = spark.sql("select explode(sequence(timestamp_ntz'1998-11-15', timestamp_ntz'2000-02-15', interval 1 month)) o_orderdate")
     assert marts.orders_in(df, 1998, 12).count() == 1 and marts.orders_in(df, 1999).count() == 12
     assert marts.orders_in(df, 1998, last=1999).count() == 14
+
+
+def test_a_task_of_the_marts_takes_a_fixed_number_of_lines(spark, tmp_dir, monkeypatch):
+    lines, orders, suppliers = (read_table(spark, SMOKE, t) for t in ("lineitem", "orders", "supplier"))
+    monkeypatch.setattr(marts, "ROWS_OF_TASK", 100)
+    parts = -(-lines.count() // 100)
+    plan = marts.monthly_by_restaurant(lines, orders, suppliers)._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(rf"hashpartitioning\(l_orderkey#\d+L?, {parts}\)", plan)) == 2
+    seen, plain = [], marts._measures
+    monkeypatch.setattr(marts, "_measures", lambda grouped: seen.append(plain(grouped)) or seen[-1])
+    marts.publish(lines, orders, suppliers, f"{tmp_dir}/marts")
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in seen]
+    assert any(re.search(rf"hashpartitioning\(l_orderkey#\d+L?, {parts}\)", p) for p in plans)
+    assert any(re.search(rf"hashpartitioning\(year#\d+, month#\d+, l_suppkey#\d+L?, {parts}\)", p) for p in plans)
+
+
+def test_orders_of_a_month_are_broadcast_to_the_lines(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "5000")  # the whole table of orders is larger
+    try:
+        assert "SortMergeJoin" not in physical(registry.QUERIES["top_suppliers_1998_06"](spark, SMOKE))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

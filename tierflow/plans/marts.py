@@ -17,13 +17,16 @@ items are aggregated per order before any shuffle (partial aggregation
 collapses even an order holding a third of all lines) and the per-order rows
 are joined to ``orders`` on the key they are already partitioned by. The
 restaurant mart joins its few line columns to ``orders`` first and aggregates
-by (order, supplier) on that partitioning, so the facts are shuffled once. The
-final per-period aggregation shuffles only partial sums, one row per period
-per task.
+by (order, supplier) on that partitioning, so the facts are shuffled once, into
+as many partitions as they need at ``ROWS_OF_TASK`` lines each: what a task
+sorts and hashes does not grow with the facts. The final per-period aggregation
+shuffles only partial sums, one row per period per task.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +34,9 @@ from tierflow.session import unique_scratch
 
 REVENUE_TYPE = "decimal(38,4)"
 
+#: Lines that one task of a join or aggregation takes: about 100 MB of sorted rows and hash maps.
+ROWS_OF_TASK = 250_000
+
 MEASURES = (
     "total_revenue",
     "total_orders",
@@ -47,7 +53,13 @@ def line_revenue() -> Column:
     return price * (F.lit(1) - discount)
 
 
-def _order_totals(lineitem: DataFrame, orders: DataFrame, by_supplier: bool) -> DataFrame:
+def partitions_for(facts: DataFrame) -> int:
+    """Partitions of ``ROWS_OF_TASK`` rows; for a table, the count comes from the footers of its files."""
+    return max(facts.sparkSession.sparkContext.defaultParallelism, math.ceil(facts.count() / ROWS_OF_TASK))
+
+
+def _order_totals(lineitem: DataFrame, orders: DataFrame, by_supplier: bool, parts: int | None = None) -> DataFrame:
+    """``parts``: partitions that the facts are dealt over by order; None leaves that, and a broadcast, to Spark."""
     dated = orders.select(
         F.col("o_orderkey").alias("l_orderkey"),
         F.year("o_orderdate").cast("int").alias("year"),
@@ -56,7 +68,10 @@ def _order_totals(lineitem: DataFrame, orders: DataFrame, by_supplier: bool) ->
     totals = [F.sum(line_revenue()).alias("order_revenue"), F.count(F.lit(1)).alias("n_items")]
     if not by_supplier:
         return lineitem.groupBy("l_orderkey").agg(*totals).join(dated, "l_orderkey")
-    lines = lineitem.select("l_orderkey", "l_suppkey", "l_extendedprice", "l_discount").join(dated, "l_orderkey")
+    lines = lineitem.select("l_orderkey", "l_suppkey", "l_extendedprice", "l_discount")
+    if parts:
+        lines, dated = lines.repartition(parts, "l_orderkey"), dated.repartition(parts, "l_orderkey")
+    lines = lines.join(dated, "l_orderkey")
     return lines.groupBy("l_orderkey", "l_suppkey", "year", "month").agg(*totals)
 
 
@@ -104,7 +119,22 @@ def monthly_by_restaurant(
     (``spark.sql.autoBroadcastJoinThreshold`` and AQE's runtime sizes):
     the supplier table grows with the data and is not hinted.
     """
-    return _by_restaurant(_order_totals(lineitem, orders, by_supplier=True), supplier)
+    totals = _order_totals(lineitem, orders, by_supplier=True, parts=partitions_for(lineitem))
+    return _by_restaurant(totals, supplier)
+
+
+def monthly_by_restaurant_of(lineitem: DataFrame, orders: DataFrame, supplier: DataFrame, year: int, month: int | None = None) -> DataFrame:
+    """``monthly_by_restaurant`` of the orders of one year or month.
+
+    Keys and dates of these orders are written first. Where they are small Spark
+    then broadcasts them to the scan of the lines, which are not shuffled; where
+    they are not, only the lines of these orders go on to the aggregation.
+    """
+    path = unique_scratch(orders.sparkSession, "mart-orders")
+    few = orders_in(orders, year, month).select("o_orderkey", "o_orderdate")
+    few.write.parquet(path)
+    few = orders_in(orders.sparkSession.read.schema(few.schema).parquet(path), year, month)
+    return _by_restaurant(_order_totals(lineitem, few, by_supplier=True), supplier)
 
 
 def _by_restaurant(totals: DataFrame, supplier: DataFrame) -> DataFrame:
@@ -159,6 +189,7 @@ def publish(
     years stay as they are. Without ``years`` all partitions are replaced, so a
     year that no longer occurs disappears.
     """
+    parts = partitions_for(lineitem)
     if years:
         orders = orders_in(orders, min(years), last=max(years)).filter(F.year("o_orderdate").isin(list(years)))
         # Lines of other orders go before they are aggregated.
@@ -166,10 +197,11 @@ def publish(
     # The facts are read once: both marts come from the totals by order and supplier,
     # and the yearly one from the monthly one, as an order has one date.
     path = unique_scratch(lineitem.sparkSession, "mart-totals")
-    written = _order_totals(lineitem, orders, by_supplier=True)
+    written = _order_totals(lineitem, orders, by_supplier=True, parts=parts)
     written.write.parquet(path)
     totals = lineitem.sparkSession.read.schema(written.schema).parquet(path)
-    per_order = totals.groupBy("l_orderkey", "year", "month").agg(
+    # Dealt before they are aggregated: a split of the files holds far more rows than one task should hash.
+    per_order = totals.repartition(parts, "l_orderkey").groupBy("l_orderkey", "year", "month").agg(
         F.sum("order_revenue").alias("order_revenue"), F.sum("n_items").alias("n_items"))
     monthly = _measures(per_order.groupBy("year", "month"))
     yearly = monthly.groupBy("year").agg(
@@ -178,7 +210,7 @@ def publish(
     frames = {
         "yearly": with_averages(yearly).select("year", *MEASURES),
         "monthly": with_averages(monthly).select("year", "month", *MEASURES),
-        "monthly_by_restaurant": _by_restaurant(totals, supplier),
+        "monthly_by_restaurant": _by_restaurant(totals.repartition(parts, "year", "month", "l_suppkey"), supplier),
     }
     for name, df in frames.items():
         (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if years else "static")

@@ -71,8 +71,8 @@ def _latest(spark, d) -> tuple[int, int]:
 
 def _mbr_of(spark, d, year: int, month: int | None = None):
     """The restaurant mart of one year or month; the date range reaches the scan of orders."""
-    orders = marts.orders_in(read_table(spark, d, "orders"), year, month)
-    return marts.monthly_by_restaurant(read_table(spark, d, "lineitem"), orders, read_table(spark, d, "supplier"))
+    tables = (read_table(spark, d, t) for t in ("lineitem", "orders", "supplier"))
+    return marts.monthly_by_restaurant_of(*tables, year, month)
 
 
 # Oracle building blocks (DuckDB): the same definitions as marts.py.

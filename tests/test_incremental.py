@@ -10,6 +10,7 @@ from tierflow.operators.merge import ACTION, IS_UPDATE
 from tierflow.operators.timeline import GONE, PART, Timeline
 from tierflow.plans import marts
 from tierflow.plans.incremental import MartStore
+from tierflow.sources.buckets import BucketedTable
 from tests.conftest import rows
 
 LINE = "l_orderkey long, l_suppkey long, l_extendedprice double, l_discount double"
@@ -190,3 +191,14 @@ def test_hot_key_over_many_ranges_and_untouched_keys(spark, tmp_dir):
     assert sorted(map(tuple, line.dimension().collect()), key=repr) == history(hot + [(8, "x", 1, base, False)])
     # Rows that only confirm what is in force are kept, but are no versions.
     assert line.table.rows().filter(F.col(PART) == "seen").count() == 400
+
+
+def test_a_fold_deals_rows_by_order_once(spark, tmp_dir, monkeypatch):
+    plans, plain = [], BucketedTable.write_buckets
+    monkeypatch.setattr(BucketedTable, "write_buckets", lambda self, rows, *a, **k: plans.append(
+        rows._jdf.queryExecution().executedPlan().toString()) or plain(self, rows, *a, **k))
+    facts, store, rnd = Facts(spark), MartStore(spark, tmp_dir, 4, 4), random.Random(7)
+    for n, kind in enumerate([{"new": 20}, {"change": 5, "move": 3}], 1):
+        lines, orders = facts.batch(rnd, **kind)
+        store.fold_totals(lines, orders, n)
+    assert [p.count("hashpartitioning(l_orderkey") for p in plans] == [1, 1]

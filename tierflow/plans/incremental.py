@@ -25,7 +25,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tierflow.operators.cdc import BATCH, net_changes
@@ -89,45 +89,45 @@ class MartStore:
         held = self.totals.rows(touched, based_on) if based_on else None
         if held is not None:
             new = held.select("l_orderkey", "l_suppkey", "is_order", BUCKET, F.lit(False).alias("new"), *VALUES, none.cast("date").alias("date")).unionByName(new)
-        # One exchange by order serves the sums, the join with the dates and the order totals.
-        rows = new.repartition("l_orderkey")
-        old = ~F.col("new")
-        dates = rows.filter("is_order").groupBy("l_orderkey", BUCKET).agg(
+        # One exchange and one pass by order serve the sums, the dates, the order totals and all images; partitions
+        # follow the rows, so that what a task sorts and hashes does not grow with the table.
+        measures = (("order_revenue", marts.REVENUE_TYPE), ("n_items", "bigint"))
+        old, is_order, date = ~F.col("new"), F.col("is_order"), F.col("date")
+        sums = new.repartition(marts.partitions_for(new), "l_orderkey").groupBy("l_orderkey", "l_suppkey", "is_order", BUCKET).agg(
             F.max(F.when(old, F.col("year"))).alias("old_year"), F.max(F.when(old, F.col("month"))).alias("old_month"),
-            F.bool_or("new").alias("dated"), F.max("date").alias("date"))
-        date = F.col("date")
-        dates = dates.select("l_orderkey", BUCKET, "old_year", "old_month",
-                             F.when(F.col("dated"), F.year(date)).otherwise(F.col("old_year")).alias("new_year"),
-                             F.when(F.col("dated"), F.month(date)).otherwise(F.col("old_month")).alias("new_month"))
-        sums = rows.filter("not is_order").groupBy("l_orderkey", "l_suppkey", BUCKET).agg(
-            *[F.coalesce(F.sum(F.when(old, F.col(c))), F.lit(0)).cast(t).alias(f"old_{c}") for c, t in (("order_revenue", marts.REVENUE_TYPE), ("n_items", "bigint"))],
-            *[F.sum(c).cast(t).alias(f"new_{c}") for c, t in (("order_revenue", marts.REVENUE_TYPE), ("n_items", "bigint"))])
-        both = sums.join(dates.drop(BUCKET), "l_orderkey", "left")
-        by_order = both.groupBy("l_orderkey", BUCKET, "old_year", "old_month", "new_year", "new_month").agg(
-            *[F.sum(f"{w}_{c}").cast(t).alias(f"{w}_{c}") for w in ("old", "new") for c, t in (("order_revenue", marts.REVENUE_TYPE), ("n_items", "bigint"))])
-
-        def images(df, level, supplier):
-            def image(which, action, is_update):
-                return F.struct(F.col("l_orderkey"), supplier.alias("l_suppkey"), F.lit(False).alias("is_order"), *[F.col(f"{which}_{c}").alias(c) for c in VALUES],
-                                F.lit(level).alias("level"), F.col(BUCKET), F.lit(action).cast("string").alias(ACTION), F.lit(is_update).cast("boolean").alias(IS_UPDATE),
-                                F.lit("feed" if action else "row").alias(KIND))
-
-            was = (F.col("old_n_items") > 0) & F.col("old_year").isNotNull()
-            now = (F.col("new_n_items") > 0) & F.col("new_year").isNotNull()
-            same = reduce(lambda a, b: a & b, [F.col(f"old_{c}").eqNullSafe(F.col(f"new_{c}")) for c in VALUES])
-            feed = (F.when(was & now & ~same, F.array(image("old", "DELETE", True), image("new", "INSERT", True)))
-                    .when(was & ~now, F.array(image("old", "DELETE", False))).when(now & ~was, F.array(image("new", "INSERT", False))))
-            out = [df.select(F.explode(feed).alias("x")).select("x.*")]
-            if level == SUPPLIER_LEVEL:
-                out.append(df.filter("new_n_items <> 0").select(image("new", None, None).alias("x")).select("x.*"))
-            return out
-
-        heads = dates.filter("new_year is not null").select(
-            "l_orderkey", none.cast("bigint").alias("l_suppkey"), F.lit(True).alias("is_order"), F.col("new_year").alias("year"), F.col("new_month").alias("month"),
-            F.lit(0).cast(marts.REVENUE_TYPE).alias("order_revenue"), F.lit(0).cast("bigint").alias("n_items"), none.cast("string").alias("level"), BUCKET,
-            none.cast("string").alias(ACTION), none.cast("boolean").alias(IS_UPDATE), F.lit("row").alias(KIND))
-        parts = [*images(both, SUPPLIER_LEVEL, F.col("l_suppkey")), *images(by_order, ORDER_LEVEL, none.cast("bigint")), heads]
-        return self.totals.write_buckets(reduce(DataFrame.unionByName, parts), touched, consumed=batch, based_on=based_on)
+            F.bool_or("new").alias("dated"), F.max("date").alias("date"),
+            *[F.coalesce(F.sum(F.when(old, F.col(c))), F.lit(0)).cast(t).alias(f"old_{c}") for c, t in measures],
+            *[F.sum(c).cast(t).alias(f"new_{c}") for c, t in measures])
+        # The date is on the row of the order itself, whose measures become those of all its lines.
+        one, known = Window.partitionBy("l_orderkey"), F.col("l_orderkey").isNotNull()
+        head = {"old_year": F.col("old_year"), "old_month": F.col("old_month"),
+                "new_year": F.when(F.col("dated"), F.year(date)).otherwise(F.col("old_year")),
+                "new_month": F.when(F.col("dated"), F.month(date)).otherwise(F.col("old_month"))}
+        both = sums.select(
+            "l_orderkey", "l_suppkey", "is_order", BUCKET,
+            *[F.when(known, F.max(F.when(is_order, c)).over(one)).alias(name) for name, c in head.items()],
+            F.when(is_order, head["new_year"]).alias("head_year"), F.when(is_order, head["new_month"]).alias("head_month"),
+            *[F.when(is_order, F.sum(F.when(~is_order, F.col(f"{w}_{c}"))).over(one)).otherwise(F.col(f"{w}_{c}")).cast(t).alias(f"{w}_{c}")
+              for w in ("old", "new") for c, t in measures])
+
+        def image(values, level, row_of_order, action, is_update, kind):
+            return F.struct(F.col("l_orderkey"), F.col("l_suppkey"), row_of_order.alias("is_order"), *[v.alias(c) for c, v in zip(VALUES, values)],
+                            level.cast("string").alias("level"), F.col(BUCKET), F.lit(action).cast("string").alias(ACTION),
+                            is_update.cast("boolean").alias(IS_UPDATE), F.lit(kind).alias(KIND))
+
+        def there(which):
+            return F.coalesce((F.col(f"{which}_n_items") > 0) & F.col(f"{which}_year").isNotNull(), F.lit(False))
+
+        was, now = there("old"), there("new")
+        same = reduce(lambda a, b: a & b, [F.col(f"old_{c}").eqNullSafe(F.col(f"new_{c}")) for c in VALUES])
+        level, before, after = F.when(is_order, ORDER_LEVEL).otherwise(SUPPLIER_LEVEL), *([F.col(f"{w}_{c}") for c in VALUES] for w in ("old", "new"))
+        line = image(after, F.lit(SUPPLIER_LEVEL), F.lit(False), None, none, "row")
+        dated_order = image([F.col("head_year"), F.col("head_month"), F.lit(0).cast(marts.REVENUE_TYPE), F.lit(0).cast("bigint")], none, F.lit(True), None, none, "row")
+        images = F.array(F.when(was & ~(now & same), image(before, level, F.lit(False), "DELETE", now, "feed")),
+                         F.when(now & ~(was & same), image(after, level, F.lit(False), "INSERT", was, "feed")),
+                         F.when(is_order & F.col("head_year").isNotNull(), dated_order).when(~is_order & (F.col("new_n_items") != 0), line))
+        rows = both.select(F.explode(images).alias("x")).filter("x is not null").select("x.*")
+        return self.totals.write_buckets(rows, touched, consumed=batch, based_on=based_on)
 
     # ------------------------------------------------------------ marts
     def changes(self, level: str, after: int, upto: int) -> DataFrame:

@@ -23,7 +23,7 @@ from tierflow.plans import standins as st
 from tierflow.plans.change_queries import _DAYS_SQL, _SCD_SOUND_SQL, _orders_delta, _ORDER_COLS
 from tierflow.plans.incremental import MartStore
 from tierflow.plans.registry import register
-from tierflow.plans import batch, entities
+from tierflow.plans import batch, entities, marts
 from tierflow.sources import ingest, multiline
 from tierflow.session import materialize, unique_scratch
 from tierflow.sources.buckets import BucketedTable
@@ -101,7 +101,9 @@ def _feeds(spark, d):
 
 
 def _store(spark, d) -> MartStore:
-    store = MartStore(spark, unique_scratch(spark, "marts"))
+    # A bucket is written by one task: about a million lines each.
+    buckets = max(16, marts.partitions_for(read_table(spark, d, "lineitem")) // 4)
+    store = MartStore(spark, unique_scratch(spark, "marts"), buckets)
     for n, (lines, orders) in enumerate(_feeds(spark, d), 1):
         store.apply(lines, orders, n)
     return store

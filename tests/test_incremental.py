@@ -1,16 +1,21 @@
 """Marts folded from feeds; histories by event time."""
 
 import itertools
+import json
+import os
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from tierflow.operators.merge import ACTION, IS_UPDATE
 from tierflow.operators.timeline import GONE, PART, Timeline
-from tierflow.plans import marts
+from tierflow.plans import incremental, marts
 from tierflow.plans.incremental import MartStore
-from tierflow.sources.buckets import BucketedTable
+from tierflow.session import FREE_SHUFFLES, scratch_dir
+from tierflow.sources.buckets import BucketedTable, key_bucket, partition_bucket
+from tierflow.sources.tables import SnapshotTable
 from tests.conftest import rows
 
 LINE = "l_orderkey long, l_suppkey long, l_extendedprice double, l_discount double"
@@ -202,3 +207,103 @@ def test_a_fold_deals_rows_by_order_once(spark, tmp_dir, monkeypatch):
         lines, orders = facts.batch(rnd, **kind)
         store.fold_totals(lines, orders, n)
     assert [p.count("hashpartitioning(l_orderkey") for p in plans] == [1, 1]
+
+
+# ------------------------------------------------------------------ disk of the marts
+
+def shuffle_files(spark):
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+    return {name for name in blocks.mkString("\n").splitlines() if name.startswith("shuffle_")}
+
+
+def names_under(root):
+    return {os.path.relpath(base, root) for base, _, files in os.walk(root) if any(f.endswith(".parquet") for f in files)}
+
+
+def test_a_fold_leaves_no_shuffle_files_and_no_intermediate_tables(spark, tmp_dir):
+    facts, store, rnd = Facts(spark), MartStore(spark, tmp_dir, 4, 4), random.Random(11)
+    batches = [facts.batch(rnd, **kind) for kind in ({"new": 60}, {"change": 15, "drop": 3})]
+    scratch, files = set(os.listdir(scratch_dir(spark))), shuffle_files(spark)
+    for n, batch in enumerate(batches, 1):
+        store.apply(*batch, n)
+    for _ in range(50):  # files go in the background
+        left = shuffle_files(spark) - files
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left
+    assert set(os.listdir(scratch_dir(spark))) == scratch
+    assert spark.conf.get(FREE_SHUFFLES) == "false"
+
+
+def test_totals_keep_only_what_is_still_read(spark, tmp_dir, monkeypatch):
+    facts, store, rnd = Facts(spark), MartStore(spark, tmp_dir, 4, 4), random.Random(12)
+    store.apply(*facts.batch(rnd, new=60), 1)
+    plain = MartStore.fold_mart
+    monkeypatch.setattr(MartStore, "fold_mart", lambda self, name: plain(self, name) if name == "monthly" else (_ for _ in ()).throw(OSError("lost")))
+    for n, kind in ((2, {"change": 20}), (3, {"drop": 5, "new": 5})):
+        with pytest.raises(OSError):
+            store.apply(*facts.batch(rnd, **kind), n)
+    # One mart has not taken the feeds of versions 2 and 3.
+    assert {"v=00000002/_kind=feed", "v=00000003/_kind=feed"} <= {n.rsplit("/", 1)[0] for n in names_under(f"{tmp_dir}/totals")}
+    monkeypatch.undo()
+    store.apply(*facts.batch(rnd, move=4), 4)
+    held = {f"v={v:08d}/_kind=row/_bucket={b}" for b, v in store.totals.where().items()}
+    assert names_under(f"{tmp_dir}/totals") == held
+    lines, orders = facts.tables()
+    names = spark.createDataFrame([(i, f"s{i}") for i in range(1, 5)], "s_suppkey long, s_name string")
+    same(store.monthly(), marts.monthly_kpis(lines, orders))
+    same(store.monthly_by_restaurant(names), marts.monthly_by_restaurant(lines, orders, names))
+
+
+def test_a_fold_in_rounds_and_in_one_give_the_same(spark, tmp_dir, monkeypatch):
+    written, plain = [], SnapshotTable._commit
+    monkeypatch.setattr(SnapshotTable, "_commit", lambda self, df, consumed, based_on, notes, more=(): written.append(
+        (self.root.rsplit("/", 1)[1], 1 + len(more))) or plain(self, df, consumed, based_on, notes, more))
+    kinds, found = [{"new": 50}, {"new": 5, "change": 20, "drop": 6}, {}], []
+    for size, root in ((incremental.ROWS_OF_ROUND, "one"), (40, "many")):
+        monkeypatch.setattr(incremental, "ROWS_OF_ROUND", size)
+        facts, store, rnd = Facts(spark), MartStore(spark, f"{tmp_dir}/{root}", 4, 4), random.Random(13)
+        for n, kind in enumerate(kinds, 1):
+            store.apply(*facts.batch(rnd, **kind), n)
+        found.append(store)
+    lines, orders = facts.tables()
+    for store in found:
+        same(store.monthly(), marts.monthly_kpis(lines, orders))
+    same(found[0].totals.rows().drop("v"), found[1].totals.rows().drop("v"))
+    rounds = [k for name, k in written if name == "totals"]
+    assert rounds[:3] == [1] * 3 and max(rounds[3:]) > 1
+
+
+def test_rows_dealt_by_order_are_written_as_they_are(spark, tmp_dir):
+    keys = spark.range(5000).select((F.col("id") - 2500).alias("k")).unionByName(spark.sql("select cast(null as bigint) k"))
+    dealt = keys.withColumn("b", partition_bucket(keys, ["k"], 6)).repartition(18, "k").withColumn("p", F.spark_partition_id())
+    assert dealt.groupBy("p").agg(F.countDistinct("b").alias("n")).filter("n > 1").isEmpty()
+    facts, store, rnd = Facts(spark), MartStore(spark, tmp_dir, 16, 4), random.Random(14)
+    store.fold_totals(*facts.batch(rnd, new=300), 1)
+    files = [f for _, _, names in os.walk(f"{tmp_dir}/totals") for f in names if f.endswith(".parquet")]
+    assert len(files) == 32  # one for the rows and one for the feed of each bucket
+
+
+@pytest.mark.parametrize("buckets", [4, 400])
+def test_a_store_dealt_by_the_former_hash_goes_on(spark, tmp_dir, buckets):
+    facts, store, rnd = Facts(spark), MartStore(spark, tmp_dir, buckets, 4), random.Random(15)
+    store.totals.bucket = key_bucket
+    store.apply(*facts.batch(rnd, new=40), 1)
+    marker = f"{tmp_dir}/totals/v=00000001/_COMMITTED"
+    with open(marker) as f:
+        content = json.load(f)
+    del content["by"]  # as it was written then
+    os.remove(f"{os.path.dirname(marker)}/._COMMITTED.crc")
+    with open(marker, "w") as f:
+        json.dump(content, f)
+    for n, kind in enumerate([{"change": 10, "new": 3}, {"drop": 3}], 2):
+        store = MartStore(spark, tmp_dir, buckets, 4)
+        assert store.totals.bucket is key_bucket
+        store.apply(*facts.batch(rnd, **kind), n)
+    lines, orders = facts.tables()
+    same(store.monthly(), marts.monthly_kpis(lines, orders))
+    fresh = MartStore(spark, f"{tmp_dir}/new", buckets, 4)
+    fresh.apply(*[df.selectExpr("*", f"'INSERT' {ACTION}", f"false {IS_UPDATE}") for df in (lines, orders)], 1)
+    assert MartStore(spark, f"{tmp_dir}/new").totals.bucket is partition_bucket
+    same(fresh.monthly(), store.monthly())

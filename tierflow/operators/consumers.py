@@ -48,17 +48,19 @@ class Consumer:
             self.offsets.write(said, consumed=upto, based_on=based_on)
 
 
-def trim(table: BucketedTable, consumers: list[Consumer]) -> list[str]:
+def trim(table: BucketedTable, consumers: list[Consumer], since: int = 0) -> list[str]:
     """Delete feeds that all consumers have taken and buckets no longer in use; the folders that went.
 
     Versions up to the smallest offset keep their marker. To be run when no job
-    still reads an older version of the table.
+    still reads an older version of the table. ``since``: the table was trimmed
+    when this was its version, so only what has gone since is looked for.
     """
     head = table.version()
     least = min((c.offset() for c in consumers), default=head)
     kept = {f"v={v:08d}/{KIND}=row/{BUCKET}={b}" for b, v in table.where(head).items()} if head else set()
     gone = []
-    for version in range(1, head + 1):
+    versions = {*range(since, head + 1), *table.where(since).values()} if since else range(1, head + 1)
+    for version in sorted(versions):
         folder = table.path(version)
         if version <= least and path_exists(table.spark, f"{folder}/{KIND}=feed"):
             gone.append(f"{folder}/{KIND}=feed")

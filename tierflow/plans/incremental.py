@@ -16,6 +16,13 @@ marts fold that feed in turn. Each commit marker names the input it has
 consumed: a step that fails is repeated from the same feed into the same
 version, and a mart that lags takes all feeds it has not seen, netted per order.
 
+Disk: a batch holds what it reads, what it writes and the shuffle of some of its
+buckets, not the remains of steps before it. Large batches are dealt and written
+buckets by buckets, in rounds of one commit. Shuffle files and intermediate tables go with the
+step that made them, and once both marts have taken a batch, ``apply`` removes
+the feeds and buckets of ``totals`` that nobody needs any more. Versions of the
+marts are kept, as readers may be at work on them.
+
 Sums and counts can be subtracted, the largest order cannot: a group whose
 maximum left and was not reached again in the same batch is computed anew from
 ``totals``; only such groups are.
@@ -23,32 +30,35 @@ maximum left and was not reached again in the same batch is computed anew from
 
 from __future__ import annotations
 
+import math
 from functools import reduce
+from types import SimpleNamespace
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tierflow.operators.cdc import BATCH, net_changes
+from tierflow.operators.consumers import trim
 from tierflow.operators.merge import ACTION, IS_UPDATE, KIND
 from tierflow.plans import marts
-from tierflow.session import unique_scratch
-from tierflow.sources.buckets import BUCKET, BucketedTable
+from tierflow.session import passing_scratch
+from tierflow.sources.buckets import BUCKET, BucketedTable, key_bucket, partition_bucket
 
 ORDER_LEVEL, SUPPLIER_LEVEL = "order", "supplier"
 LEVELS = {"monthly": (ORDER_LEVEL, ["year", "month"]), "monthly_by_restaurant": (SUPPLIER_LEVEL, ["year", "month", "l_suppkey"])}
 VALUES = ["year", "month", "order_revenue", "n_items"]
 
+#: Rows of ``totals`` dealt and written at a time: about 1.5 GB of shuffle files.
+ROWS_OF_ROUND = 64_000_000
+#: Order keys and revenues hardly repeat, so a dictionary of them only costs.
+PACKED = {"compression": "zstd"}
+PACKED_TOTALS = PACKED | {"parquet.enable.dictionary#l_orderkey": "false", "parquet.enable.dictionary#order_revenue": "false"}
+
 
 def signed() -> F.Column:
     return F.when(F.col(ACTION) == "INSERT", F.lit(1)).otherwise(F.lit(-1))
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
-    path = unique_scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _equal(keys, left: str, right: str) -> F.Column:
     return reduce(lambda a, b: a & b, [F.col(left + k).eqNullSafe(F.col(right + k)) for k in keys])
 
@@ -58,19 +68,27 @@ class MartStore:
 
     def __init__(self, spark: SparkSession, root: str, buckets: int = 16, month_buckets: int = 16):
         self.spark = spark
-        self.totals = BucketedTable(spark, f"{root}/totals", ["l_orderkey"], buckets)
-        self.marts = {name: BucketedTable(spark, f"{root}/{name}", ["year", "month"], month_buckets) for name in LEVELS}
+        self.totals = BucketedTable(spark, f"{root}/totals", ["l_orderkey"], buckets, partition_bucket, PACKED_TOTALS)
+        if self.totals.exists() and self.totals.marker().get("by", key_bucket.__name__) == key_bucket.__name__:
+            self.totals.bucket = key_bucket  # a store from before; rows stay in their buckets
+        self.marts = {name: BucketedTable(spark, f"{root}/{name}", ["year", "month"], month_buckets, options=PACKED) for name in LEVELS}
 
     def apply(self, lines: DataFrame, orders: DataFrame, batch: int) -> None:
         """Fold one batch of line and order feeds; a batch that was folded before is left out."""
+        taken = min(table.consumed() for table in self.marts.values())
         if self.totals.consumed() < batch:
             self.fold_totals(lines, orders, batch)
         for name in LEVELS:
             self.fold_mart(name)
+        trim(self.totals, [SimpleNamespace(offset=table.consumed) for table in self.marts.values()], since=taken)
 
     # ------------------------------------------------------------ totals
     def fold_totals(self, lines: DataFrame, orders: DataFrame, batch: int) -> int:
         """Feeds: lines (l_orderkey, l_suppkey, l_extendedprice, l_discount), orders (o_orderkey, o_orderdate)."""
+        with passing_scratch(self.spark) as written:
+            return self._fold_totals(lines, orders, batch, written)
+
+    def _fold_totals(self, lines: DataFrame, orders: DataFrame, batch: int, written) -> int:
         based_on = self.totals.version()
         change = lines.groupBy("l_orderkey", "l_suppkey").agg(
             F.sum(signed() * marts.line_revenue()).cast(marts.REVENUE_TYPE).alias("revenue"), F.sum(signed()).cast("bigint").alias("items"))
@@ -82,18 +100,31 @@ class MartStore:
         work = change.select("l_orderkey", "l_suppkey", F.lit(False).alias("is_order"), "revenue", "items", none.cast("date").alias("date"))
         work = work.unionByName(dated.select("l_orderkey", none.cast("bigint").alias("l_suppkey"), F.lit(True).alias("is_order"),
                                              none.cast(marts.REVENUE_TYPE).alias("revenue"), none.cast("bigint").alias("items"), "date"))
-        work = _written(work.withColumn(BUCKET, self.totals.bucket(work.select("l_orderkey"), ["l_orderkey"], self.totals.buckets())), "mart-work")
+        work = written(work.withColumn(BUCKET, self.totals.bucket(work.select("l_orderkey"), ["l_orderkey"], self.totals.buckets())), "mart-work")
         touched = self.totals.touched(work)
         new = work.select("l_orderkey", "l_suppkey", "is_order", BUCKET, F.lit(True).alias("new"), none.cast("int").alias("year"),
                           none.cast("int").alias("month"), F.col("revenue").alias("order_revenue"), F.col("items").alias("n_items"), "date")
         held = self.totals.rows(touched, based_on) if based_on else None
         if held is not None:
             new = held.select("l_orderkey", "l_suppkey", "is_order", BUCKET, F.lit(False).alias("new"), *VALUES, none.cast("date").alias("date")).unionByName(new)
-        # One exchange and one pass by order serve the sums, the dates, the order totals and all images; partitions
-        # follow the rows, so that what a task sorts and hashes does not grow with the table.
+        count, buckets = new.count(), self.totals.buckets()
+        parts = max(self.spark.sparkContext.defaultParallelism, math.ceil(count / marts.ROWS_OF_TASK))
+        of_bucket = math.ceil(parts / max(1, len(touched)))
+        # As many tasks for each bucket; where few of many are touched most of these would be empty.
+        dealt = self.totals.bucket is partition_bucket and buckets * of_bucket <= 4 * max(parts, len(touched))
+        rounds = max(1, min(len(touched), math.ceil(count / ROWS_OF_ROUND)))
+        in_rounds = [new.filter(F.col(BUCKET).isin(touched[r::rounds])) for r in range(rounds)] if rounds > 1 else [new]
+        rows = [self._images(some, buckets * of_bucket if dealt else math.ceil(parts / rounds)) for some in in_rounds]
+        return self.totals.write_buckets(rows[0], touched, consumed=batch, based_on=based_on, dealt=dealt, more=rows[1:])
+
+    def _images(self, new: DataFrame, parts: int) -> DataFrame:
+        """Rows and feed of some buckets, from the rows they hold (``new`` is false) and what came for them."""
+        # One exchange and one pass by order serve the sums, the dates, the order totals, all images and the write;
+        # partitions follow the rows, so that what a task sorts and hashes does not grow with the table.
+        none = F.lit(None)
         measures = (("order_revenue", marts.REVENUE_TYPE), ("n_items", "bigint"))
         old, is_order, date = ~F.col("new"), F.col("is_order"), F.col("date")
-        sums = new.repartition(marts.partitions_for(new), "l_orderkey").groupBy("l_orderkey", "l_suppkey", "is_order", BUCKET).agg(
+        sums = new.repartition(parts, "l_orderkey").groupBy("l_orderkey", "l_suppkey", "is_order", BUCKET).agg(
             F.max(F.when(old, F.col("year"))).alias("old_year"), F.max(F.when(old, F.col("month"))).alias("old_month"),
             F.bool_or("new").alias("dated"), F.max("date").alias("date"),
             *[F.coalesce(F.sum(F.when(old, F.col(c))), F.lit(0)).cast(t).alias(f"old_{c}") for c, t in measures],
@@ -126,8 +157,7 @@ class MartStore:
         images = F.array(F.when(was & ~(now & same), image(before, level, F.lit(False), "DELETE", now, "feed")),
                          F.when(now & ~(was & same), image(after, level, F.lit(False), "INSERT", was, "feed")),
                          F.when(is_order & F.col("head_year").isNotNull(), dated_order).when(~is_order & (F.col("new_n_items") != 0), line))
-        rows = both.select(F.explode(images).alias("x")).filter("x is not null").select("x.*")
-        return self.totals.write_buckets(rows, touched, consumed=batch, based_on=based_on)
+        return both.select(F.explode(images).alias("x")).filter("x is not null").select("x.*")
 
     # ------------------------------------------------------------ marts
     def changes(self, level: str, after: int, upto: int) -> DataFrame:
@@ -140,6 +170,10 @@ class MartStore:
 
     def fold_mart(self, name: str) -> int | None:
         """Fold the feeds of ``totals`` that this mart has not consumed."""
+        with passing_scratch(self.spark) as written:
+            return self._fold_mart(name, written)
+
+    def _fold_mart(self, name: str, written) -> int | None:
         level, keys = LEVELS[name]
         table, head = self.marts[name], self.totals.version()
         based_on, seen = table.version(), table.consumed()
@@ -150,7 +184,7 @@ class MartStore:
             F.sum(signed() * F.col("order_revenue")).cast(marts.REVENUE_TYPE).alias("d_revenue"), F.sum(signed()).cast("bigint").alias("d_orders"),
             F.sum(signed() * F.col("n_items")).cast("bigint").alias("d_items"),
             F.max(F.when(gain, F.col("order_revenue"))).alias("top_in"), F.max(F.when(loss, F.col("order_revenue"))).alias("top_out"))
-        delta = _written(delta.withColumn(BUCKET, table.bucket(delta.select("year", "month"), ["year", "month"], table.buckets())), "mart-delta")
+        delta = written(delta.withColumn(BUCKET, table.bucket(delta.select("year", "month"), ["year", "month"], table.buckets())), "mart-delta")
         touched = table.touched(delta)
         measures = [("total_revenue", "d_revenue"), ("total_orders", "d_orders"), ("total_items", "d_items")]
         held = table.rows(touched, based_on) if based_on else None
@@ -167,7 +201,7 @@ class MartStore:
             *[(F.coalesce(F.col("o_" + m), zero) + F.coalesce(F.col(d), zero)).cast("bigint" if d != "d_revenue" else marts.REVENUE_TYPE).alias(m) for m, d in measures],
             F.when(~lost, F.greatest(top, into)).cast(marts.REVENUE_TYPE).alias("max_order_value"),
             F.coalesce(F.col(BUCKET), F.col("o_" + BUCKET)).alias(BUCKET), lost.alias("lost")).filter("total_orders > 0")
-        folded = _written(folded, "mart-folded")
+        folded = written(folded, "mart-folded")
         again = folded.filter("lost").select(*[F.col(k).alias("g_" + k) for k in keys])
         if not again.isEmpty():
             folded = folded.join(self.tops(level, keys, again, head), _equal(keys, "", "g_"), "left")

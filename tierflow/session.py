@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every tierflow job relies on. Time zone is pinned so that
 # timestamp parsing and oracle comparisons do not depend on the host.
@@ -74,6 +76,38 @@ def unique_scratch(spark: SparkSession, name: str) -> str:
     return scratch_dir(spark, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def passing_scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """A function that writes a frame to scratch and reads it back; on leaving, what it wrote is deleted.
+
+    Inside, shuffle files go as soon as the query that made them has ended; else
+    they stay until the driver happens to collect its garbage, which for a chain of
+    large steps is too late. So what a step needs on disk is its own, not the sum
+    of all steps before it.
+    """
+    made, before = [], spark.conf.get(FREE_SHUFFLES, None)
+
+    def written(df: DataFrame, name: str) -> DataFrame:
+        made.append(unique_scratch(spark, name))
+        df.write.option("compression", "zstd").parquet(made[-1])
+        return spark.read.schema(df.schema).parquet(made[-1])
+
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        yield written
+    finally:
+        if before is None:
+            spark.conf.unset(FREE_SHUFFLES)
+        else:
+            spark.conf.set(FREE_SHUFFLES, before)
+        for folder in made:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df):
     """Cut lineage: a reliable checkpoint into ``spark.checkpoint.dir``.
 

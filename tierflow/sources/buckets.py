@@ -19,6 +19,7 @@ default is for small tables); ``rebucket`` rewrites the table once with another
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,10 +42,19 @@ def key_bucket(df: DataFrame, keys, n: int) -> Column:
     return F.pmod(value, F.lit(n)).cast("int")
 
 
+def partition_bucket(df: DataFrame, keys, n: int) -> Column:
+    """Bucket 0 … n-1 by the hash that ``repartition`` deals rows by.
+
+    Of ``repartition(n * k, *keys)`` each partition holds rows of one bucket only,
+    so rows that a job has dealt by key are written as they are.
+    """
+    return F.pmod(F.hash(*keys), F.lit(n)).cast("int")
+
+
 class BucketedTable(SnapshotTable):
-    def __init__(self, spark: SparkSession, root: str, keys, buckets: int = BUCKETS, bucket=key_bucket):
+    def __init__(self, spark: SparkSession, root: str, keys, buckets: int = BUCKETS, bucket=key_bucket, options: dict | None = None):
         """``buckets`` counts for a new table; one that exists keeps the number it has."""
-        super().__init__(spark, root, partition_by=[KIND, BUCKET])
+        super().__init__(spark, root, partition_by=[KIND, BUCKET], options=options)
         self.keys = list(keys)
         self.bucket = bucket
         self._new = buckets
@@ -80,17 +90,22 @@ class BucketedTable(SnapshotTable):
         return self.spark.read.schema(data).option("basePath", self.root).parquet(*paths).drop(KIND, *merge.FEED_COLS)
 
     def write_buckets(self, rows: DataFrame, touched: list[int], *, consumed: int = 0, based_on: int | None = None,
-                      buckets: int | None = None, **notes) -> int:
-        """Commit placed rows and feed (``_kind``) as all that the touched buckets hold from now on."""
+                      buckets: int | None = None, dealt: bool = False, more: Sequence[DataFrame] = (), **notes) -> int:
+        """Commit placed rows and feed (``_kind``) as all that the touched buckets hold from now on.
+
+        ``dealt``: partitions of ``rows`` hold few buckets each and are written as they are.
+        ``more``: rows of further buckets of the same commit, written one frame after the other.
+        """
         base = self.version() if based_on is None else based_on
         n, before = buckets or self.buckets(), self.where(base) if base else {}
-        dealt = rows.repartition(KIND, BUCKET)
+        if not dealt:
+            rows, more = rows.repartition(KIND, BUCKET), [r.repartition(KIND, BUCKET) for r in more]
 
         def said(draft: str, version: int) -> dict:
             after = {b: v for b, v in before.items() if b not in set(touched)}
-            return {"buckets": n, "where": after | {b: version for b in _listed(self.spark, f"{draft}/{KIND}=row")}} | notes
+            return {"buckets": n, "by": self.bucket.__name__, "where": after | {b: version for b in _listed(self.spark, f"{draft}/{KIND}=row")}} | notes
 
-        return self._commit(dealt, consumed, base, said)
+        return self._commit(rows, consumed, base, said, more)
 
     def upsert(self, delta: DataFrame, *, consumed: int = 0, empty: DataFrame | None = None, check=None, finish=None,
                **options) -> int:

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Sequence
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
@@ -103,10 +104,12 @@ def _read_marker(spark: SparkSession, folder: str) -> dict:
 class SnapshotTable:
     """A table stored as immutable parquet versions under one root folder."""
 
-    def __init__(self, spark: SparkSession, root: str, partition_by: list[str] | None = None):
+    def __init__(self, spark: SparkSession, root: str, partition_by: list[str] | None = None, options: dict | None = None):
+        """``options`` of the Parquet writer."""
         self.spark = spark
         self.root = root.rstrip("/")
         self.partition_by = partition_by or []
+        self.options = options or {}
 
     def version(self) -> int:
         return head_version(self.spark, self.root)
@@ -151,15 +154,17 @@ class SnapshotTable:
         """
         return self._commit(df, consumed, based_on, lambda draft, version: {})
 
-    def _commit(self, df: DataFrame, consumed: int, based_on: int | None, notes) -> int:
+    def _commit(self, df: DataFrame, consumed: int, based_on: int | None, notes, more: Sequence[DataFrame] = ()) -> int:
+        """``more``: frames of the same version, each written when the one before it is."""
         if VERSION in df.columns:
             raise ValueError(f"a column of a snapshot table cannot be named {VERSION!r}: that is its version")
         version = (self.version() if based_on is None else based_on) + 1
         draft = f"{self.root}/_draft-{uuid.uuid4().hex[:12]}"
-        writer = df.write
-        if self.partition_by:
-            writer = writer.partitionBy(*self.partition_by)
-        writer.parquet(draft)
+        for frame in (df, *more):
+            writer = frame.write.mode("append").options(**self.options)
+            if self.partition_by:
+                writer = writer.partitionBy(*self.partition_by)
+            writer.parquet(draft)
         nullable = StructType([StructField(f.name, f.dataType, True, f.metadata) for f in df.schema.fields])
         content = {"consumed": int(consumed), "schema": nullable.json()} | notes(draft, version)
         _write_marker(self.spark, draft, content)

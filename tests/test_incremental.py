@@ -260,6 +260,8 @@ def test_a_fold_in_rounds_and_in_one_give_the_same(spark, tmp_dir, monkeypatch):
     written, plain = [], SnapshotTable._commit
     monkeypatch.setattr(SnapshotTable, "_commit", lambda self, df, consumed, based_on, notes, more=(): written.append(
         (self.root.rsplit("/", 1)[1], 1 + len(more))) or plain(self, df, consumed, based_on, notes, more))
+    by_months, months = MartStore._by_months, []
+    monkeypatch.setattr(MartStore, "_by_months", lambda self, df, rounds, make, written, name: months.append((name, rounds)) or by_months(self, df, rounds, make, written, name))
     kinds, found = [{"new": 50}, {"new": 5, "change": 20, "drop": 6}, {}], []
     for size, root in ((incremental.ROWS_OF_ROUND, "one"), (40, "many")):
         monkeypatch.setattr(incremental, "ROWS_OF_ROUND", size)
@@ -268,8 +270,11 @@ def test_a_fold_in_rounds_and_in_one_give_the_same(spark, tmp_dir, monkeypatch):
             store.apply(*facts.batch(rnd, **kind), n)
         found.append(store)
     lines, orders = facts.tables()
+    names = spark.createDataFrame([(i, f"s{i}") for i in range(1, 5)], "s_suppkey long, s_name string")
     for store in found:
         same(store.monthly(), marts.monthly_kpis(lines, orders))
+        same(store.monthly_by_restaurant(names), marts.monthly_by_restaurant(lines, orders, names))
+    assert max(k for name, k in months if name == "mart-delta") > 1 < max(k for name, k in months if name == "mart-tops")
     same(found[0].totals.rows().drop("v"), found[1].totals.rows().drop("v"))
     rounds = [k for name, k in written if name == "totals"]
     assert rounds[:3] == [1] * 3 and max(rounds[3:]) > 1

@@ -16,12 +16,13 @@ marts fold that feed in turn. Each commit marker names the input it has
 consumed: a step that fails is repeated from the same feed into the same
 version, and a mart that lags takes all feeds it has not seen, netted per order.
 
-Disk: a batch holds what it reads, what it writes and the shuffle of some of its
-buckets, not the remains of steps before it. Large batches are dealt and written
-buckets by buckets, in rounds of one commit. Shuffle files and intermediate tables go with the
-step that made them, and once both marts have taken a batch, ``apply`` removes
-the feeds and buckets of ``totals`` that nobody needs any more. Versions of the
-marts are kept, as readers may be at work on them.
+Disk: a batch holds what it reads, what it writes and the shuffle of a part of
+that, not the remains of steps before it. Large batches are dealt and written some
+buckets after the others, in rounds of one commit, and folded into the marts some
+months after the others. Shuffle files and intermediate tables go with the step
+that made them, and once both marts have taken a batch, ``apply`` removes the feeds
+and buckets of ``totals`` that nobody needs any more. Versions of the marts are
+kept, as readers may be at work on them.
 
 Sums and counts can be subtracted, the largest order cannot: a group whose
 maximum left and was not reached again in the same batch is computed anew from
@@ -48,7 +49,7 @@ ORDER_LEVEL, SUPPLIER_LEVEL = "order", "supplier"
 LEVELS = {"monthly": (ORDER_LEVEL, ["year", "month"]), "monthly_by_restaurant": (SUPPLIER_LEVEL, ["year", "month", "l_suppkey"])}
 VALUES = ["year", "month", "order_revenue", "n_items"]
 
-#: Rows of ``totals`` dealt and written at a time: about 1.5 GB of shuffle files.
+#: Rows of ``totals`` dealt at a time: about 1.5 GB of shuffle files.
 ROWS_OF_ROUND = 64_000_000
 #: Order keys and revenues hardly repeat, so a dictionary of them only costs.
 PACKED = {"compression": "zstd"}
@@ -180,11 +181,19 @@ class MartStore:
         if seen >= head:
             return None
         gain, loss = F.col(ACTION) == "INSERT", F.col(ACTION) == "DELETE"
-        delta = self.changes(level, seen, head).groupBy(*keys).agg(
-            F.sum(signed() * F.col("order_revenue")).cast(marts.REVENUE_TYPE).alias("d_revenue"), F.sum(signed()).cast("bigint").alias("d_orders"),
-            F.sum(signed() * F.col("n_items")).cast("bigint").alias("d_items"),
-            F.max(F.when(gain, F.col("order_revenue"))).alias("top_in"), F.max(F.when(loss, F.col("order_revenue"))).alias("top_out"))
-        delta = written(delta.withColumn(BUCKET, table.bucket(delta.select("year", "month"), ["year", "month"], table.buckets())), "mart-delta")
+
+        def grouped(some) -> DataFrame:
+            delta = some(self.changes(level, seen, head)).groupBy(*keys).agg(
+                F.sum(signed() * F.col("order_revenue")).cast(marts.REVENUE_TYPE).alias("d_revenue"), F.sum(signed()).cast("bigint").alias("d_orders"),
+                F.sum(signed() * F.col("n_items")).cast("bigint").alias("d_items"),
+                F.max(F.when(gain, F.col("order_revenue"))).alias("top_in"), F.max(F.when(loss, F.col("order_revenue"))).alias("top_out"))
+            return delta.withColumn(BUCKET, table.bucket(delta.select("year", "month"), ["year", "month"], table.buckets()))
+
+        # Months are summed where they are read; groups that grow with the facts are not, so these go in rounds,
+        # unless several versions have to be netted first, which takes all of them in each round.
+        feed = self.totals.read_versions(seen + 1, head).filter(F.col(KIND) == "feed")
+        rounds = math.ceil(feed.count() / ROWS_OF_ROUND) if level == SUPPLIER_LEVEL and head == seen + 1 else 1
+        delta = self._by_months(self.changes(level, seen, head).select("year", "month"), rounds, grouped, written, "mart-delta")
         touched = table.touched(delta)
         measures = [("total_revenue", "d_revenue"), ("total_orders", "d_orders"), ("total_items", "d_items")]
         held = table.rows(touched, based_on) if based_on else None
@@ -204,19 +213,35 @@ class MartStore:
         folded = written(folded, "mart-folded")
         again = folded.filter("lost").select(*[F.col(k).alias("g_" + k) for k in keys])
         if not again.isEmpty():
-            folded = folded.join(self.tops(level, keys, again, head), _equal(keys, "", "g_"), "left")
+            folded = folded.join(self.tops(level, keys, again, head, written), _equal(keys, "", "g_"), "left")
             folded = folded.withColumn("max_order_value", F.coalesce("max_order_value", "top")).drop("top", *again.columns)
         rows = folded.drop("lost").withColumns({ACTION: F.lit(None).cast("string"), IS_UPDATE: F.lit(None).cast("boolean"), KIND: F.lit("row")})
         return table.write_buckets(rows, touched, consumed=head, based_on=based_on, recomputed=again.count())
 
-    def tops(self, level: str, keys, groups: DataFrame, version: int) -> DataFrame:
+    def tops(self, level: str, keys, groups: DataFrame, version: int, written) -> DataFrame:
         """Largest order of these groups, from ``totals``."""
-        rows = self.totals.rows(version=version).filter("not is_order and year is not null and n_items > 0")
-        semi = rows.join(groups.select("g_year", "g_month").distinct() if level == ORDER_LEVEL else groups,
-                         _equal(["year", "month"] if level == ORDER_LEVEL else keys, "", "g_"), "left_semi")
-        if level == ORDER_LEVEL:
-            semi = semi.groupBy("l_orderkey", "year", "month").agg(F.sum("order_revenue").alias("order_revenue"))
-        return semi.groupBy(*[F.col(k).alias("g_" + k) for k in keys]).agg(F.max("order_revenue").cast(marts.REVENUE_TYPE).alias("top"))
+        held = self.totals.rows(version=version)
+        in_groups = ["year", "month"] if level == ORDER_LEVEL else keys
+
+        def largest(some) -> DataFrame:
+            rows = some(held.filter("not is_order and year is not null and n_items > 0"))
+            semi = rows.join(some(groups, "g_").select(*["g_" + k for k in in_groups]).distinct(), _equal(in_groups, "", "g_"), "left_semi")
+            if level == ORDER_LEVEL:
+                semi = semi.groupBy("l_orderkey", "year", "month").agg(F.sum("order_revenue").alias("order_revenue"))
+            return semi.groupBy(*[F.col(k).alias("g_" + k) for k in keys]).agg(F.max("order_revenue").cast(marts.REVENUE_TYPE).alias("top"))
+
+        return self._by_months(groups.select("g_year", "g_month"), math.ceil(held.count() / ROWS_OF_ROUND), largest, written, "mart-tops")
+
+    def _by_months(self, months: DataFrame, rounds: int, make, written, name: str) -> DataFrame:
+        """``make`` for some calendar months after the others, each written (and its shuffle freed) before the next."""
+        if rounds <= 1:
+            return written(make(lambda df, prefix="": df), name)
+        numbers = sorted(12 * year + month for year, month in months.distinct().collect())
+
+        def only(some):
+            return lambda df, prefix="": df.filter((12 * F.col(prefix + "year") + F.col(prefix + "month")).isin(some))
+
+        return reduce(DataFrame.unionByName, [written(make(only(numbers[r::rounds])), name) for r in range(max(1, min(rounds, len(numbers))))])
 
     # ------------------------------------------------------------ reads
     def monthly(self) -> DataFrame:
